@@ -157,6 +157,6 @@ SELECT name AS schedule, run_ts FROM v_user_schedules s JOIN v_form_runs r USING
 WHERE type = 'cron' AND enabled AND run_ts > TIMESTAMP '2024-01-01' AND run_ts <= TIMESTAMP '2024-02-01'
 UNION ALL
 SELECT name, TIMESTAMP '2024-01-01' + to_milliseconds(k * interval_ms) FROM (
-  SELECT name, interval_ms, unnest(range(1, (31 * 86400000) // interval_ms + 1)) AS k FROM v_user_schedules
+  SELECT name, interval_ms, unnest(range(1, 2678400000 // interval_ms + 1)) AS k FROM v_user_schedules
   WHERE type = 'interval' AND enabled)""",
 )

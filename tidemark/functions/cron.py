@@ -1,7 +1,7 @@
 """Cron fields as array expressions.
 
 A field is `*`, a number, a list, a range `a-b` or a step `*/n`. It expands to the sorted values it
-stands for; a field that cannot be read is null and never fires. Of a list, only the readable items
+stands for; a field that cannot be read is empty and never fires. Of a list, only the readable items
 count. Minute, hour and day of month are read, month and weekday on request.
 """
 
@@ -37,11 +37,10 @@ def _item(text: Column, low: int, high: int) -> Column:
 
 
 def field_values(text: Column, low: int, high: int) -> Column:
-    """Sorted distinct values of one field, null if it cannot be read."""
+    """Sorted distinct values of one field, empty if it cannot be read."""
     none = F.array().cast(_INTS)
-    listed = F.flatten(F.transform(F.split(text, ",", -1), lambda p: F.coalesce(_item(p, low, high), none)))
-    values = F.when(text.contains(","), listed).otherwise(_item(text, low, high))
-    return F.array_sort(F.array_distinct(values))
+    items = F.transform(F.split(text, ",", -1), lambda p: F.coalesce(_item(p, low, high), none))
+    return F.array_sort(F.array_distinct(F.flatten(items)))
 
 
 def cron_fields(expression: Column) -> Column:

@@ -28,8 +28,9 @@ def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "1
 
 
 def pending_events(events: DataFrame, now_ms: int, gap_ms: int = K.DEBOUNCE_MS) -> DataFrame:
-    """Bursts that are still open at `now_ms`."""
-    return debounce(events, gap_ms).filter(F.col("closes") > from_millis(now_ms))
+    """Bursts that are still open at `now_ms`, of the events known by then."""
+    now = from_millis(now_ms)
+    return debounce(events.filter(F.col("ts") <= now), gap_ms).filter(F.col("closes") > now)
 
 
 def enrich_events(events: DataFrame, files: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def apply_remote(
 
 def _restore(files: DataFrame, chunks: DataFrame, rules: Rules, agent: str, enforce: bool) -> DataFrame:
     visible = scope_filter(valid_paths(files), rules, agent, enforce=enforce)
-    newest = latest_write(visible, "doc_id", "mtime", None, "hash")
+    newest = latest_write(visible, "doc_id", "mtime", None, "path")
     return reassemble(newest, chunks, empty_ok=False, inline="unresolved")
 
 
