@@ -231,14 +231,13 @@ def write_files(spark, d):
 
 
 @register(
-    "SELECT DISTINCT chunk_id, right(chunk_id, 2) AS bucket, octet_length(piece)::BIGINT AS bytes FROM v_chunks",
+    "SELECT DISTINCT chunk_id, right(chunk_id, 1) AS bucket, octet_length(piece)::BIGINT AS bytes FROM v_chunks",
     uses=("v_chunks",),
 )
 def write_chunks(spark, d):
     out = work_dir(spark, "chunks")
-    sinks.write_chunks(_pieces(spark, d).select("chunk_id", "data").dropDuplicates(["chunk_id"]), out)
-    back = spark.read.schema("chunk_id string, data binary, bucket string").parquet(out)
-    return back.select("chunk_id", "bucket", F.octet_length("data").cast("long").alias("bytes"))
+    sinks.write_chunks(_pieces(spark, d).select("chunk_id", "data").dropDuplicates(["chunk_id"]), out, digits=1)
+    return sinks.read_chunks(spark, out).select("chunk_id", "bucket", F.octet_length("data").cast("long").alias("bytes"))
 
 
 @register(

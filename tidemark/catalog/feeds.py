@@ -154,5 +154,5 @@ def follow_remote(spark, d):
     W.mixed_docs(spark, d).repartition(4, "doc_id").write.parquet(f"{out}/source")
     schema = spark.read.parquet(f"{out}/source").schema
     stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=1)
-    remote.follow_remote(stream, f"{out}/replica", enforce=False).awaitTermination()
+    remote.follow_remote(stream, f"{out}/replica", enforce=False, digits=1).awaitTermination()
     return _restored(remote.applied_files(spark, f"{out}/replica"))

@@ -3,6 +3,8 @@
 A field is `*`, a number, a list, a range `a-b` or a step `*/n`. It expands to the sorted values it
 stands for; a field that cannot be read is empty and never fires. Of a list, only the readable items
 count. Minute, hour and day of month are read, month and weekday on request.
+
+The expressions are long, so they are stated as SQL text, which Spark parses in one call.
 """
 
 from __future__ import annotations
@@ -12,37 +14,33 @@ from pyspark.sql import functions as F
 
 # Lowest and highest value of each field, in order.
 FIELD_BOUNDS = {"minutes": (0, 59), "hours": (0, 23), "days": (1, 31), "months": (1, 12), "weekdays": (0, 6)}
-_INTS = "array<int>"
 
 
-def _whole(text: Column) -> Column:
+def _whole(text: str) -> str:
     """A whole number, 0 for empty text, null for anything else."""
-    return F.when(text == "", 0).when(text.rlike(r"\A\+?[0-9]{1,9}\z"), text.try_cast("int"))
+    return rf"(CASE WHEN {text} = '' THEN 0 WHEN {text} RLIKE r'\A\+?[0-9]{{1,9}}\z' THEN CAST({text} AS INT) END)"
 
 
-def _item(text: Column, low: int, high: int) -> Column:
-    first, last = _whole(F.split_part(text, F.lit("-"), F.lit(1))), _whole(F.split_part(text, F.lit("-"), F.lit(2)))
-    is_range = text.contains("-") & (first >= low) & (last <= high) & (first <= last)
-    is_step = F.split_part(text, F.lit("/"), F.lit(1)) == "*"
-    step = _whole(F.split_part(text, F.lit("/"), F.lit(2)))
-    value = _whole(text)
-    return (
-        F.when(text == "*", F.sequence(F.lit(low), F.lit(high)))
-        .when(is_range, F.sequence(first, F.greatest(first, last)))
-        .when(text.contains("/") & is_step & step.isNull(), F.array(F.lit(low)))
-        .when(text.contains("/") & is_step & (step >= 1), F.sequence(F.lit(low), F.lit(high), F.greatest(step, F.lit(1))))
-        .when(~text.contains("/") & value.between(low, high), F.array(value))
-        .cast(_INTS)
-    )
+def _item(p: str, low: int, high: int) -> str:
+    """Values of one item of a list. A step that is no number keeps the lowest value alone."""
+    first, last, step = (_whole(f"split_part({p}, '{mark}', {at})") for mark, at in (("-", 1), ("-", 2), ("/", 2)))
+    value = _whole(p)
+    return f"""CASE
+        WHEN {p} = '*' THEN sequence({low}, {high})
+        WHEN contains({p}, '-') AND {first} >= {low} AND {last} <= {high} AND {first} <= {last}
+          THEN sequence({first}, greatest({first}, {last}))
+        WHEN split_part({p}, '/', 1) = '*' AND contains({p}, '/') THEN
+          CASE WHEN {step} IS NULL THEN array({low})
+               WHEN {step} >= 1 THEN sequence({low}, {high}, greatest({step}, 1)) END
+        WHEN NOT contains({p}, '/') AND {value} BETWEEN {low} AND {high} THEN array({value}) END"""
 
 
-def field_values(text: Column, low: int, high: int) -> Column:
-    """Sorted distinct values of one field, empty if it cannot be read."""
-    none = F.array().cast(_INTS)
-    items = F.transform(F.split(text, ",", -1), lambda p: F.coalesce(_item(p, low, high), none))
-    return F.array_sort(F.array_distinct(F.flatten(items)))
+def field_values(fields: str, at: int, low: int, high: int) -> Column:
+    """Sorted distinct values of one field of the array column `fields`, empty if it cannot be read."""
+    items = f"transform(split(get({fields}, {at}), ',', -1), p -> coalesce({_item('p', low, high)}, array()))"
+    return F.expr(f"array_sort(array_distinct(flatten(CAST({items} AS ARRAY<ARRAY<INT>>))))")
 
 
-def cron_fields(expression: Column) -> Column:
+def cron_fields(column: str) -> Column:
     """The fields between runs of white space; fewer than five make the expression invalid."""
-    return F.split(F.regexp_replace(expression, r"\A\s+|\s+\z", ""), r"\s+")
+    return F.expr(rf"split(regexp_replace({column}, r'\A\s+|\s+\z', ''), r'\s+')")

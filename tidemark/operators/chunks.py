@@ -15,6 +15,15 @@ from tidemark.functions.core import as_bytes, let
 from tidemark.functions.paths import doc_key
 
 
+# Folders of a stored chunk table are named by this many last digits of the chunk id.
+BUCKET_DIGITS = 2
+
+
+def bucketed(df: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Adds `bucket`, the last digits of the chunk id: the folder of a stored chunk."""
+    return df.withColumn("bucket", F.right("chunk_id", F.lit(digits)))
+
+
 def with_hash(df: DataFrame, content: str = "content") -> DataFrame:
     """Adds the SHA-256 of the whole content as `hash`."""
     return df.withColumn("hash", F.sha2(as_bytes(content), 256))
@@ -57,17 +66,18 @@ def with_chunk_id(df: DataFrame, algo: str = "sha256", data: str = "data") -> Da
     return df.withColumn("chunk_id", chunk_id(F.col(data), algo))
 
 
-def new_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:
+def new_chunks(chunks: DataFrame, store: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
     """One row for each chunk the store does not hold yet; a chunk already held is simply left out.
 
     Copies are dropped inside each map task before the shuffle, so a chunk that makes up a third of
-    the input ships once per task. The anti join then needs the ids of the store only.
+    the input ships once per task. The anti join then needs the ids of the store only, and where the
+    store has a `bucket` (of `digits` digits), the folders of those buckets.
     """
     unique = chunks.select("chunk_id", "data").dropDuplicates(["chunk_id"])
     if "bucket" not in store.columns:
         return unique.join(store.select("chunk_id"), "chunk_id", "left_anti")
     held = store.select("bucket", "chunk_id")
-    return bucketed(unique).join(held, ["bucket", "chunk_id"], "left_anti").select("chunk_id", "data")
+    return bucketed(unique, digits).join(held, ["bucket", "chunk_id"], "left_anti").select("chunk_id", "data")
 
 
 def children(df: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -113,6 +123,7 @@ def reassemble(
     strict: bool = False,
     empty_ok: bool = True,
     inline: str = "no_children",
+    digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """`(doc_id, path, content, n_chunks, missing_chunks)` for every file that has content.
 
@@ -121,15 +132,15 @@ def reassemble(
     which no chunk was found. `empty_ok` restores a file of size 0 that has neither.
 
     A chunk shared by many files is a hot key on the reference side only (the store has one row for
-    it), which the adaptive skew join splits. Where both sides carry a `bucket` column (see
-    `bucketed`) it joins the condition, so a partitioned store is pruned.
+    it), which the adaptive skew join splits. Where the store has a `bucket` column (see `bucketed`) it
+    joins the condition, so that only the folders of the wanted chunks are read.
     """
     if inline not in ("no_children", "unresolved"):
         raise ValueError("inline must be 'no_children' or 'unresolved'")
     on = ["bucket", "chunk_id"] if "bucket" in chunks.columns else ["chunk_id"]
     refs = files.select("doc_id", F.posexplode("children").alias("pos", "chunk_id"))
     if "bucket" in on:
-        refs = bucketed(refs)
+        refs = bucketed(refs, digits)
     found = refs.join(chunks.select(*on, "data"), on, "left")
     bodies = found.groupBy("doc_id").agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY pos)").alias("_joined"),
@@ -162,11 +173,6 @@ def reassemble(
     return out.filter(F.col("missing_chunks") == 0) if strict else out
 
 
-def bucketed(df: DataFrame, digits: int = 2) -> DataFrame:
-    """Adds `bucket`, the last characters of the chunk id: the folder key of a stored chunk table."""
-    return df.withColumn("bucket", F.right("chunk_id", F.lit(digits)))
-
-
 def sync_totals(chunks: DataFrame, store: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """Per file: chunks referenced, bytes, and how many of the chunks the store does not hold."""
     narrow = chunks.select(key, "chunk_id", F.octet_length("data").alias("_bytes"))

@@ -7,11 +7,10 @@ measured size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.functions.core import from_millis
 from tidemark.functions.cron import FIELD_BOUNDS, cron_fields, field_values
 
 _HOUR_MS = 3_600_000
@@ -23,17 +22,16 @@ def with_cron_values(schedules: DataFrame, full: bool = False) -> DataFrame:
     Month and weekday stand open unless `full` is set. A cron schedule is valid with five or more
     fields, an interval schedule with a positive interval.
     """
-    out = schedules.withColumn("_f", cron_fields(F.col("cron")))
-    enough = F.size("_f") >= 5
+    cron = "type = 'cron' AND size(_f) >= 5"
+    values = {}
     for at, (name, (low, high)) in enumerate(FIELD_BOUNDS.items()):
-        read = field_values(F.get(F.col("_f"), F.lit(at)), low, high)
+        read = field_values("_f", at, low, high)
         if name in ("months", "weekdays") and not full:
-            read = F.sequence(F.lit(low), F.lit(high))
-        out = out.withColumn(name, F.when((F.col("type") == "cron") & enough, read))
-    valid = F.when(F.col("type") == "cron", enough).otherwise(
-        (F.col("type") == "interval") & (F.coalesce("interval_ms", F.lit(0)) > 0)
-    )
-    return out.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("_f")
+            read = F.expr(f"sequence({low}, {high})")
+        values[name] = F.when(F.expr(cron), read)
+    valid = F.expr(f"coalesce({cron} OR (type = 'interval' AND interval_ms > 0), false)")
+    split = schedules.withColumn("_f", cron_fields("cron"))
+    return split.withColumns({"valid": valid, **values}).drop("_f")
 
 
 def invalid_schedules(schedules: DataFrame) -> DataFrame:
@@ -41,22 +39,22 @@ def invalid_schedules(schedules: DataFrame) -> DataFrame:
     return with_cron_values(schedules).filter(~F.col("valid")).select("name", "type", "cron", "interval_ms")
 
 
-def _active(schedules: DataFrame, kind: str, full: bool = False) -> DataFrame:
-    return with_cron_values(schedules, full).filter(
-        F.col("valid") & F.coalesce("enabled", F.lit(True)) & (F.col("type") == kind)
-    )
+def _usable(schedules: DataFrame, full: bool = False) -> DataFrame:
+    """Valid, enabled schedules under the column name that events use."""
+    rules = with_cron_values(schedules, full).filter("valid AND coalesce(enabled, true)")
+    return rules.select(F.col("name").alias("schedule"), "type", "interval_ms", *FIELD_BOUNDS)
 
 
-def _day_fires(date: Column) -> Column:
+def _fires(date: str) -> str:
+    """SQL test: does a schedule fire on this day?"""
     return (
-        F.array_contains("days", F.day(date))
-        & F.array_contains("months", F.month(date))
-        & F.array_contains("weekdays", F.dayofweek(date) - 1)
+        f"(array_contains(days, day({date})) AND array_contains(months, month({date}))"
+        f" AND array_contains(weekdays, dayofweek({date}) - 1))"
     )
 
 
-def _at(date: Column, hour: Column, minute: Column) -> Column:
-    return F.make_timestamp(F.year(date), F.month(date), F.day(date), hour, minute, F.lit(0).cast("decimal(16,6)"))
+def _at(date: str, hour: str, minute: str) -> str:
+    return f"make_timestamp(year({date}), month({date}), day({date}), {hour}, {minute}, 0)"
 
 
 def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool = False) -> DataFrame:
@@ -65,27 +63,29 @@ def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool =
     An interval fires at whole multiples after the start. Runs unfold day by day (cron) or hour by
     hour (interval), so no row holds more than a day's or an hour's firings.
     """
-    start, end = from_millis(start_ms), from_millis(end_ms)
+    rules = _usable(schedules, full)
+    start, end = f"timestamp_millis({start_ms}L)", f"timestamp_millis({end_ms}L)"
     cron = (
-        _active(schedules, "cron", full)
-        .withColumn("_day", F.explode(F.sequence(F.to_date(start), F.to_date(end))))
-        .filter(_day_fires(F.col("_day")))
-        .withColumn("_hour", F.explode("hours"))
-        .select("name", "_day", "_hour", F.explode("minutes").alias("_minute"))
-        .select(F.col("name").alias("schedule"), _at(F.col("_day"), F.col("_hour"), F.col("_minute")).alias("run_ts"))
-        .filter((F.col("run_ts") > start) & (F.col("run_ts") <= end))
+        rules.filter("type = 'cron'")
+        .selectExpr("*", f"explode(sequence(to_date({start}), to_date({end}))) AS _day")
+        .filter(_fires("_day"))
+        .selectExpr("schedule", "_day", "minutes", "explode(hours) AS _hour")
+        .selectExpr("schedule", "_day", "_hour", "explode(minutes) AS _minute")
+        .selectExpr("schedule", f"{_at('_day', '_hour', '_minute')} AS run_ts")
+        .filter(f"run_ts > {start} AND run_ts <= {end}")
     )
     length = end_ms - start_ms
-    step = F.col("interval_ms")
     slices = max(-(-length // _HOUR_MS), 1)
-    low = F.floor(F.col("_slice") * _HOUR_MS / step) + 1
-    high = F.floor(F.least((F.col("_slice") + 1) * _HOUR_MS, F.lit(length)) / step)
     interval = (
-        _active(schedules, "interval")
-        .select("name", "interval_ms", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("_slice"))
-        .filter(low <= high)
-        .select("name", "interval_ms", F.explode(F.sequence(low, high)).alias("_k"))
-        .select(F.col("name").alias("schedule"), F.timestamp_millis(F.lit(start_ms) + F.col("_k") * step).alias("run_ts"))
+        rules.filter("type = 'interval'")
+        .selectExpr("schedule", "interval_ms", f"explode(sequence(0L, {slices - 1}L)) AS _slice")
+        .selectExpr(
+            "schedule", "interval_ms", f"_slice * {_HOUR_MS} DIV interval_ms + 1 AS _low",
+            f"least((_slice + 1) * {_HOUR_MS}, {length}) DIV interval_ms AS _high",
+        )
+        .filter("_low <= _high")
+        .selectExpr("schedule", "interval_ms", "explode(sequence(_low, _high)) AS _k")
+        .selectExpr("schedule", f"timestamp_millis({start_ms}L + _k * interval_ms) AS run_ts")
     )
     return cron.unionByName(interval)
 
@@ -93,35 +93,27 @@ def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool =
 def match_schedules(events: DataFrame, schedules: DataFrame, ts: str = "ts", full: bool = False) -> DataFrame:
     """Each event beside every enabled cron schedule that fires in its minute, as `schedule`."""
     slots = (
-        _active(schedules, "cron", full)
-        .withColumn("_hour", F.explode("hours"))
-        .select(
-            F.col("name").alias("schedule"), "days", "months", "weekdays", "_hour", F.explode("minutes").alias("_minute")
-        )
-        .withColumn("_slot", F.col("_hour") * 60 + F.col("_minute"))
-        .drop("_hour", "_minute")
-    )
-    placed = events.withColumn("_slot", F.hour(ts) * 60 + F.minute(ts))
-    return placed.join(slots, "_slot").filter(_day_fires(F.col(ts))).select(*events.columns, "schedule")
-
-
-def _next_cron(ts: Column) -> Column:
-    """First whole minute after the minute of `ts` that fires, within one month, else null."""
-    hour, minute = F.hour(ts), F.minute(ts)
-    today = F.to_date(ts)
-    next_minute = F.get(F.filter("minutes", lambda m: m > minute), F.lit(0))
-    next_hour = F.get(F.filter("hours", lambda h: h > hour), F.lit(0))
-    this_hour = F.array_contains("hours", hour) & next_minute.isNotNull()
-    first_minute, first_hour = F.get("minutes", F.lit(0)), F.get("hours", F.lit(0))
-    ahead = F.get(F.filter(F.sequence(F.lit(1), F.lit(31)), lambda d: _day_fires(F.date_add(today, d))), F.lit(0))
-    later_day = F.date_add(today, ahead)
-    candidate = (
-        F.when(_day_fires(today) & this_hour, _at(today, hour, next_minute))
-        .when(_day_fires(today) & next_hour.isNotNull() & first_minute.isNotNull(), _at(today, next_hour, first_minute))
-        .otherwise(_at(later_day, first_hour, first_minute))
+        _usable(schedules, full)
+        .filter("type = 'cron'")
+        .selectExpr("schedule", "days", "months", "weekdays", "minutes", "explode(hours) AS _hour")
+        .selectExpr("schedule", "days", "months", "weekdays", "explode(transform(minutes, m -> _hour * 60 + m)) AS _slot")
     )
-    limit = F.date_trunc("MINUTE", ts) + F.expr("INTERVAL 1 MONTH")
-    return F.when(candidate <= limit, candidate)
+    placed = events.withColumn("_slot", F.expr(f"hour({ts}) * 60 + minute({ts})"))
+    return placed.join(slots, "_slot").filter(_fires(ts)).select(*events.columns, "schedule")
+
+
+def _next_cron(ts: str) -> str:
+    """SQL: first whole minute after the minute of `ts` that fires, within one month, else null."""
+    next_minute = f"get(filter(minutes, m -> m > minute({ts})), 0)"
+    next_hour = f"get(filter(hours, h -> h > hour({ts})), 0)"
+    ahead = f"get(filter(sequence(1, 31), d -> {_fires(f'date_add(to_date({ts}), d)')}), 0)"
+    candidate = f"""CASE
+        WHEN {_fires(ts)} AND array_contains(hours, hour({ts})) AND {next_minute} IS NOT NULL
+          THEN {_at(ts, f'hour({ts})', next_minute)}
+        WHEN {_fires(ts)} AND {next_hour} IS NOT NULL THEN {_at(ts, next_hour, 'get(minutes, 0)')}
+        ELSE {_at(f'date_add(to_date({ts}), {ahead})', 'get(hours, 0)', 'get(minutes, 0)')} END"""
+    limit = f"date_trunc('MINUTE', {ts}) + INTERVAL 1 MONTH"
+    return f"get(filter(array({candidate}), c -> c <= {limit}), 0)"
 
 
 def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full: bool = False) -> DataFrame:
@@ -130,16 +122,10 @@ def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full:
     Worked out from the field lists by arithmetic on each row, so no calendar is unfolded or joined.
     Null for a schedule that is missing, disabled, invalid or without a run within a month.
     """
-    usable = with_cron_values(schedules, full).filter(F.col("valid") & F.coalesce("enabled", F.lit(True)))
-    names = ["type", "interval_ms", *FIELD_BOUNDS]
-    rules = usable.select(F.col("name").alias("schedule"), *names)
-    when = F.col(ts).cast("timestamp")
-    interval = F.timestamp_millis(F.unix_millis(when) + F.col("interval_ms"))
-    joined = events.join(rules, "schedule", "left")
-    return joined.select(
-        *events.columns,
-        F.when(F.col("type") == "interval", interval).when(F.col("type") == "cron", _next_cron(when)).alias("next_run"),
-    )
+    runs = f"""CASE type WHEN 'interval' THEN timestamp_millis(unix_millis(_when) + interval_ms)
+        WHEN 'cron' THEN {_next_cron('_when')} END AS next_run"""
+    timed = events.withColumn("_when", F.col(ts).cast("timestamp"))
+    return timed.join(_usable(schedules, full), "schedule", "left").select(*events.columns, F.expr(runs))
 
 
 def changes_per_run(
@@ -157,17 +143,13 @@ def changes_per_run(
     third of all changes costs one partial count per task; the carry-over is a running minimum over
     the calendar, whose length depends on the horizon and not on the data.
     """
-    start = F.lit(start_ms).cast("long")
-    usable = with_cron_values(schedules, full).filter(F.col("valid") & F.coalesce("enabled", F.lit(True)))
-    rules = usable.select(F.col("name").alias("schedule"), "type", "interval_ms", *FIELD_BOUNDS)
-    when = F.col(ts).cast("timestamp")
-    offset = F.unix_millis(when) - start
-    grid = F.timestamp_millis(start + (F.floor(offset / F.col("interval_ms")) + 1) * F.col("interval_ms"))
-    in_range = (when >= from_millis(start_ms)) & (when <= from_millis(end_ms))
+    grid = f"""timestamp_millis({start_ms}L +
+        ((unix_millis(_when) - {start_ms}L) DIV interval_ms + 1) * interval_ms)"""
     arrivals = (
-        changes.filter(in_range)
-        .join(rules, "schedule")
-        .select("schedule", F.when(F.col("type") == "interval", grid).otherwise(_next_cron(when)).alias("run_ts"))
+        changes.select("schedule", F.col(ts).cast("timestamp").alias("_when"))
+        .filter(f"_when >= timestamp_millis({start_ms}L) AND _when <= timestamp_millis({end_ms}L)")
+        .join(_usable(schedules, full), "schedule")
+        .selectExpr("schedule", f"CASE type WHEN 'interval' THEN {grid} ELSE {_next_cron('_when')} END AS run_ts")
         .groupBy("schedule", "run_ts")
         .agg(F.count("*").alias("arrived"))
     )
@@ -176,11 +158,9 @@ def changes_per_run(
         .join(arrivals, ["schedule", "run_ts"], "left")
         .withColumn("arrived", F.coalesce("arrived", F.lit(0)))
     )
-    upto = Window.partitionBy("schedule").orderBy("run_ts").rowsBetween(Window.unboundedPreceding, 0)
-    balance = F.sum(F.col("arrived") - n).over(upto)
-    runs = runs.withColumn("_s", balance)
+    by_time = Window.partitionBy("schedule").orderBy("run_ts")
+    upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("_s", F.sum(F.col("arrived") - n).over(upto))
     runs = runs.withColumn("left_over", F.col("_s") - F.least(F.lit(0), F.min("_s").over(upto)))
-    before = F.lag("left_over", 1, 0).over(Window.partitionBy("schedule").orderBy("run_ts"))
-    return runs.withColumn("taken", before + F.col("arrived") - F.col("left_over")).select(
-        "schedule", "run_ts", "arrived", "taken", "left_over"
-    )
+    taken = F.lag("left_over", 1, 0).over(by_time) + F.col("arrived") - F.col("left_over")
+    return runs.select("schedule", "run_ts", "arrived", taken.alias("taken"), "left_over")

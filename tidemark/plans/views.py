@@ -75,12 +75,11 @@ def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _swap_line(text: Column, which: str, prefix: str) -> Column:
-    """The text with its first or last line changed."""
-    pattern = r"\A[^\n]*" if which == "first" else r"[^\n]*\z"
-    end = F.regexp_extract(text, pattern, 0)
+    """The text with a word put before its first or last line."""
     if which == "first":
         return F.concat(F.lit(prefix), text)
-    return F.concat(F.substr(text, F.lit(1), F.length(text) - F.length(end)), F.lit(prefix), end)
+    last = F.substring_index(text, "\n", -1)
+    return F.concat(F.left(text, F.length(text) - F.length(last)), F.lit(prefix), last)
 
 
 def merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from tidemark import schemas
-from tidemark.operators.chunks import bucketed
+from tidemark.operators.chunks import BUCKET_DIGITS, bucketed
 from tidemark.sources.scan import with_scope_folder
 
 _META = T.StructType([T.StructField("last_sync", T.TimestampType()), T.StructField("version", T.LongType())])
@@ -17,20 +17,31 @@ _META = T.StructType([T.StructField("last_sync", T.TimestampType()), T.StructFie
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", by_scope: bool = True) -> None:
     """Writes `(path, content)` rows, in one folder per scope unless `by_scope` is off.
 
-    A scope may hold a third of all files, so rows are not gathered by scope before writing.
+    Rows are rebalanced by scope first: small scopes share a task and a scope with a third of all
+    files is split over many, so each folder gets few files of a sensible size.
     """
-    out = with_scope_folder(df) if by_scope else df
+    out = with_scope_folder(df).hint("rebalance", "scope") if by_scope else df
     writer = out.write.format(fmt).mode(mode)
     (writer.partitionBy("scope") if by_scope else writer).save(path)
 
 
-def write_chunks(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_chunks(df: DataFrame, path: str, mode: str = "overwrite", digits: int = BUCKET_DIGITS) -> None:
     """Writes chunks in folders by the end of their id, which a reader can prune.
 
-    Ids are hashes, so the folders fill evenly.
+    Ids are hashes, so the folders fill evenly; `digits` hexadecimal digits give `16 ** digits` of
+    them.
     """
-    out = bucketed(df.select("chunk_id", "data"))
-    out.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(path)
+    out = bucketed(df.select("chunk_id", "data"), digits).hint("rebalance", "bucket")
+    out.write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The stored chunks `(chunk_id, data, bucket)`, empty where nothing was stored yet."""
+    try:
+        # The folder names are digits of ids and must not be read as numbers.
+        return spark.read.schema("chunk_id string, data binary, bucket string").parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "chunk_id string, data binary, bucket string")
 
 
 def save_state(df: DataFrame, path: str, version: int, last_sync_ms: int) -> None:

@@ -16,6 +16,9 @@ def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "1
     `(path, event, ts, closes, events)`, with `ts` the time of the last event and `closes` the time
     the burst ended. On a stream a burst is given out once the watermark has passed its close. With a
     gap of the write-stability wait the same operator tells when a file has settled.
+
+    `closes` is worked out from the last event and not read from the session window: a filter on the
+    window itself moves below the grouping, where it would cut the early events off a burst.
     """
     source = events.withWatermark("ts", watermark) if events.isStreaming else events
     window = F.session_window("ts", f"{gap_ms} milliseconds")
@@ -23,7 +26,7 @@ def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "1
     return (
         source.groupBy("path", window)
         .agg(F.max_by("event", newest).alias("event"), F.max("ts").alias("_last"), F.count("*").alias("events"))
-        .select("path", "event", F.col("_last").alias("ts"), F.col("session_window.end").alias("closes"), "events")
+        .select("path", "event", F.col("_last").alias("ts"), (F.col("_last") + F.expr(f"INTERVAL '{gap_ms / 1000:.3f}' SECOND")).alias("closes"), "events")
     )
 
 

@@ -13,13 +13,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.errors import AnalysisException
 
 from tidemark import constants as K
-from tidemark import schemas
 from tidemark.functions.core import as_bytes
-from tidemark.operators.chunks import bucketed, new_chunks, reassemble
+from tidemark.operators.chunks import BUCKET_DIGITS, new_chunks, reassemble
 from tidemark.operators.conflict import latest_write
 from tidemark.operators.filters import live_docs, valid_paths
 from tidemark.operators.scopes import Rules, scope_filter
 from tidemark.sources.scan import chunk_docs, classify_docs, file_docs
+from tidemark.sources.sinks import read_chunks, write_chunks
 from tidemark.streaming.feeds import run_feed
 
 
@@ -41,18 +41,12 @@ def apply_remote(
     return _restore(file_docs(live), held.unionByName(new_chunks(own, held)), rules, agent, enforce)
 
 
-def _restore(files: DataFrame, chunks: DataFrame, rules: Rules, agent: str, enforce: bool) -> DataFrame:
+def _restore(
+    files: DataFrame, chunks: DataFrame, rules: Rules, agent: str, enforce: bool, digits: int = BUCKET_DIGITS
+) -> DataFrame:
     visible = scope_filter(valid_paths(files), rules, agent, enforce=enforce)
     newest = latest_write(visible, "doc_id", "mtime", None, "path")
-    return reassemble(newest, chunks, empty_ok=False, inline="unresolved")
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        # The folder names are digits of ids and must not be read as numbers.
-        return spark.read.schema("chunk_id string, data binary, bucket string").parquet(path)
-    except AnalysisException:
-        return bucketed(spark.createDataFrame([], schemas.CHUNKS))
+    return reassemble(newest, chunks, empty_ok=False, inline="unresolved", digits=digits)
 
 
 def _waiting(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
@@ -69,6 +63,7 @@ def follow_remote(
     agent: str = K.DEFAULT_AGENT,
     enforce: bool = True,
     every: str | None = None,
+    digits: int = BUCKET_DIGITS,
 ) -> StreamingQuery:
     """Applies a document stream to `folder`: `chunks` (by bucket), `files` and `waiting` (by batch).
 
@@ -81,13 +76,13 @@ def follow_remote(
         live = classify_docs(live_docs(batch))
         own = chunk_docs(live).withColumn("data", as_bytes("data"))
         chunk_path, wait_path = f"{folder}/chunks", f"{folder}/waiting"
-        fresh = bucketed(new_chunks(own, _stored(spark, chunk_path)))
-        fresh.write.mode("append").partitionBy("bucket").parquet(chunk_path)
+        fresh = new_chunks(own, read_chunks(spark, chunk_path), digits)
+        write_chunks(fresh, chunk_path, "append", digits)
 
         arrived = file_docs(live)
         earlier = _waiting(spark, wait_path, batch_id - 1, arrived)
         files = arrived.unionByName(earlier.join(arrived.select("doc_id"), "doc_id", "left_anti"))
-        restored = _restore(files, _stored(spark, chunk_path), rules, agent, enforce)
+        restored = _restore(files, read_chunks(spark, chunk_path), rules, agent, enforce, digits)
         restored.write.mode("overwrite").parquet(f"{folder}/files/batch={batch_id}")
 
         done = spark.read.parquet(f"{folder}/files/batch={batch_id}").filter(F.col("missing_chunks") == 0)
