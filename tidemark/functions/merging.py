@@ -31,19 +31,20 @@ def _line(base: Column, local: Column, remote: Column) -> Column:
 
 def _merge_lines(base: Column, local: Column, remote: Column) -> Column:
     blank = F.lit("")
-    sides = F.arrays_zip(F.split(base, "\n", -1), F.split(local, "\n", -1), F.split(remote, "\n", -1))
-    length = F.greatest(F.size(F.split(local, "\n", -1)), F.size(F.split(remote, "\n", -1)))
-    lines = F.transform(
-        F.slice(sides, F.lit(1), length),
-        lambda z: _line(*[F.coalesce(z.getField(i), blank) for i in ("0", "1", "2")]),
-    )
-    return let(
-        lines,
-        lambda merged: _result(
-            F.array_join(F.transform(merged, lambda m: m["text"]), "\n"),
-            F.exists(merged, lambda m: m["clash"]),
-        ),
-    )
+    split = [F.split(side, "\n", -1).alias(name) for side, name in ((base, "b"), (local, "l"), (remote, "r"))]
+
+    def lines(s: Column) -> Column:
+        longer = F.greatest(F.size(s["l"]), F.size(s["r"]))
+        return F.transform(
+            F.slice(F.arrays_zip(s["b"], s["l"], s["r"]), F.lit(1), longer),
+            lambda z: _line(*[F.coalesce(z.getField(side), blank) for side in ("b", "l", "r")]),
+        )
+
+    def joined(merged: Column) -> Column:
+        text = F.array_join(F.transform(merged, lambda m: m["text"]), "\n")
+        return _result(text, F.exists(merged, lambda m: m["clash"]))
+
+    return let(let(F.struct(*split), lines), joined)
 
 
 def three_way(base: Column, local: Column, remote: Column) -> Column:
@@ -61,27 +62,34 @@ def three_way(base: Column, local: Column, remote: Column) -> Column:
     )
 
 
-# A leading block between two `---` lines, and all that follows it.
-_FRONT = r"(?s)\A---\n(.*?)\n---\n(.*)\z"
+# The first line of front matter, and what ends it.
+_OPEN = "---\n"
+_CLOSE = "\n---\n"
 
 
-def has_front_matter(text: Column) -> Column:
-    return text.rlike(_FRONT)
+def parts_of(text: Column) -> Column:
+    """`struct(front, body)`: the block between a leading `---` line and the next one, and what follows.
 
+    `front` is null where the text has no such block; the body is then the whole text.
+    """
+
+    def cut(end: Column) -> Column:
+        found = text.startswith(_OPEN) & (end > 0)
+        front = F.substr(text, F.lit(len(_OPEN) + 1), end - (len(_OPEN) + 1))
+        return F.struct(
+            F.when(found, front).alias("front"),
+            F.when(found, F.substr(text, end + len(_CLOSE))).otherwise(text).alias("body"),
+        )
 
-def body_of(text: Column) -> Column:
-    """The text after its front matter, or all of it where there is none."""
-    return F.when(has_front_matter(text), F.regexp_extract(text, _FRONT, 2)).otherwise(text)
+    return let(F.locate(_CLOSE, text, len(_OPEN) + 1), cut)
 
 
-def entries_of(text: Column) -> Column:
-    """Front matter as an array of `struct(key, value)`, in order, repeated keys included.
+def entries_of(front: Column) -> Column:
+    """A front-matter block as an array of `struct(key, value)`, in order, repeated keys included.
 
     A line splits at its first colon; lines without one, or beginning with it, are dropped.
     """
-    lines = F.when(has_front_matter(text), F.split(F.regexp_extract(text, _FRONT, 1), "\n", -1)).otherwise(
-        F.array().cast("array<string>")
-    )
+    lines = F.coalesce(F.split(front, "\n", -1), F.array().cast("array<string>"))
     keyed = F.filter(lines, lambda line: F.locate(":", line) > 1)
     return F.transform(
         keyed,
@@ -147,9 +155,12 @@ def render_entries(entries: Column) -> Column:
 
 def three_way_markdown(base: Column, local: Column, remote: Column) -> Column:
     """`struct(merged, conflict)`: front matter by key, body by line. Only the body can conflict."""
-    base, local, remote = [F.coalesce(c, F.lit("")) for c in (base, local, remote)]
-    front = let(
-        merge_entries(entries_of(base), entries_of(local), entries_of(remote)), render_entries
-    )
-    body = three_way(body_of(base), body_of(local), body_of(remote))
-    return let(body, lambda m: _result(F.concat(front, m["merged"]), m["conflict"]))
+    sides = [parts_of(F.coalesce(c, F.lit(""))).alias(n) for c, n in ((base, "b"), (local, "l"), (remote, "r"))]
+
+    def merged(s: Column) -> Column:
+        entries = merge_entries(*[entries_of(s[n]["front"]) for n in ("b", "l", "r")])
+        front = let(entries, render_entries)
+        body = three_way(*[s[n]["body"] for n in ("b", "l", "r")])
+        return let(body, lambda m: _result(F.concat(front, m["merged"]), m["conflict"]))
+
+    return let(F.struct(*sides), merged)

@@ -25,21 +25,23 @@ def merge_text(df: DataFrame) -> DataFrame:
 
 def extract_frontmatter(df: DataFrame, text: str = "content") -> DataFrame:
     """Adds `front_matter`, an array of `struct(key, value)`, and `body`."""
-    return df.withColumn("front_matter", M.entries_of(F.col(text))).withColumn("body", M.body_of(F.col(text)))
+    cut = df.withColumn("_parts", M.parts_of(F.col(text)))
+    added = {"front_matter": M.entries_of(F.col("_parts.front")), "body": F.col("_parts.body")}
+    return cut.withColumns(added).drop("_parts")
 
 
 def frontmatter_rows(df: DataFrame, text: str = "content", key: str = "path") -> DataFrame:
     """Front matter as rows `(path, key, value)`, the last of repeated keys winning."""
-    entries = M.entries_of(F.col(text))
     none = F.array().cast("array<struct<key:string,value:string>>")
-    return df.select(F.col(key), F.explode(M.merge_entries(none, entries, none)).alias("_e")).select(
-        key, F.col("_e.key").alias("key"), F.col("_e.value").alias("value")
-    )
+    entries = M.entries_of(M.parts_of(F.col(text))["front"])
+    rows = df.select(F.col(key), F.inline(M.merge_entries(none, entries, none)).alias("_key", "value"))
+    return rows.withColumnRenamed("_key", "key")
 
 
 def merge_frontmatter(df: DataFrame, key: str = "path") -> DataFrame:
     """Merged front matter of three sides as rows `(path, pos, key, value)`; no shuffle."""
-    merged = M.merge_entries(*[M.entries_of(F.coalesce(F.col(c), F.lit(""))) for c in ("base", "local", "remote")])
+    fronts = [M.parts_of(F.coalesce(F.col(c), F.lit("")))["front"] for c in ("base", "local", "remote")]
+    merged = M.merge_entries(*[M.entries_of(f) for f in fronts])
     return df.select(F.col(key), F.posexplode(merged).alias("pos", "_e")).select(
         key, "pos", F.col("_e.key").alias("key"), F.col("_e.value").alias("value")
     )

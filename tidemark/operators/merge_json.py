@@ -32,19 +32,33 @@ def _load(text: str):
     return json.loads(text, parse_int=_number, parse_float=_number, parse_constant=no_constant)
 
 
-def _dump(value, indent=None) -> str:
-    separators = (",", ":") if indent is None else None
-    return json.dumps(_ordered(value), ensure_ascii=False, indent=indent, separators=separators)
+_quote = json.JSONEncoder(ensure_ascii=False).encode
 
 
-def _ordered(value):
-    """Whole-number keys come first, ascending, at every level."""
-    if isinstance(value, list):
-        return [_ordered(v) for v in value]
-    if not isinstance(value, dict):
-        return value
-    numeric = sorted((k for k in value if k.isdecimal() and str(int(k)) == k and int(k) < 2**32 - 1), key=int)
-    return {k: _ordered(value[k]) for k in numeric + [k for k in value if k not in set(numeric)]}
+def _keys_in_order(fields: dict):
+    """Whole-number keys come first, ascending, as in every JSON object that was parsed."""
+    if not any(k[:1].isdecimal() for k in fields):
+        return fields
+    numeric = sorted((k for k in fields if k.isdecimal() and str(int(k)) == k and int(k) < 2**32 - 1), key=int)
+    return numeric + [k for k in fields if k not in set(numeric)]
+
+
+def _text(value, indent: str | None = None) -> str:
+    """JSON text: on one line without blanks, or with two blanks per level from `indent` on."""
+    if isinstance(value, dict):
+        colon = ":" if indent is None else ": "
+        inner = None if indent is None else indent + "  "
+        items = [f"{_quote(k)}{colon}{_text(value[k], inner)}" for k in _keys_in_order(value)]
+        ends = "{}"
+    elif isinstance(value, list):
+        inner = None if indent is None else indent + "  "
+        items = [_text(v, inner) for v in value]
+        ends = "[]"
+    else:
+        return _quote(value)
+    if indent is None or not items:
+        return ends[0] + ",".join(items) + ends[1]
+    return ends[0] + inner + f",{inner}".join(items) + indent + ends[1]
 
 
 def _shown(value) -> str:
@@ -65,10 +79,10 @@ def _same_scalar(a, b) -> bool:
 
 def _union(local: list, remote: list) -> list:
     """The local items, then the remote items whose JSON text is not there yet."""
-    seen = {_dump(v) for v in local}
+    seen = {_text(v) for v in local}
     extra = {}
     for item in remote:
-        text = _dump(item)
+        text = _text(item)
         if text not in seen:
             extra.setdefault(text, item)
     return local + list(extra.values())
@@ -98,7 +112,7 @@ def _merge_objects(local: dict, remote: dict, base, prefer_remote: bool, at: str
         return theirs if prefer_remote else mine
 
     # Shared keys are visited in the remote order, which fixes the order of the messages.
-    picked = {k: pick(k) for k in _ordered(remote) if k in both}
+    picked = {k: pick(k) for k in _keys_in_order(remote) if k in both}
     kept = {k: picked.get(k, local[k]) if k in both else local[k] for k in local}
     return kept | {k: v for k, v in remote.items() if k not in both}
 
@@ -120,7 +134,7 @@ def _merge_pair(local: str, remote: str, base: str | None, prefer_remote: bool):
     if fields and not isinstance(mine, (dict, list)):
         return None, []
     log: list[str] = []
-    return _dump(_merge_objects(_as_object(mine), fields, known, prefer_remote, "", log), indent=2), log
+    return _text(_merge_objects(_as_object(mine), fields, known, prefer_remote, "", log), "\n"), log
 
 
 def json_merge_column(local: Column, remote: Column, base: Column, prefer_remote: bool = False) -> Column:
@@ -159,38 +173,29 @@ def json_leaves(df: DataFrame, key: str, column: str, depth: int = 5) -> DataFra
 
     `kind` is string, number, boolean, null or array; objects below `depth` stay whole as kind
     object. Rows that do not parse as an object give nothing. Numbers show their double value, so 1
-    and 1.0 agree.
+    and 1.0 agree. Each level unfolds the objects and passes everything else on, so the input is read
+    once and nothing is shuffled.
     """
+    unfold = df.sparkSession.tvf.variant_explode_outer(F.col("_object").outer())
     level = df.select(F.col(key), F.lit("").alias("_at"), F.try_parse_json(column).alias("_v"))
-    is_object = F.schema_of_variant("_v").startswith("OBJECT")
-    level = level.filter(is_object)
-    found = []
-    for step in range(depth):
-        fields = level.lateralJoin(
-            df.sparkSession.tvf.variant_explode(F.col("_v").outer())
-        ).select(
-            key,
-            F.concat("_at", F.when(F.col("_at") == "", F.lit("")).otherwise(F.lit(".")), "key").alias("_at"),
-            F.col("value").alias("_v"),
+    level = level.withColumn("schema", F.schema_of_variant("_v")).filter("startswith(schema, 'OBJECT')")
+    for _ in range(depth):
+        level = (
+            level.withColumn("_object", F.expr("CASE WHEN startswith(schema, 'OBJECT') THEN _v END"))
+            .lateralJoin(unfold)
+            .filter("key IS NOT NULL OR _object IS NULL")  # an empty object has no fields
+            .selectExpr(
+                f"`{key}`",
+                "CASE WHEN key IS NULL THEN _at WHEN _at = '' THEN key ELSE concat(_at, '.', key) END AS _at",
+                "CASE WHEN key IS NULL THEN _v ELSE value END AS _v",
+                "CASE WHEN key IS NULL THEN schema ELSE schema_of_variant(value) END AS schema",
+            )
         )
-        found.append(fields if step == depth - 1 else fields.filter(~is_object))
-        level = fields.filter(is_object)
-    leaves = found[0]
-    for more in found[1:]:
-        leaves = leaves.unionByName(more)
-    schema = F.schema_of_variant("_v")
-    kind = (
-        F.when(schema == "VOID", "null")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema.startswith("OBJECT"), "object")
-        .otherwise("number")
-    )
-    value = F.when(kind == "number", F.try_variant_get("_v", "$", "double").cast("string")).otherwise(
-        F.to_json("_v")
-    )
-    return leaves.select(key, F.col("_at").alias("json_path"), kind.alias("kind"), value.alias("value"))
+    kind = """CASE WHEN schema = 'VOID' THEN 'null' WHEN schema = 'STRING' THEN 'string' WHEN schema = 'BOOLEAN' THEN 'boolean'
+        WHEN schema LIKE 'ARRAY%' THEN 'array' WHEN schema LIKE 'OBJECT%' THEN 'object' ELSE 'number' END"""
+    value = "CASE kind WHEN 'number' THEN CAST(try_variant_get(_v, '$', 'double') AS STRING) ELSE to_json(_v) END AS value"
+    kinds = level.selectExpr(f"`{key}`", "_at AS json_path", "_v", f"{kind} AS kind")
+    return kinds.selectExpr(f"`{key}`", "json_path", "kind", value)
 
 
 def merge_json_leaves(local: DataFrame, remote: DataFrame, key: str, prefer_remote: bool = False) -> DataFrame:

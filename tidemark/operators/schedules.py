@@ -63,7 +63,9 @@ def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool =
     An interval fires at whole multiples after the start. Runs unfold day by day (cron) or hour by
     hour (interval), so no row holds more than a day's or an hour's firings.
     """
-    rules = _usable(schedules, full)
+    # A few schedules unfold to many runs, so the small table is spread over all cores first.
+    cores = schedules.sparkSession.sparkContext.defaultParallelism
+    rules = _usable(schedules, full).repartition(cores, "schedule")
     start, end = f"timestamp_millis({start_ms}L)", f"timestamp_millis({end_ms}L)"
     cron = (
         rules.filter("type = 'cron'")

@@ -14,14 +14,17 @@ from tidemark.functions.core import utc_instant
 from tidemark.functions.paths import doc_key
 from tidemark.operators.audit import audit_rows
 from tidemark.operators.chunks import chunk_files, file_documents, with_chunk_id, with_hash
+from tidemark.session import spread
 
 BASE_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 END_MS = BASE_MS + 31 * 86_400_000
 CHUNK = 1_024
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def read(spark: SparkSession, sf_dir: str, table: str, *spread_by: str) -> DataFrame:
+    """A given table; with `spread_by`, hashed over the cores if its scan has too few tasks."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df, *spread_by) if spread_by else df
 
 
 def _stamp(ms: Column) -> Column:
@@ -34,7 +37,7 @@ def _ext(number: Column) -> Column:
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(n, doc_id, path, content, mtime, lang, source)` of every document."""
-    d = read(spark, sf_dir, "documents")
+    d = read(spark, sf_dir, "documents", "doc_id")
     n = F.col("doc_id")
     folder = F.lpad(((n * 7) % 230).cast("string"), 3, "0")
     path = F.concat(folder, F.lit("/"), "source", F.lit("/"), n.cast("string"), F.lit("."), _ext(n % 4))
@@ -83,7 +86,7 @@ def _swap_line(text: Column, which: str, prefix: str) -> Column:
 
 
 def merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(n, doc_id, path, base, local, remote, local_mtime, remote_mtime)`.
+    """`(n, doc_id, path, lang, source, base, local, remote, local_mtime, remote_mtime)`.
 
     Local changes the first line of even documents; remote changes the last line of every third
     document and the first line of every fifteenth, so some edits collide.
@@ -98,6 +101,8 @@ def merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n",
         "doc_id",
         "path",
+        "lang",
+        "source",
         text.alias("base"),
         local.alias("local"),
         remote.alias("remote"),
@@ -127,7 +132,6 @@ def replicas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def front_matter_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge sides whose texts begin with front matter that differs from side to side."""
     sides = merge_sides(spark, sf_dir)
-    meta = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "source", "lang")
     n = F.col("n")
 
     def head(title: Column, lang: Column, extra: Column) -> Column:
@@ -142,8 +146,7 @@ def front_matter_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("xx"),
         F.concat(F.lit("added: "), n.cast("string"), F.lit("\ntitle2: a: b\n")),
     )
-    joined = sides.join(meta, "n")
-    return joined.select(
+    return sides.select(
         "n", "path",
         F.concat(base, "base").alias("base"),
         F.concat(mine, "local").alias("local"),
@@ -153,7 +156,7 @@ def front_matter_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(o_orderkey, local, remote, base)`: orders with their customer as nested JSON, edited on both sides."""
-    o = read(spark, sf_dir, "orders")
+    o = read(spark, sf_dir, "orders", "o_orderkey")
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     k = F.col("o_orderkey")
     joined = o.join(c, "o_custkey", "left")
@@ -203,7 +206,7 @@ def version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(path, event, ts, seq, schedule)` of every event."""
-    e = read(spark, sf_dir, "events")
+    e = read(spark, sf_dir, "events", "event_id")
     user = F.col("user_id")
     kind = F.when(F.col("event_type") == "signup", "add").when(F.col("event_type") == "error", "unlink").otherwise("change")
     path = F.concat(F.lpad((user % 230).cast("string"), 3, "0"), F.lit("/u"), user.cast("string"), F.lit(".md"))
@@ -236,9 +239,13 @@ def _schedules(key: Column, name: Column, df: DataFrame) -> DataFrame:
 
 
 def user_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A schedule for every user of the events table."""
-    users = read(spark, sf_dir, "events").select("user_id").distinct()
-    return _schedules(F.col("user_id"), F.concat(F.lit("s"), F.col("user_id").cast("string")), users)
+    """A schedule for every user of the events table.
+
+    The key comes out of the grouping as a value, so tests on a schedule run once per user and do not
+    move below the grouping to run once per event.
+    """
+    users = read(spark, sf_dir, "events").groupBy("user_id").agg(F.max("user_id").alias("user"))
+    return _schedules(F.col("user"), F.concat(F.lit("s"), F.col("user").cast("string")), users)
 
 
 def nation_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
