@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,30 @@ def test_debounce_joins_events_exactly_one_gap_apart(spark):
     assert len(_bursts(E.debounce(_events(spark, BURSTS), K.STABILITY_MS))) == 5
 
 
+@pytest.mark.parametrize("gap", [500, 40_000_000])
+def test_bursts_across_days_against_a_plain_loop(spark, gap):
+    rng = random.Random(gap)
+    day = 86_400_000
+    rows, seq = [], 0
+    for path in "abc":
+        for _ in range(150):
+            near = rng.choice([0, day, 2 * day, 7 * day, rng.randrange(10 * day)])
+            seq += 1
+            rows.append((path, rng.choice(["add", "change", "unlink"]), near + rng.randrange(-2 * 500, 2 * 500) * rng.choice([1, gap // 500]), seq))
+    want = []
+    for path in "abc":
+        burst = []
+        for _, event, at, number in sorted((r for r in rows if r[0] == path), key=lambda r: (r[2], r[3])):
+            if burst and at - burst[-1][0] > gap:
+                want.append((path, burst[-1][1], burst[-1][0], len(burst)))
+                burst = []
+            burst.append((at, event, number))
+        want.append((path, burst[-1][1], burst[-1][0], len(burst)))
+    assert _bursts(E.debounce(_events(spark, rows), gap)) == sorted(want)
+    local = _events(spark, rows).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    assert sorted((r.path, r.event, r.events) for r in E.debounce(local, gap).collect()) == sorted((p, e, n) for p, e, _, n in want)
+
+
 def test_a_filter_on_the_close_keeps_whole_bursts(spark):
     late = E.debounce(_events(spark, BURSTS)).filter(F.unix_millis("closes") > 1400)
     assert _bursts(late) == [("a", "add", 1501, 1), ("a", "unlink", 1000, 3)]

@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 
@@ -223,8 +224,11 @@ def test_sync_with_merge_outcomes(spark):
     base = spark.createDataFrame([("clean", "a\nb")], "doc_id string, content string")
     got = {r.doc_id: r for r in pipelines.sync_with_merge(local, remote, base).collect()}
     assert {k: (r.outcome, r.content, r.version, [v.version for v in r.versions]) for k, r in got.items()} == {
-        "new": ("new", "n", 1, []), "same": ("unchanged", "s", 5, []), "clean": ("merged", "A\nB", 5, [4]),
-        "mine": ("local", "X", 5, [4]), "theirs": ("remote", "Y", 4, []),
+        "new": ("new", None, 1, []), "same": ("unchanged", None, 5, []), "clean": ("merged", "A\nB", 5, [4]),
+        "mine": ("local", None, 5, [4]), "theirs": ("remote", "Y", 4, []),
     }
+    for name, text in {"new": "n", "mine": "X", "theirs": "Y", "clean": "A\nB"}.items():
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        assert (got[name].hash, got[name].size, got[name].children) == (digest, len(text), [digest])
     plain = {r.doc_id: r.outcome for r in pipelines.sync_with_merge(local, remote, base, "keep-both", auto_merge=False).collect()}
     assert plain == {"new": "new", "same": "unchanged", "clean": "both", "mine": "both", "theirs": "both"}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes
+from tidemark.functions.paths import doc_key
 from tidemark.operators import chunks as C
 from tidemark.operators import conflict as X
 from tidemark.operators import diff as D
@@ -16,6 +17,12 @@ from tidemark.operators.merge import merge_conflicts
 from tidemark.operators.scopes import Rules, scope_filter
 
 
+def _described(df: DataFrame, *extras: str) -> DataFrame:
+    """Key, hash and times of files, without their content; a hash that is stored is not computed again."""
+    own = df if "hash" in df.columns else C.with_hash(df)
+    return own.select("doc_id", "hash", "mtime", *[c for c in extras if c in df.columns])
+
+
 def sync_with_merge(
     local: DataFrame,
     remote: DataFrame,
@@ -26,52 +33,71 @@ def sync_with_merge(
 ) -> DataFrame:
     """The outcome of syncing each local file `(doc_id, path, content, mtime)` over its remote copy.
 
-    `(doc_id, path, outcome, action, content, hash, size, children, version, versions)`. Files without a
-    conflict keep the local text. In a conflict a clean merge of the three texts wins; otherwise the
-    strategy decides: `outcome` is new, unchanged, merged, local, remote or both. The remote
-    version that is overwritten is appended to the history.
+    `(doc_id, path, outcome, action, hash, size, children, version, mtime, versions, content)`. Files
+    without a conflict keep the local text. In a conflict a clean merge of the three texts wins;
+    otherwise the strategy decides: `outcome` is new, unchanged, merged, local, remote or both. The
+    remote version that is overwritten is appended to the history. `content` is the text to write
+    locally: the merged or the remote one, null where the local file stands.
+
+    Files are paired by hash and time alone; only those in conflict have their three texts brought
+    together, so the cost of the merge follows the number of conflicts.
     """
-    left = C.with_hash(local.select("doc_id", "path", "content", "mtime"))
-    extras = [c for c in ("version", "versions") if c in remote.columns]
-    right = C.with_hash(remote.select("doc_id", "content", "mtime", *extras))
-    paired = X.resolve(D.pair_replicas(left, right), strategy)
-    texts = paired.join(base.select("doc_id", F.col("content").alias("base")), "doc_id", "left")
-    clash = F.col("conflict")
-    merged = merge_conflicts(
-        texts.withColumn("path", F.col("local_path"))
-        .withColumn("local", F.when(clash, F.col("local_content")))
-        .withColumn("remote", F.when(clash, F.col("remote_content")))
-        .withColumn("base", F.when(clash, F.coalesce("base", F.lit(""))))
+    raw = as_bytes("content")
+    mine = local.select(
+        "doc_id", "path", "mtime", F.sha2(raw, 256).alias("hash"), F.octet_length(raw).cast("long").alias("size"),
+        C.child_ids(raw, chunk_bytes).alias("children"),
     )
-    clean = clash & ~F.col("has_conflicts") & F.lit(auto_merge)
-    took_remote = clash & ~clean & (F.col("winner") == "remote")
+    theirs = _described(remote, "version", "versions")
+    decided = X.resolve(D.pair_replicas(mine, theirs), strategy)
+
+    clashes = decided.filter("conflict").select("doc_id")
+
+    def texts(side: DataFrame, name: str) -> DataFrame:
+        wanted = side.select("doc_id", F.col("content").alias(name))
+        return wanted.join(clashes, "doc_id", "left_semi")
+
+    three = (
+        texts(local, "local").join(texts(remote, "remote"), "doc_id").join(texts(base, "base"), "doc_id", "left")
+    )
+    named = three.join(decided.filter("conflict").select("doc_id", F.col("local_path").alias("path")), "doc_id")
+    merged = merge_conflicts(named.withColumn("base", F.coalesce("base", F.lit("")))).select(
+        "doc_id", "merged", "has_conflicts", F.col("remote").alias("_remote_text")
+    )
+
+    clean = F.col("conflict") & ~F.coalesce("has_conflicts", F.lit(True)) & F.lit(auto_merge)
+    took_remote = F.col("conflict") & ~clean & (F.col("winner") == "remote")
     outcome = (
         F.when(~F.col("remote_exists"), "new")
-        .when(~clash, "unchanged")
+        .when(~F.col("conflict"), "unchanged")
         .when(clean, "merged")
         .otherwise(F.col("winner"))
     )
-    content = F.when(clean, F.col("merged")).when(took_remote, F.col("remote_content")).otherwise(F.col("local_content"))
-    old_version = F.coalesce("remote_version", F.lit(0)) if "version" in extras else F.lit(0)
-    history = F.col("remote_versions") if "versions" in extras else F.lit(None)
+    old_version = F.coalesce("remote_version", F.lit(0)) if "version" in theirs.columns else F.lit(0)
+    history = F.col("remote_versions") if "versions" in theirs.columns else F.lit(None)
     overwritten = V.version_entry(
         old_version, F.col("remote_mtime"), F.col("remote_hash"), F.col("doc_id"), F.lit("remote"), F.lit(True)
     )
-    decided = merged.select(
+    out = decided.join(merged, "doc_id", "left").select(
         "doc_id",
-        "path",
+        F.col("local_path").alias("path"),
         outcome.alias("outcome"),
         F.when(clean, "merged").otherwise(F.col("action")).alias("action"),
-        content.alias("content"),
         F.when(took_remote, old_version).otherwise(old_version + 1).cast("int").alias("version"),
         F.when(took_remote, F.col("remote_mtime")).otherwise(F.col("local_mtime")).alias("mtime"),
-        F.when(clash & ~took_remote, V.appended(history, overwritten)).otherwise(V.as_history(history)).alias("versions"),
+        F.when(F.col("conflict") & ~took_remote, V.appended(history, overwritten))
+        .otherwise(V.as_history(history))
+        .alias("versions"),
+        F.when(clean, F.col("merged")).when(took_remote, F.col("_remote_text")).alias("content"),
+        "local_hash", "local_size", "local_children",
     )
-    return decided.select(
-        *decided.columns,
-        F.sha2(as_bytes("content"), 256).alias("hash"),
-        F.octet_length(as_bytes("content")).cast("long").alias("size"),
-        C.child_ids(F.col("content"), chunk_bytes).alias("children"),
+    replaced = F.col("content").isNotNull()
+    text = as_bytes("content")
+    return out.select(
+        "doc_id", "path", "outcome", "action",
+        F.when(replaced, F.sha2(text, 256)).otherwise(F.col("local_hash")).alias("hash"),
+        F.when(replaced, F.octet_length(text).cast("long")).otherwise(F.col("local_size")).alias("size"),
+        F.when(replaced, C.child_ids(text, chunk_bytes)).otherwise(F.col("local_children")).alias("children"),
+        "version", "mtime", "versions", "content",
     )
 
 
@@ -84,16 +110,17 @@ def push(
     enforce: bool = True,
     chunk_bytes: int = K.CHUNK_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
-    """File documents and new chunks of a push of `(path, content, mtime)`.
+    """File documents and new chunks of a push of `(path, content, mtime)`, with `size` if it is known.
 
-    Files unchanged by (mtime, size) are left out before any byte is chunked.
+    Files unchanged by (mtime, size) are left out before any of their bytes is hashed or chunked.
     """
-    visible = scope_filter(listing, rules, agent, enforce=enforce)
-    docs = C.file_documents(visible, chunk_bytes)
-    todo = D.skip_unchanged(docs, store_files)
-    changed = visible.withColumn("doc_id", C.doc_key("path")).join(todo.select("doc_id"), "doc_id", "left_semi")
+    visible = scope_filter(listing, rules, agent, enforce=enforce).withColumn("doc_id", doc_key("path"))
+    if "size" not in listing.columns:
+        visible = visible.withColumn("size", F.octet_length(as_bytes("content")).cast("long"))
+    todo = D.skip_unchanged(visible.select("doc_id", "mtime", "size"), store_files)
+    changed = visible.join(todo.select("doc_id"), "doc_id", "left_semi")
     pieces = C.with_chunk_id(C.chunk_files(changed, chunk_bytes))
-    return D.upsert_docs(store_files, todo), C.new_chunks(pieces, store_chunks)
+    return D.upsert_docs(store_files, C.file_documents(changed, chunk_bytes)), C.new_chunks(pieces, store_chunks)
 
 
 def pull(

@@ -47,7 +47,7 @@ def classify_docs(df: DataFrame, fallback: bool = False) -> DataFrame:
 
     A leaf with data is a chunk; a document of a file type or with children is a file. With
     `fallback`, if the whole dump holds neither, every document whose key does not begin with `_` is
-    a file; that test is one scalar aggregate.
+    a file; that test looks for one such row and stops there.
     """
     leaf = (F.col("type") == K.CHUNK_TYPE) & (F.octet_length(F.col("data")) > 0)
     file = F.col("type").isin(*K.FILE_TYPES) | (F.size("children") > 0)
@@ -55,7 +55,7 @@ def classify_docs(df: DataFrame, fallback: bool = False) -> DataFrame:
     out = df.withColumn("kind", kind)
     if not fallback:
         return out
-    nothing = ~F.coalesce(out.agg(F.bool_or(F.col("kind") != "ignored")).scalar(), F.lit(False))
+    nothing = out.filter("kind <> 'ignored'").limit(1).agg(F.count("*") == 0).scalar()
     return out.withColumn("kind", F.when(nothing & ~F.col("doc_id").startswith("_"), "file").otherwise(F.col("kind")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -20,14 +20,63 @@ def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "1
     `closes` is worked out from the last event and not read from the session window: a filter on the
     window itself moves below the grouping, where it would cut the early events off a burst.
     """
-    source = events.withWatermark("ts", watermark) if events.isStreaming else events
+    if events.isStreaming:
+        window = F.session_window("ts", f"{gap_ms} milliseconds")
+        bursts = _newest(events.withWatermark("ts", watermark).groupBy("path", window))
+    else:
+        bursts = _batch_bursts(events, gap_ms)
+    closes = F.col("last") + F.expr(f"INTERVAL '{gap_ms / 1000:.3f}' SECOND")
+    return bursts.select("path", "event", F.col("last").alias("ts"), closes.alias("closes"), "events")
+
+
+def _newest(groups: GroupedData) -> DataFrame:
+    """First and last time, last event and number of each group."""
+    return groups.agg(
+        F.max_by("event", F.struct("ts", "seq")).alias("event"),
+        F.max_by("seq", F.struct("ts", "seq")).alias("seq"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+        F.count("*").alias("events"),
+    )
+
+
+def _batch_bursts(events: DataFrame, gap_ms: int) -> DataFrame:
+    """Bursts of a table, found day by day and joined across days.
+
+    A path may hold a third of all events, so its events are not gathered in one task: they are
+    grouped by path and day (or four gaps, if that is longer). Only bursts within a gap of the edge of
+    their day can go on in another one; those, at most two per path and day, are joined by path.
+    """
+    step = max(86_400_000, 4 * gap_ms)
     window = F.session_window("ts", f"{gap_ms} milliseconds")
-    newest = F.struct("ts", "seq")
-    return (
-        source.groupBy("path", window)
-        .agg(F.max_by("event", newest).alias("event"), F.max("ts").alias("_last"), F.count("*").alias("events"))
-        .select("path", "event", F.col("_last").alias("ts"), (F.col("_last") + F.expr(f"INTERVAL '{gap_ms / 1000:.3f}' SECOND")).alias("closes"), "events")
+    daily = _newest(
+        events.withColumn("_day", F.expr(f"{_millis(events)} DIV {step}L")).groupBy("path", "_day", window)
+    ).drop("session_window")
+    begins = F.expr(f"{_millis(events, 'first')} - _day * {step}L")
+    ends = F.expr(f"(_day + 1) * {step}L - {_millis(events, 'last')}")
+    daily = daily.withColumn("_edge", (begins <= gap_ms + 1) | (ends <= gap_ms + 1)).drop("_day")
+    by_time = Window.partitionBy("path").orderBy("first")
+    since = F.col("first") - F.lag("last").over(by_time)
+    starts = F.when(since <= F.expr(f"INTERVAL '{gap_ms / 1000:.3f}' SECOND"), 0).otherwise(1)
+    chained = (
+        daily.filter("_edge")
+        .withColumn("_starts", starts)
+        .withColumn("_burst", F.sum("_starts").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    whole = chained.groupBy("path", "_burst").agg(
+        F.max_by("event", F.struct("last", "seq")).alias("event"),
+        F.max("last").alias("last"),
+        F.sum("events").cast("long").alias("events"),
     )
+    columns = ["path", "event", "last", "events"]
+    return daily.filter("NOT _edge").select(columns).unionByName(whole.select(columns))
+
+
+def _millis(events: DataFrame, column: str = "ts") -> str:
+    """SQL: whole milliseconds of a time, for instants and zone-less times alike."""
+    if dict(events.dtypes)["ts"] == "timestamp_ntz":
+        return f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01', {column})"
+    return f"unix_millis({column})"
 
 
 def pending_events(events: DataFrame, now_ms: int, gap_ms: int = K.DEBOUNCE_MS) -> DataFrame:

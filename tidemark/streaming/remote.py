@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes
-from tidemark.operators.chunks import BUCKET_DIGITS, new_chunks, reassemble
+from tidemark.operators.chunks import BUCKET_DIGITS, bucketed, new_chunks, reassemble
 from tidemark.operators.conflict import latest_write
 from tidemark.operators.filters import live_docs, valid_paths
 from tidemark.operators.scopes import Rules, scope_filter
@@ -56,6 +56,13 @@ def _waiting(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -
         return like.limit(0)
 
 
+def _chunks_for(files: DataFrame, spark: SparkSession, path: str, digits: int) -> DataFrame:
+    """The stored chunks in the folders that the files refer to; their names are at most `16 ** digits`."""
+    wanted = files.select(F.explode("children").alias("chunk_id"))
+    folders = [r.bucket for r in bucketed(wanted, digits).select("bucket").distinct().collect()]
+    return read_chunks(spark, path).filter(F.col("bucket").isin(folders))
+
+
 def follow_remote(
     stream: DataFrame,
     folder: str,
@@ -82,7 +89,7 @@ def follow_remote(
         arrived = file_docs(live)
         earlier = _waiting(spark, wait_path, batch_id - 1, arrived)
         files = arrived.unionByName(earlier.join(arrived.select("doc_id"), "doc_id", "left_anti"))
-        restored = _restore(files, read_chunks(spark, chunk_path), rules, agent, enforce, digits)
+        restored = _restore(files, _chunks_for(files, spark, chunk_path, digits), rules, agent, enforce, digits)
         restored.write.mode("overwrite").parquet(f"{folder}/files/batch={batch_id}")
 
         done = spark.read.parquet(f"{folder}/files/batch={batch_id}").filter(F.col("missing_chunks") == 0)
