@@ -1,0 +1,28 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.skew import join_unique
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_keys_are_split_and_no_row_is_lost(spark, rows, how):
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit("absent")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        "id",
+    )
+    one = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(50)] + [("unused", 0)], "key string, value int")
+    joined = join_unique(many, one, ["key"], how, hot_rows=100)
+    assert rows(joined) == rows(many.join(one, "key", how))
+
+
+def test_a_hot_key_reaches_many_tasks(spark):
+    many = spark.range(40_000).select(F.lit("hot").alias("key"), "id")
+    one = spark.createDataFrame([("hot", 1)], "key string, value int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = join_unique(many, one, ["key"], hot_rows=1000).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spread) == 4 and max(r["count"] for r in spread) < 20_000

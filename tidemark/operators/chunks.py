@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes, let
 from tidemark.functions.paths import doc_key
+from tidemark.operators.skew import join_unique
 
 
 # Folders of a stored chunk table are named by this many last digits of the chunk id.
@@ -131,17 +132,19 @@ def reassemble(
     Inline `data` stands in for files without children or, with `inline="unresolved"`, for files of
     which no chunk was found. `empty_ok` restores a file of size 0 that has neither.
 
-    A chunk shared by many files is a hot key on the reference side only (the store has one row for
-    it), which the adaptive skew join splits. Where the store has a `bucket` column (see `bucketed`) it
+    A chunk shared by many files is a hot key on the reference side, whose rows are split over tasks
+    (see `join_unique`). Where the store has a `bucket` column (see `bucketed`) it
     joins the condition, so that only the folders of the wanted chunks are read.
     """
     if inline not in ("no_children", "unresolved"):
         raise ValueError("inline must be 'no_children' or 'unresolved'")
     on = ["bucket", "chunk_id"] if "bucket" in chunks.columns else ["chunk_id"]
-    refs = files.select("doc_id", F.posexplode("children").alias("pos", "chunk_id"))
+    # The outer form, since the inner one adds a test on `children` that would compute them again.
+    refs = files.select("doc_id", F.posexplode_outer("children").alias("pos", "chunk_id"))
+    refs = refs.filter(F.col("chunk_id").isNotNull())
     if "bucket" in on:
         refs = bucketed(refs, digits)
-    found = refs.join(chunks.select(*on, "data"), on, "left")
+    found = join_unique(refs, chunks.select(*on, "data"), on)
     bodies = found.groupBy("doc_id").agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY pos)").alias("_joined"),
         F.count("*").alias("n_chunks"),
@@ -178,7 +181,7 @@ def sync_totals(chunks: DataFrame, store: DataFrame | None = None, key: str = "d
     narrow = chunks.select(key, "chunk_id", F.octet_length("data").alias("_bytes"))
     if store is not None:
         known = store.select("chunk_id").distinct().withColumn("_known", F.lit(True))
-        narrow = narrow.join(known, "chunk_id", "left")
+        narrow = join_unique(narrow, known, ["chunk_id"])
     else:
         narrow = narrow.withColumn("_known", F.lit(None).cast("boolean"))
     return narrow.groupBy(key).agg(

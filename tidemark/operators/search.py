@@ -43,10 +43,9 @@ def search_all(
     )
     if scope:
         found = found.filter(F.col("path").startswith(scope))
-    if "\n" not in query:
-        found = found.filter(F.lower("content").contains(query.lower()))
-    hits = found.select("path", matching_lines(F.col("content"), query, max_lines).alias("matches"))
-    return hits.filter(F.size("matches") > 0)
+    # A text holds a query without a line break exactly if one of its lines does.
+    has_hit = F.lit(False) if "\n" in query else F.lower("content").contains(query.lower())
+    return found.filter(has_hit).select("path", matching_lines(F.col("content"), query, max_lines).alias("matches"))
 
 
 def search(

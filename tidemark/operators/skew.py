@@ -1,0 +1,37 @@
+"""Joins to a side that is unique in its key, where the other side may repeat one key without bound."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot with more rows than this and more than one ten-thousandth of all rows. The second part
+# bounds the table of hot keys to `_MAX_HOT` rows whatever the data, so it can be broadcast.
+HOT_ROWS = 100_000
+_MAX_HOT = 10_000
+
+
+def join_unique(
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """`many` joined to `one`, with the rows of hot keys split over several tasks.
+
+    The keys of `many` are counted first, reduced inside each map task. A hot key gets as many parts
+    as it needs for each to hold about `hot_rows` rows: its rows on the left are dealt out to the
+    parts, and its one row on the right is repeated for each. All other keys have one part, so nothing
+    else grows. Every row is kept.
+    """
+    keys = list(on)
+    counts = many.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = counts.agg(F.sum("_n") / F.lit(float(_MAX_HOT))).scalar()
+    limit = F.greatest(F.lit(float(hot_rows)), F.coalesce(share, F.lit(0.0)))
+    hot = counts.filter(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).alias("_parts"))
+    hot = F.broadcast(hot)
+    rest = [c for c in many.columns if c not in keys] or keys
+    dealt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*rest), F.col("_parts"))).otherwise(F.lit(0))
+    left = many.join(hot, keys, "left").withColumn("_part", dealt.cast("long")).drop("_parts")
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1)
+    right = one.join(hot, keys, "left").withColumn("_part", F.explode_outer(every)).drop("_parts")
+    return left.join(right, [*keys, "_part"], how).drop("_part")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.functions.core import from_millis
 from tidemark.functions.paths import first_segment
+from tidemark.operators.skew import join_unique
 
 
 def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "10 minutes") -> DataFrame:
@@ -41,35 +42,33 @@ def _newest(groups: GroupedData) -> DataFrame:
 
 
 def _batch_bursts(events: DataFrame, gap_ms: int) -> DataFrame:
-    """Bursts of a table, found day by day and joined across days.
+    """Bursts of a table, found hour by hour and joined across hours.
 
     A path may hold a third of all events, so its events are not gathered in one task: they are
-    grouped by path and day (or four gaps, if that is longer). Only bursts within a gap of the edge of
-    their day can go on in another one; those, at most two per path and day, are joined by path.
+    grouped by path and hour (or four gaps, if that is longer). Only bursts within a gap of the edge of
+    their hour can go on in another one; those, at most two per path and hour, are chained by path.
+    Every other burst is whole and forms a group of its own.
     """
-    step = max(86_400_000, 4 * gap_ms)
+    step = max(3_600_000, 4 * gap_ms)
     window = F.session_window("ts", f"{gap_ms} milliseconds")
-    daily = _newest(
-        events.withColumn("_day", F.expr(f"{_millis(events)} DIV {step}L")).groupBy("path", "_day", window)
+    hourly = _newest(
+        events.withColumn("_hour", F.expr(f"{_millis(events)} DIV {step}L")).groupBy("path", "_hour", window)
     ).drop("session_window")
-    begins = F.expr(f"{_millis(events, 'first')} - _day * {step}L")
-    ends = F.expr(f"(_day + 1) * {step}L - {_millis(events, 'last')}")
-    daily = daily.withColumn("_edge", (begins <= gap_ms + 1) | (ends <= gap_ms + 1)).drop("_day")
-    by_time = Window.partitionBy("path").orderBy("first")
+    begins = F.expr(f"{_millis(events, 'first')} - _hour * {step}L")
+    ends = F.expr(f"(_hour + 1) * {step}L - {_millis(events, 'last')}")
+    at_edge = (begins <= gap_ms + 1) | (ends <= gap_ms + 1)
+    hourly = hourly.withColumn("_alone", F.when(~at_edge, F.col("first"))).drop("_hour")
+    by_time = Window.partitionBy("path", "_alone").orderBy("first")
     since = F.col("first") - F.lag("last").over(by_time)
     starts = F.when(since <= F.expr(f"INTERVAL '{gap_ms / 1000:.3f}' SECOND"), 0).otherwise(1)
-    chained = (
-        daily.filter("_edge")
-        .withColumn("_starts", starts)
-        .withColumn("_burst", F.sum("_starts").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    chained = hourly.withColumn("_starts", starts).withColumn(
+        "_burst", F.sum("_starts").over(by_time.rowsBetween(Window.unboundedPreceding, 0))
     )
-    whole = chained.groupBy("path", "_burst").agg(
+    return chained.groupBy("path", "_alone", "_burst").agg(
         F.max_by("event", F.struct("last", "seq")).alias("event"),
         F.max("last").alias("last"),
         F.sum("events").cast("long").alias("events"),
     )
-    columns = ["path", "event", "last", "events"]
-    return daily.filter("NOT _edge").select(columns).unionByName(whole.select(columns))
 
 
 def _millis(events: DataFrame, column: str = "ts") -> str:
@@ -89,7 +88,8 @@ def enrich_events(events: DataFrame, files: DataFrame) -> DataFrame:
     """Adds the current content hash to add and change events; unlink events carry none."""
     known = files.select("path", F.col("hash").alias("_hash"))
     hashed = F.when(F.col("event").isin("add", "change"), F.col("_hash"))
-    return events.join(known, "path", "left").withColumn("hash", hashed).drop("_hash")
+    joined = events.join(known, "path", "left") if events.isStreaming else join_unique(events, known, ["path"])
+    return joined.select(*events.columns, hashed.alias("hash"))
 
 
 def route_events(events: DataFrame) -> DataFrame:
