@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.operators.chunks import chunk_files, file_documents, with_chunk_id
 from tidemark.sources import scan, sinks
 from tidemark.streaming import events as E
-from tidemark.streaming import feeds, remote
+from tidemark.streaming import feeds, local, remote
 
 
 def _events(spark, rows):
@@ -150,6 +150,29 @@ def test_batch_form_of_the_feed(spark):
     assert [(r.doc_id, bytes(r.content)) for r in out.collect()] == [("100/a.md", b"hello world")]
 
 
+def test_local_changes_are_synced_and_recorded(spark, tmp_path):
+    rows = [("x/a.md", "add", 0, 1), ("x/a.md", "change", 300, 2), ("x/gone.md", "change", 0, 3), ("x/u.md", "unlink", 0, 4), ("z", "add", 90_000, 5)]
+    _events(spark, rows).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = feeds.read_change_stream(spark, str(tmp_path / "in"), schemas.CHANGE_EVENTS)
+
+    def files(texts):
+        df = spark.createDataFrame([(p, p, t) for p, t in texts.items()], "doc_id string, path string, content string")
+        return df.withColumn("mtime", F.timestamp_seconds(F.lit(5)))
+
+    out = str(tmp_path / "out")
+    local.follow_local(
+        stream, lambda: files({"x/a.md": "A\nb", "x/u.md": "u", "y/other.md": "o"}),
+        lambda: files({"x/a.md": "a\nB"}), lambda: files({"x/a.md": "a\nb"}), out, watermark="1 second",
+    ).awaitTermination()
+    synced = spark.read.parquet(f"{out}/documents").collect()
+    assert [(r.path, r.outcome, r.content) for r in synced] == [("x/a.md", "merged", "A\nB")]
+    log = {r.path: (r.status, r.message) for r in spark.read.parquet(f"{out}/audit").collect()}
+    assert log == {
+        "x/a.md": ("success", "auto-synced: change"), "x/gone.md": ("error", "auto-sync failed: file not found"),
+        "x/u.md": ("success", "file removed"),
+    }
+
+
 DOC = "doc_id string, type string, children array<string>, data string"
 
 

@@ -10,7 +10,7 @@ from tidemark.operators import chunks as C
 from tidemark.plans import views as W
 from tidemark.session import work_dir
 from tidemark.streaming import events as E
-from tidemark.streaming import feeds, remote
+from tidemark.streaming import feeds, local, remote
 
 _GAP = 6 * 3_600_000
 _NOW = W.BASE_MS + 15 * 86_400_000
@@ -156,3 +156,28 @@ def follow_remote(spark, d):
     stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=1)
     remote.follow_remote(stream, f"{out}/replica", enforce=False, digits=1).awaitTermination()
     return _restored(remote.applied_files(spark, f"{out}/replica"))
+
+
+@register(
+    """SELECT path, last_ms AS ts_ms, CASE WHEN event <> 'unlink' AND hash IS NULL THEN 'error' ELSE 'success' END AS status,
+         CASE WHEN event = 'unlink' THEN 'file removed' WHEN hash IS NULL THEN 'auto-sync failed: file not found'
+              ELSE 'auto-synced: ' || event END AS message FROM v_enriched
+       WHERE last_ms + 21600000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 600000""",
+    uses=("v_enriched",),
+)
+def follow_local(spark, d):
+    """The audit rows of syncing the closed bursts of the event feed over an empty remote side."""
+    out = work_dir(spark, "local")
+    W.change_events(spark, d).write.parquet(f"{out}/source")
+    stream = feeds.read_change_stream(spark, f"{out}/source", spark.read.parquet(f"{out}/source").schema)
+    e = W.change_events(spark, d).join(
+        W.read(spark, d, "events").filter(F.col("event_type") == "click").select(F.col("event_id").alias("seq")), "seq"
+    )
+    texts = e.groupBy("path").agg(F.min("seq").cast("string").alias("content"), F.max("ts").alias("mtime"))
+    texts = texts.withColumn("doc_id", F.col("path"))
+    nothing = texts.limit(0)
+    local.follow_local(
+        stream, lambda: texts, lambda: nothing, lambda: nothing, f"{out}/replica", gap_ms=_GAP
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{out}/replica/audit")
+    return rows.select("path", F.unix_millis("ts").alias("ts_ms"), "status", "message")

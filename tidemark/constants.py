@@ -36,6 +36,14 @@ CONFLICT_MIDDLE = "======="
 CONFLICT_CLOSE = ">>>>>>> REMOTE"
 AUDIT_ACTIONS = ("sync_file", "pull_vault", "error", "init", "config")
 STRATEGIES = ("last-write-wins", "remote-wins", "local-wins", "keep-both")
+NO_CONFLICT = "no conflict"
+LOCAL_NEWER = "local is newer"
+REMOTE_NEWER = "remote is newer"
+SAME_TIME = "same mtime, local wins (tiebreaker)"
+REMOTE_RULE = "remote-wins strategy"
+LOCAL_RULE = "local-wins strategy"
+BOTH_RULE = "keeping both versions"
+UNKNOWN_RULE = "unknown strategy, defaulting to local"
 
 # Folder prefixes per agent. Agent names are labels: pass your own rules to the scope operators.
 DEFAULT_SCOPES = {

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
 from tidemark.functions.paths import archive_key
 
 
@@ -24,29 +25,24 @@ def resolve(paired: DataFrame, strategy: str | Column = "last-write-wins") -> Da
     """
     df = paired if "conflict" in paired.columns else has_conflict(paired)
     rule = F.lit(strategy) if isinstance(strategy, str) else strategy
-    local_ms, remote_ms = F.col("local_mtime"), F.col("remote_mtime")
-    lww = rule == "last-write-wins"
-    newer_remote = F.coalesce(remote_ms > local_ms, F.lit(False))
-    newer_local = F.coalesce(local_ms > remote_ms, remote_ms.isNull())
-    clash = F.col("conflict")
-    winner = (
-        F.when(~clash, "local")
-        .when(lww & newer_remote, "remote")
-        .when(rule == "remote-wins", "remote")
-        .when(rule == "keep-both", "both")
-        .otherwise("local")
+    by_time, remote_rule, local_rule, both_rule = (rule == name for name in K.STRATEGIES)
+    clash, mine, theirs = F.col("conflict"), F.col("local_mtime"), F.col("remote_mtime")
+    # What each case of a conflict leads to; a remote time that is missing counts as the oldest.
+    outcome = (
+        F.when(~clash, _outcome("local", K.NO_CONFLICT))
+        .when(by_time & (theirs.isNull() | (mine > theirs)), _outcome("local", K.LOCAL_NEWER))
+        .when(by_time & (theirs > mine), _outcome("remote", K.REMOTE_NEWER))
+        .when(by_time, _outcome("local", K.SAME_TIME))
+        .when(remote_rule, _outcome("remote", K.REMOTE_RULE))
+        .when(local_rule, _outcome("local", K.LOCAL_RULE))
+        .when(both_rule, _outcome("both", K.BOTH_RULE))
+        .otherwise(_outcome("local", K.UNKNOWN_RULE))
     )
-    action = (
-        F.when(~clash, "no conflict")
-        .when(lww & newer_local, "local is newer")
-        .when(lww & newer_remote, "remote is newer")
-        .when(lww, "same mtime, local wins (tiebreaker)")
-        .when(rule == "remote-wins", "remote-wins strategy")
-        .when(rule == "local-wins", "local-wins strategy")
-        .when(rule == "keep-both", "keeping both versions")
-        .otherwise("unknown strategy, defaulting to local")
-    )
-    return df.withColumn("winner", winner).withColumn("action", action)
+    return df.withColumn("_outcome", outcome).select("*", "_outcome.*").drop("_outcome")
+
+
+def _outcome(winner: str, action: str) -> Column:
+    return F.struct(F.lit(winner).alias("winner"), F.lit(action).alias("action"))
 
 
 def latest_write(df: DataFrame, key: str, ts: str, prefer: Column | None = None, *ties: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.cron import FIELD_BOUNDS, cron_fields, field_values
+from tidemark.operators.skew import join_unique
 
 _HOUR_MS = 3_600_000
 
@@ -127,7 +128,9 @@ def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full:
     runs = f"""CASE type WHEN 'interval' THEN timestamp_millis(unix_millis(_when) + interval_ms)
         WHEN 'cron' THEN {_next_cron('_when')} END AS next_run"""
     timed = events.withColumn("_when", F.col(ts).cast("timestamp"))
-    return timed.join(_usable(schedules, full), "schedule", "left").select(*events.columns, F.expr(runs))
+    rules = _usable(schedules, full)
+    joined = timed.join(rules, "schedule", "left") if events.isStreaming else join_unique(timed, rules, ["schedule"])
+    return joined.select(*events.columns, F.expr(runs))
 
 
 def changes_per_run(
@@ -141,16 +144,17 @@ def changes_per_run(
 ) -> DataFrame:
     """Per scheduled run: changes that arrived for it, taken (at most `n`) and left for later runs.
 
-    Changes name their `schedule`. They are counted per run before any shuffle, so a schedule with a
-    third of all changes costs one partial count per task; the carry-over is a running minimum over
+    Changes name their `schedule`. A schedule with a third of all changes is split over tasks, and
+    changes are counted per run before they meet it; the carry-over is a running minimum over
     the calendar, whose length depends on the horizon and not on the data.
     """
     grid = f"""timestamp_millis({start_ms}L +
         ((unix_millis(_when) - {start_ms}L) DIV interval_ms + 1) * interval_ms)"""
+    inside = changes.select("schedule", F.col(ts).cast("timestamp").alias("_when")).filter(
+        f"_when >= timestamp_millis({start_ms}L) AND _when <= timestamp_millis({end_ms}L)"
+    )
     arrivals = (
-        changes.select("schedule", F.col(ts).cast("timestamp").alias("_when"))
-        .filter(f"_when >= timestamp_millis({start_ms}L) AND _when <= timestamp_millis({end_ms}L)")
-        .join(_usable(schedules, full), "schedule")
+        join_unique(inside, _usable(schedules, full), ["schedule"], "inner")
         .selectExpr("schedule", f"CASE type WHEN 'interval' THEN {grid} ELSE {_next_cron('_when')} END AS run_ts")
         .groupBy("schedule", "run_ts")
         .agg(F.count("*").alias("arrived"))

@@ -38,15 +38,18 @@ def apply_remote(
     live = classify_docs(live_docs(docs))
     own = chunk_docs(live).withColumn("data", as_bytes("data"))
     held = store.select("chunk_id", "data")
-    return _restore(file_docs(live), held.unionByName(new_chunks(own, held)), rules, agent, enforce)
+    files = _newest(file_docs(live), rules, agent, enforce)
+    return _restore(files, held.unionByName(new_chunks(own, held)))
 
 
-def _restore(
-    files: DataFrame, chunks: DataFrame, rules: Rules, agent: str, enforce: bool, digits: int = BUCKET_DIGITS
-) -> DataFrame:
+def _newest(files: DataFrame, rules: Rules, agent: str, enforce: bool) -> DataFrame:
+    """The last state of each file an agent may see."""
     visible = scope_filter(valid_paths(files), rules, agent, enforce=enforce)
-    newest = latest_write(visible, "doc_id", "mtime", None, "path")
-    return reassemble(newest, chunks, empty_ok=False, inline="unresolved", digits=digits)
+    return latest_write(visible, "doc_id", "mtime", None, "path")
+
+
+def _restore(files: DataFrame, chunks: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
+    return reassemble(files, chunks, empty_ok=False, inline="unresolved", digits=digits)
 
 
 def _waiting(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
@@ -88,13 +91,15 @@ def follow_remote(
 
         arrived = file_docs(live)
         earlier = _waiting(spark, wait_path, batch_id - 1, arrived)
-        files = arrived.unionByName(earlier.join(arrived.select("doc_id"), "doc_id", "left_anti"))
-        restored = _restore(files, _chunks_for(files, spark, chunk_path, digits), rules, agent, enforce, digits)
+        both = arrived.unionByName(earlier.join(arrived.select("doc_id"), "doc_id", "left_anti"))
+        files = _newest(both, rules, agent, enforce).persist()
+        restored = _restore(files, _chunks_for(files, spark, chunk_path, digits), digits)
         restored.write.mode("overwrite").parquet(f"{folder}/files/batch={batch_id}")
 
         done = spark.read.parquet(f"{folder}/files/batch={batch_id}").filter(F.col("missing_chunks") == 0)
         waiting = files.join(done.select("doc_id"), "doc_id", "left_anti").filter(F.size("children") > 0)
         waiting.write.mode("overwrite").parquet(f"{wait_path}/batch={batch_id}")
+        files.unpersist()
 
     return run_feed(stream, handle, f"{folder}/checkpoint", every)
 
