@@ -30,18 +30,22 @@ def follow_local(
     """Syncs the files behind each batch of debounced events.
 
     `files`, `remote` and `base` give the frames of `sync_with_merge` as they stand at the time of the
-    batch. Results go to `folder`: `documents` and `audit`, by batch. Removed files are only
+    batch. Results go to `folder`: `bursts`, `documents` and `audit`, by batch. Removed files are only
     reported, and an event whose file is gone is recorded as an error beside the others.
     """
 
+    spark = events.sparkSession
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # every use would otherwise run the stateful debounce again
-        if batch.isEmpty():
-            batch.unpersist()
+        # Written first, since every use of the batch would otherwise run the stateful debounce again.
+        bursts = f"{folder}/bursts/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(bursts)
+        closed = spark.read.schema(batch.schema).parquet(bursts)
+        if closed.isEmpty():
             return
         local = files()
         known = local.select("path", "hash") if "hash" in local.columns else with_hash(local).select("path", "hash")
-        routed = route_events(enrich_events(batch, known))
+        routed = route_events(enrich_events(closed, known))
         wanted = routed.filter("route = 'sync'").select("path").distinct()
         synced = sync_with_merge(local.join(wanted, "path", "left_semi"), remote(), base(), strategy)
         synced.write.mode("overwrite").parquet(f"{folder}/documents/batch={batch_id}")
@@ -50,6 +54,5 @@ def follow_local(
             scope=F.col("scope"),
         )
         rows.write.mode("overwrite").parquet(f"{folder}/audit/batch={batch_id}")
-        batch.unpersist()
 
     return run_feed(debounce(events, gap_ms, watermark), handle, f"{folder}/checkpoint", every)
