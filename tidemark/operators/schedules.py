@@ -1,8 +1,8 @@
 """Run calendars, schedule matching and next runs, computed from tables instead of timers.
 
 Clock fields follow the session time zone. Schedules reach events by an equality join on the schedule
-name or on the minute of the day; nothing is hinted as broadcast, so adaptive execution decides by
-measured size.
+name or on the minute of the day. Nothing is hinted as broadcast: Spark broadcasts schedules if their
+measured size allows, and otherwise splits the tasks of a hot schedule (adaptive skew join).
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.cron import FIELD_BOUNDS, cron_fields, field_values
-from tidemark.operators.skew import join_unique
 
 _HOUR_MS = 3_600_000
 
@@ -128,9 +127,7 @@ def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full:
     runs = f"""CASE type WHEN 'interval' THEN timestamp_millis(unix_millis(_when) + interval_ms)
         WHEN 'cron' THEN {_next_cron('_when')} END AS next_run"""
     timed = events.withColumn("_when", F.col(ts).cast("timestamp"))
-    rules = _usable(schedules, full)
-    joined = timed.join(rules, "schedule", "left") if events.isStreaming else join_unique(timed, rules, ["schedule"])
-    return joined.select(*events.columns, F.expr(runs))
+    return timed.join(_usable(schedules, full), "schedule", "left").select(*events.columns, F.expr(runs))
 
 
 def changes_per_run(
@@ -144,8 +141,8 @@ def changes_per_run(
 ) -> DataFrame:
     """Per scheduled run: changes that arrived for it, taken (at most `n`) and left for later runs.
 
-    Changes name their `schedule`. A schedule with a third of all changes is split over tasks, and
-    changes are counted per run before they meet it; the carry-over is a running minimum over
+    Changes name their `schedule`. They are counted per run inside each task before they are gathered,
+    so a schedule with a third of all changes sends few rows; the carry-over is a running minimum over
     the calendar, whose length depends on the horizon and not on the data.
     """
     grid = f"""timestamp_millis({start_ms}L +
@@ -154,7 +151,7 @@ def changes_per_run(
         f"_when >= timestamp_millis({start_ms}L) AND _when <= timestamp_millis({end_ms}L)"
     )
     arrivals = (
-        join_unique(inside, _usable(schedules, full), ["schedule"], "inner")
+        inside.join(_usable(schedules, full), "schedule")
         .selectExpr("schedule", f"CASE type WHEN 'interval' THEN {grid} ELSE {_next_cron('_when')} END AS run_ts")
         .groupBy("schedule", "run_ts")
         .agg(F.count("*").alias("arrived"))
