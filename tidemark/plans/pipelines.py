@@ -50,16 +50,17 @@ def sync_with_merge(
     theirs = _described(remote, "version", "versions")
     decided = X.resolve(D.pair_replicas(mine, theirs), strategy)
 
-    clashes = decided.filter("conflict").select("doc_id")
-
     def texts(side: DataFrame, name: str) -> DataFrame:
-        wanted = side.select("doc_id", F.col("content").alias(name))
-        return wanted.join(clashes, "doc_id", "left_semi")
-
-    three = (
-        texts(local, "local").join(texts(remote, "remote"), "doc_id").join(texts(base, "base"), "doc_id", "left")
+        return side.select("doc_id", F.col("content").alias(name))
+
+    # The conflicts lead, so each text side is cut down to them by its join.
+    named = (
+        decided.filter("conflict")
+        .select("doc_id", F.col("local_path").alias("path"))
+        .join(texts(local, "local"), "doc_id")
+        .join(texts(remote, "remote"), "doc_id")
+        .join(texts(base, "base"), "doc_id", "left")
     )
-    named = three.join(decided.filter("conflict").select("doc_id", F.col("local_path").alias("path")), "doc_id")
     merged = merge_conflicts(named.withColumn("base", F.coalesce("base", F.lit("")))).select(
         "doc_id", "merged", "has_conflicts", F.col("remote").alias("_remote_text")
     )
