@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, simhash
+from tidemark.llm import cascade, decontaminate, mixing, shards, simhash
 from tidemark.llm.common import Query
 
-_MODULES = (mixing, simhash, decontaminate)
+_MODULES = (shards, mixing, cascade, simhash, decontaminate)
 
 
 def queries() -> dict[str, Query]:
