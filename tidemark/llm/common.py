@@ -34,6 +34,13 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def file_store(uri: str):
+    """Arrow's file system for a folder or file and the path in it: local, HDFS or an object store, by the scheme."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` of a text in UTF-8, A-Z lower-cased; none for null."""
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
