@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import cascade, decontaminate, mixing, shards, simhash, wavelet
+from tidemark.llm import cascade, decontaminate, mixing, shards, simhash, warc, wavelet
 from tidemark.llm.common import Query
 
-_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate)
+_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate, warc)
 
 
 def queries() -> dict[str, Query]:
