@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import cascade, decontaminate, mixing, shards, simhash, toxicity, warc, wavelet
+from tidemark.llm import cascade, decontaminate, mixing, pii, shards, simhash, toxicity, warc, wavelet
 from tidemark.llm.common import Query
 
-_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate, toxicity, warc)
+_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate, toxicity, warc, pii)
 
 
 def queries() -> dict[str, Query]:
