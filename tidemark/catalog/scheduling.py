@@ -49,21 +49,32 @@ def next_run_for(spark, d):
     return runs.select("seq", F.unix_millis("next_run").alias("next_ms"))
 
 
-@register(
-    """SELECT schedule, epoch_us(run_ts) // 1000 AS run_ms, arrived, before + arrived - left_over AS taken, left_over FROM (
+def _load_sql(calendar: str) -> str:
+    """Load of the runs of a calendar view: changes are placed by an as-of join to all its runs."""
+    return f"""SELECT schedule, epoch_us(run_ts) // 1000 AS run_ms, arrived, before + arrived - left_over AS taken, left_over FROM (
          SELECT *, coalesce(lag(left_over) OVER (PARTITION BY schedule ORDER BY run_ts), 0) AS before FROM (
            SELECT *, s - least(0, min(s) OVER (PARTITION BY schedule ORDER BY run_ts ROWS UNBOUNDED PRECEDING)) AS left_over
            FROM (SELECT schedule, run_ts, arrived, (sum(arrived - 2) OVER (PARTITION BY schedule ORDER BY run_ts
                    ROWS UNBOUNDED PRECEDING))::BIGINT AS s
-             FROM (SELECT c.schedule, c.run_ts, count(a.seq) AS arrived FROM v_calendar c LEFT JOIN (
+             FROM (SELECT c.schedule, c.run_ts, count(a.seq) AS arrived FROM {calendar} c LEFT JOIN (
                      SELECT e.seq, e.schedule, r.run_ts FROM (SELECT *, date_trunc('minute', ts) AS at FROM v_events) e
-                     ASOF JOIN v_calendar r ON e.schedule = r.schedule
+                     ASOF JOIN {calendar} r ON e.schedule = r.schedule
                        AND CASE WHEN e.user_id % 3 = 0 THEN e.ts ELSE e.at END < r.run_ts) a
-                   ON a.schedule = c.schedule AND a.run_ts = c.run_ts GROUP BY c.schedule, c.run_ts))))""",
-    uses=("v_events", "v_calendar"),
-)
+                   ON a.schedule = c.schedule AND a.run_ts = c.run_ts GROUP BY c.schedule, c.run_ts))))"""
+
+
+@register(_load_sql("v_calendar"), uses=("v_events", "v_calendar"))
 def changes_per_run(spark, d):
     load = H.changes_per_run(
         W.change_events(spark, d), W.user_schedules(spark, d), W.BASE_MS, W.END_MS, n=2
     )
     return load.select("schedule", F.unix_millis("run_ts").alias("run_ms"), "arrived", "taken", "left_over")
+
+
+@register(_load_sql("v_long_calendar"), uses=("v_events", "v_long_calendar"))
+def changes_per_run_long(spark, d):
+    end_ms = W.BASE_MS + 120 * 86_400_000
+    load = H.changes_per_run(
+        W.change_events(spark, d), W.user_schedules(spark, d), W.BASE_MS, end_ms, n=2, full=True
+    )
+    return load.select("schedule", F.unix_millis("run_ts").alias("run_ms"), "arrived", "taken", "left_over")

@@ -160,3 +160,23 @@ SELECT name, TIMESTAMP '2024-01-01' + to_milliseconds(k * interval_ms) FROM (
   SELECT name, interval_ms, unnest(range(1, 2678400000 // interval_ms + 1)) AS k FROM v_user_schedules
   WHERE type = 'interval' AND enabled)""",
 )
+# All five fields: form 2 fires from Monday to Friday, form 6 in February alone.
+view(
+    "v_long_runs",
+    """
+SELECT form, day + to_hours(h) + to_minutes(m) AS run_ts FROM (
+  SELECT form, day, h, unnest(minutes) AS m FROM (
+    SELECT form, minutes, day, unnest(hours) AS h FROM v_forms,
+      (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-04-30', INTERVAL 1 DAY)) AS day) d
+    WHERE list_contains(days, day(day)) AND (form <> 2 OR isodow(day) <= 5) AND (form <> 6 OR month(day) = 2)))""",
+)
+view(
+    "v_long_calendar",
+    """
+SELECT name AS schedule, run_ts FROM v_user_schedules s JOIN v_long_runs r USING (form)
+WHERE type = 'cron' AND enabled AND run_ts > TIMESTAMP '2024-01-01' AND run_ts <= TIMESTAMP '2024-04-30'
+UNION ALL
+SELECT name, TIMESTAMP '2024-01-01' + to_milliseconds(k * interval_ms) FROM (
+  SELECT name, interval_ms, unnest(range(1, 10368000000 // interval_ms + 1)) AS k FROM v_user_schedules
+  WHERE type = 'interval' AND enabled)""",
+)

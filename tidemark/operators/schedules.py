@@ -57,20 +57,25 @@ def _at(date: str, hour: str, minute: str) -> str:
     return f"make_timestamp(year({date}), month({date}), day({date}), {hour}, {minute}, 0)"
 
 
+def _fire_days(rules: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each cron schedule and each day from `start` to `end` on which it fires, with its clock lists."""
+    days = f"explode(sequence(to_date({start}), to_date({end}))) AS _day"
+    return rules.filter("type = 'cron'").selectExpr("*", days).filter(_fires("_day"))
+
+
 def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool = False) -> DataFrame:
     """`(schedule, run_ts)`: every firing of each enabled schedule after the start, through the end.
 
     An interval fires at whole multiples after the start. Runs unfold day by day (cron) or hour by
-    hour (interval), so no row holds more than a day's or an hour's firings.
+    hour (interval), so no row holds more than a day's or an hour's firings. The days and hours are dealt
+    out over the tasks before they unfold, so one dense schedule is not one task's work.
     """
-    # A few schedules unfold to many runs, so the small table is spread over all cores first.
-    cores = schedules.sparkSession.sparkContext.defaultParallelism
-    rules = _usable(schedules, full).repartition(cores, "schedule")
+    rules = _usable(schedules, full)
     start, end = f"timestamp_millis({start_ms}L)", f"timestamp_millis({end_ms}L)"
     cron = (
-        rules.filter("type = 'cron'")
-        .selectExpr("*", f"explode(sequence(to_date({start}), to_date({end}))) AS _day")
-        .filter(_fires("_day"))
+        _fire_days(rules, start, end)
+        .select("schedule", "_day", "minutes", "hours")
+        .repartition("schedule", "_day")
         .selectExpr("schedule", "_day", "minutes", "explode(hours) AS _hour")
         .selectExpr("schedule", "_day", "_hour", "explode(minutes) AS _minute")
         .selectExpr("schedule", f"{_at('_day', '_hour', '_minute')} AS run_ts")
@@ -86,6 +91,7 @@ def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool =
             f"least((_slice + 1) * {_HOUR_MS}, {length}) DIV interval_ms AS _high",
         )
         .filter("_low <= _high")
+        .repartition("schedule", "_low")
         .selectExpr("schedule", "interval_ms", "explode(sequence(_low, _high)) AS _k")
         .selectExpr("schedule", f"timestamp_millis({start_ms}L + _k * interval_ms) AS run_ts")
     )
@@ -104,18 +110,22 @@ def match_schedules(events: DataFrame, schedules: DataFrame, ts: str = "ts", ful
     return placed.join(slots, "_slot").filter(_fires(ts)).select(*events.columns, "schedule")
 
 
-def _next_cron(ts: str) -> str:
-    """SQL: first whole minute after the minute of `ts` that fires, within one month, else null."""
+def _later_today(ts: str) -> str:
+    """SQL: first whole minute after the minute of `ts` that fires on the same day, else null."""
     next_minute = f"get(filter(minutes, m -> m > minute({ts})), 0)"
     next_hour = f"get(filter(hours, h -> h > hour({ts})), 0)"
-    ahead = f"get(filter(sequence(1, 31), d -> {_fires(f'date_add(to_date({ts}), d)')}), 0)"
-    candidate = f"""CASE
+    return f"""CASE
         WHEN {_fires(ts)} AND array_contains(hours, hour({ts})) AND {next_minute} IS NOT NULL
           THEN {_at(ts, f'hour({ts})', next_minute)}
-        WHEN {_fires(ts)} AND {next_hour} IS NOT NULL THEN {_at(ts, next_hour, 'get(minutes, 0)')}
-        ELSE {_at(f'date_add(to_date({ts}), {ahead})', 'get(hours, 0)', 'get(minutes, 0)')} END"""
+        WHEN {_fires(ts)} AND {next_hour} IS NOT NULL THEN {_at(ts, next_hour, 'get(minutes, 0)')} END"""
+
+
+def _next_cron(ts: str) -> str:
+    """SQL: first whole minute after the minute of `ts` that fires, within one month, else null."""
+    ahead = f"get(filter(sequence(1, 31), d -> {_fires(f'date_add(to_date({ts}), d)')}), 0)"
+    later = _at(f"date_add(to_date({ts}), {ahead})", "get(hours, 0)", "get(minutes, 0)")
     limit = f"date_trunc('MINUTE', {ts}) + INTERVAL 1 MONTH"
-    return f"get(filter(array({candidate}), c -> c <= {limit}), 0)"
+    return f"get(filter(array(coalesce({_later_today(ts)}, {later})), c -> c <= {limit}), 0)"
 
 
 def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full: bool = False) -> DataFrame:
@@ -130,6 +140,15 @@ def next_run_for(events: DataFrame, schedules: DataFrame, ts: str = "ts", full:
     return timed.join(_usable(schedules, full), "schedule", "left").select(*events.columns, F.expr(runs))
 
 
+def _next_days(rules: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """`(schedule, _day, _next)`: for each cron schedule and day of the horizon, the first run of a later day."""
+    start, end = f"timestamp_millis({start_ms}L)", f"timestamp_millis({end_ms}L)"
+    days = rules.filter("type = 'cron'").selectExpr("*", f"explode(sequence(to_date({start}), to_date({end}))) AS _day")
+    first = f"CASE WHEN {_fires('_day')} THEN {_at('_day', 'get(hours, 0)', 'get(minutes, 0)')} END AS _first"
+    after = Window.partitionBy("schedule").orderBy("_day").rowsBetween(1, Window.unboundedFollowing)
+    return days.selectExpr("schedule", "_day", first).select("schedule", "_day", F.min("_first").over(after).alias("_next"))
+
+
 def changes_per_run(
     changes: DataFrame,
     schedules: DataFrame,
@@ -141,20 +160,28 @@ def changes_per_run(
 ) -> DataFrame:
     """Per scheduled run: changes that arrived for it, taken (at most `n`) and left for later runs.
 
-    Changes name their `schedule`. They are counted per run inside each task before they are gathered,
-    so a schedule with a third of all changes sends few rows; the carry-over is a running minimum over
-    the calendar, whose length depends on the horizon and not on the data.
+    Changes name their `schedule`, and each waits for that schedule's next run, however far off: on the same
+    day by arithmetic on the row, else on the next day of the horizon on which the schedule fires. A change
+    without a run before the end is in no row. Changes are counted per run or day inside each task before they
+    are gathered, so a schedule with a third of all changes sends few rows; next days and the carry-over
+    are windows over the calendar of one schedule, whose length depends on the horizon and not on the data.
     """
     grid = f"""timestamp_millis({start_ms}L +
         ((unix_millis(_when) - {start_ms}L) DIV interval_ms + 1) * interval_ms)"""
     inside = changes.select("schedule", F.col(ts).cast("timestamp").alias("_when")).filter(
         f"_when >= timestamp_millis({start_ms}L) AND _when <= timestamp_millis({end_ms}L)"
     )
+    rules = _usable(schedules, full)
+    waiting = (
+        inside.join(rules, "schedule")
+        .selectExpr("schedule", "to_date(_when) AS _day", f"CASE type WHEN 'interval' THEN {grid} ELSE {_later_today('_when')} END AS _run")
+        .groupBy("schedule", F.when(F.col("_run").isNull(), F.col("_day")).alias("_day"), "_run")
+        .agg(F.count("*").alias("_n"))
+    )
     arrivals = (
-        inside.join(_usable(schedules, full), "schedule")
-        .selectExpr("schedule", f"CASE type WHEN 'interval' THEN {grid} ELSE {_next_cron('_when')} END AS run_ts")
-        .groupBy("schedule", "run_ts")
-        .agg(F.count("*").alias("arrived"))
+        waiting.join(_next_days(rules, start_ms, end_ms), ["schedule", "_day"], "left")
+        .groupBy("schedule", F.coalesce("_run", "_next").alias("run_ts"))
+        .agg(F.sum("_n").alias("arrived"))
     )
     runs = (
         run_calendar(schedules, start_ms, end_ms, full)
