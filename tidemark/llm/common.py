@@ -19,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes not to be a column of `df`."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame, *left_out: str) -> list[Column]:
+    """The columns of `df` as they are named, but for those left out."""
+    return [F.col(f"`{c}`") for c in df.columns if c not in left_out]
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: later work survives lost executors and repeats nothing."""
     folder = work_dir(df.sparkSession, name)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Query, settled, table
+from tidemark.llm.common import Query, own_names, settled, table
 
 WINDOW, COVER_PERCENT = 13, 5
 # Item words per automaton. A larger benchmark is met block by block.
@@ -209,7 +209,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
     blocks = 1 + int(size // (6 * block_words))
     spark = docs.sparkSession
     none = F.array().cast("array<string>")
-    out = docs
+    out, one = docs, own_names(docs, "_found")[0]
     for block in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
         held = [(r[0], item_words(r[1])) for r in part.toLocalIterator()]
@@ -217,18 +217,18 @@ def judge(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
         if blocks == 1:
             out = out.withColumn(result, found)
             break
-        out = out.withColumn("_found", found)
+        out = out.withColumn(one, found)
         earlier = F.col(result) if block else F.struct(none.alias("items"), F.array().cast("array<struct<start:int, end:int>>").alias("spans"))
-        spans = _merged(earlier.getField("spans"), F.col("_found.spans"))
+        spans = _merged(earlier.getField("spans"), F.col(f"{one}.spans"))
         out = out.withColumn(
             result,
             F.struct(
-                F.col("_found.n_words").alias("n_words"),
+                F.col(f"{one}.n_words").alias("n_words"),
                 F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x.end - x.start).alias("n_hit"),
-                F.array_sort(F.array_union(earlier.getField("items"), F.col("_found.items"))).alias("items"),
+                F.array_sort(F.array_union(earlier.getField("items"), F.col(f"{one}.items"))).alias("items"),
                 spans.alias("spans"),
             ),
-        ).drop("_found")
+        ).drop(one)
         out = settled(out, "contamination")
     hit, words = F.col(f"{result}.n_hit"), F.col(f"{result}.n_words")
     return out.withColumn(result, F.col(result).withField("contaminated", (hit > 0) & (hit * (100 // COVER_PERCENT) >= words)))
@@ -261,11 +261,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", cut
     With `cut`, the remaining documents also lose their hit spans of 13 words or more; without it, what
     stays below the coverage limit is left alone.
     """
-    judged = judge(docs, benchmark, text, result="_contamination")
-    kept = judged.filter(~F.col("_contamination.contaminated"))
+    found = own_names(docs, "_contamination")[0]
+    kept = judge(docs, benchmark, text, result=found).filter(~F.col(f"{found}.contaminated"))
     if cut:
-        kept = kept.withColumn(text, F.when(F.size("_contamination.spans") > 0, _cut(text, "_contamination.spans")).otherwise(F.col(text)))
-    return kept.drop("_contamination")
+        kept = kept.withColumn(text, F.when(F.size(f"{found}.spans") > 0, _cut(text, f"{found}.spans")).otherwise(F.col(text)))
+    return kept.drop(found)
 
 
 def op6_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Query, settled, table, text_hash
+from tidemark.llm.common import Query, columns_of, own_names, settled, table, text_hash
 
 SHARDS, OVERHEAD = 40, 16
 # Ranges per shard at least; at large scale as many as keep a range at about RANGE_BYTES, up to MAX_RANGES.
@@ -23,13 +23,13 @@ _OUT = T.StructType([T.StructField(n, T.LongType()) for n in ("piece", "shard",
 COLUMNS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _keyed(docs: DataFrame, doc_id: str, text: str, group: str, tie: str) -> DataFrame:
     """The rows with their size, checksum and place in key order: copies of a text are neighbours."""
     return docs.withColumns({
         "size": (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long"),
         "text_crc32": F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")),
-        "_group": text_hash(text),
-        "_tie": F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.lit("tie")),
+        group: text_hash(text),
+        tie: F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.lit("tie")),
     })
 
 
@@ -119,20 +119,22 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
     for a range, and the exact size of each range and piece. The rows then move once, by piece, and are numbered
     inside it. A text that holds much of the data fills a range of its own, which is cut by the hash of doc_id.
     """
-    given = docs.select([c for c in docs.columns if c not in COLUMNS])
-    keyed = _keyed(given, doc_id, text)
-    found = splitters(settled(keyed.select("_group", "_tie", "size"), "shard-keys"), shards)
+    given = docs.select(columns_of(docs, *COLUMNS))
+    group, tie, at, piece = own_names(given, "_group", "_tie", "_at", "_piece")
+    keyed = _keyed(given, doc_id, text, group, tie)
+    slim = keyed.select(F.col(group).alias("_group"), F.col(tie).alias("_tie"), "size")
+    found = splitters(settled(slim, "shard-keys"), shards)
 
     @F.pandas_udf(_OUT)
-    def placed(group: pd.Series, tie: pd.Series) -> pd.DataFrame:
-        piece = found.pieces(group.to_numpy(), tie.to_numpy())
-        return pd.DataFrame({"piece": piece, "shard": found.shard[piece], "base": found.base[piece]})
-
-    at = keyed.withColumn("_at", placed("_group", "_tie")).withColumn("_piece", F.col("_at.piece"))
-    within = F.row_number().over(W.partitionBy("_piece").orderBy("_group", "_tie", doc_id))
-    return at.select(
-        *given.columns, "size", "text_crc32", F.lit("bytes").alias("law"), F.col("_at.shard").cast("int").alias("shard"),
-        (F.col("_at.base") + within - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    def placed(groups: pd.Series, ties: pd.Series) -> pd.DataFrame:
+        pieces = found.pieces(groups.to_numpy(), ties.to_numpy())
+        return pd.DataFrame({"piece": pieces, "shard": found.shard[pieces], "base": found.base[pieces]})
+
+    put = keyed.withColumn(at, placed(group, tie)).withColumn(piece, F.col(f"{at}.piece"))
+    within = F.row_number().over(W.partitionBy(piece).orderBy(group, tie, doc_id))
+    return put.select(
+        *columns_of(given), "size", "text_crc32", F.lit("bytes").alias("law"), F.col(f"{at}.shard").cast("int").alias("shard"),
+        (F.col(f"{at}.base") + within - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Query, settled, table, text_hash, words_of
+from tidemark.llm.common import Query, own_names, settled, table, text_hash, words_of
 from tidemark.llm.components import components
 
 SHINGLE, SEED, REACH = 3, 42, 2
@@ -127,9 +127,10 @@ def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     grouped = groups(docs, doc_id, text)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k")
     left = settled(grouped.groupBy("root").agg(least).select("k.doc_id", "k.text_hash"), "simhash-kept")
+    id_, hash_ = own_names(docs, "_kept_id", "_kept_hash")
     kept = docs.join(
-        left.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")),
-        docs[doc_id].eqNullSafe(F.col("_kept_id")) & (text_hash(text) == F.col("_kept_hash")),
+        left.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)),
+        F.col(doc_id).eqNullSafe(F.col(id_)) & (text_hash(text) == F.col(hash_)),
         "left_semi",
     )
     repeats = grouped.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count()

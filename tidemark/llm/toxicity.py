@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import crf
-from tidemark.llm.common import Query, id_remainder, table
+from tidemark.llm.common import Query, id_remainder, own_names, table
 
 # Labels are learned from at most so many documents of either label, none longer than SAMPLE_CHARS. They bound
 # the fit alone; every document is scored whole.
@@ -156,6 +156,12 @@ def scored(docs: DataFrame, scorer: Scorer, text: str = "text", result: str = "t
     return docs.withColumn(result, score(text))
 
 
+def without_toxic(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose texts score under one half."""
+    result = own_names(docs, "_toxicity")[0]
+    return scored(docs, scorer, text, result).filter(F.col(f"{result}.score") < 0.5).drop(result)
+
+
 def _offsets(text: str | None, marginals: np.ndarray) -> list[dict]:
     if not len(marginals) or marginals.max() < 0.5:
         return []
