@@ -8,8 +8,8 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,15 +24,33 @@ from tidemark.session import work_dir
 TOKENIZER, END = "word_bpe_49k.json", 1
 SHARD_TOKENS = 8_000_000  # a task closes a file when it holds this many ids
 _MAGIC, _BLOCK = b"WVMX\x01\x00\x00\x00", 512  # bits between two counts of the rank directory
-_CACHED = 400_000  # remembered words of a worker; beyond that it forgets them all
+_CACHED = 500_000  # remembered pieces of a worker; beyond that it forgets them all
 
-# Words made of these alone split alike in the tokenizer and here; all others go through the tokenizer whole.
-_SIMPLE = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+").findall
+# Texts of these characters alone split alike in the tokenizer and here; words with others go through it whole.
+_SIMPLE = re.compile(r"[\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
+_PIECES = re.compile(
+    r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\x09-\x0d\x20a-z\xdf-\xf6\xf8-\xff0-9]+"
+).findall
+# The characters that stand for bytes in a byte-level vocabulary: visible ones for themselves, others from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = dict(zip((b for b in range(256) if b not in _VISIBLE), range(256, 512)))
+
+
+class _Pieces(dict):
+    """Ids of pieces, asked of the tokenizer's model when they are first met."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SPELLED)
+        ids = self[piece] = np.array([t.id for t in self.tokenize(spelled)], np.uint16).tobytes()
+        return ids
 
 
 class Encoder:
-    """Ids of whole texts by the public tokenizer, each word encoded once and remembered.
+    """Ids of whole texts by the public tokenizer, each piece encoded once and remembered.
 
     The tokenizer never merges across white space, and it splits words into letters, single digits and signs
     before it merges; so the ids of a text are those of its pieces in order. A test holds this against whole texts.
@@ -42,47 +60,41 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.special = tuple(t.content for t in self.model.get_added_tokens_decoder().values())
+        self.whole = Tokenizer.from_file(path)
+        self.special = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
+        self.pieces = _Pieces(self.whole.model)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.pieces) > _CACHED:
-            self.pieces.clear()
-        split = {w: _PIECES(w.lower()) for w in new if _SIMPLE(w) and not any(s in w for s in self.special)}
-        unseen = list(set(chain.from_iterable(split.values())).difference(self.pieces))
-        for at in range(0, len(unseen), 2_000):
-            part = unseen[at : at + 2_000]
-            coded = self.model.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(coded.ids, np.uint16), np.array(coded.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(part)), side="right").tolist()
-            for piece, start, end in zip(part, [0, *ends], ends):
-                self.pieces[piece] = ids[start:end].tobytes()
-        self.words.update((w, b"".join([self.pieces[p] for p in parts])) for w, parts in split.items())
-        whole = [w for w in new if w not in split]
-        for w, coded in zip(whole, self.model.encode_batch(whole, add_special_tokens=False)):
-            self.words[w] = np.array(coded.ids, np.uint16).tobytes()
-
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 16-bit numbers; none for null and empty texts."""
-        lists = []
-        for text in texts:
-            text = text or ""
-            for blank in "\t\n\x0b\x0c\r":
-                text = text.replace(blank, " ")
-            lists.append(text.split(" "))
-        out = []
-        for at in range(0, len(lists), 200):
-            part = lists[at : at + 200]
-            needed = set(chain.from_iterable(part))
-            if len(self.words) > _CACHED:
-                self.words.clear()
-            new = needed.difference(self.words)
-            if new:
-                self._learn(new)
-            out += [b"".join(map(self.words.__getitem__, words)) for words in part]
-        return out
+
+    def _plain(self, text: str) -> bool:
+        return bool(_SIMPLE(text)) and not any(s in text for s in self.special)
+
+    def _word(self, word: str) -> bytes:
+        """A word that may have any characters."""
+        if self._plain(word):
+            return b"".join(map(self.pieces.__getitem__, _PIECES(word.lower())))
+        if word not in self.words:
+            self.words[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
+        return self.words[word]
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text as little-endian 16-bit numbers; none for null and empty texts."""
+        if not text:
+            return b""
+        for known in (self.pieces, self.words):
+            if len(known) > _CACHED:
+                known.clear()
+        if self._plain(text):
+            return b"".join(map(self.pieces.__getitem__, _PIECES(text.lower())))
+        return b"".join([self._word(w) for w in _WORDS(text)])
+
+
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for each worker process, so what it remembers serves all its tasks."""
+    return Encoder(path)
 
 
 class WaveletMatrix:
@@ -242,7 +254,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encoder, (store, base) = Encoder(tokenizer), file_store(folder)
+        encoder, (store, base) = _encoder(tokenizer), file_store(folder)
         store.create_dir(base, recursive=True)
         part, made, held = TaskContext.get().partitionId(), [], []
 
@@ -258,7 +270,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
 
         tail, tokens = np.array([END], np.uint16).tobytes(), 0
         for batch in batches:
-            for number, k, codes in zip(batch["_id"].tolist(), batch["_known"].tolist(), encoder.encode(batch["_text"])):
+            for number, k, text in zip(batch["_id"].tolist(), batch["_known"].tolist(), batch["_text"]):
+                codes = encoder.encode(text)
                 held.append((number, k, codes + tail))
                 tokens += len(codes) // 2 + 1
                 if tokens >= shard_tokens:
