@@ -11,8 +11,7 @@ from tidemark.llm.common import settled, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under one half, by a scorer learned from the labelled documents."""
     scorer = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    found = toxicity.scored(docs, scorer, result="_toxicity")
-    return found.filter("_toxicity.score < 0.5").select(docs.columns)
+    return toxicity.without_toxic(docs, scorer)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +26,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its Poisson count says, in shuffled order; sources weigh as the root of their rows."""
-    return mixing.mix(docs).select(docs.columns)
+    return mixing.mixed(docs)
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Query, table
+from tidemark.llm.common import Query, columns_of, own_names, settled, table
 
 SEED = 17
 # Sources weigh as the square root of their rows, and the mix has about as many rows as its input.
@@ -13,6 +13,8 @@ TEMPERATURE = 0.5
 _UNIT = float(1 << 52)
 # A count beyond this many standard deviations over the mean has a chance under 2 ** -52.
 _TAIL, _LEAST = 10.0, 20.0
+_FEW = 6
+MAX_SOURCES = 10_000  # sources whose table may be broadcast
 
 
 def _number(text: Column) -> Column:
@@ -39,6 +41,12 @@ def poisson_steps(rate: Column) -> Column:
     return walked.getField("steps")
 
 
+def _count(steps: Column, at: Column) -> Column:
+    """Steps that do not exceed `at`. Nearly all counts are small, and the first steps are compared in generated code."""
+    few = sum(((F.get(steps, F.lit(k)) <= at).cast("long") for k in range(_FEW)), F.lit(0).cast("long"))
+    return F.when(F.get(steps, F.lit(_FEW - 1)) > at, few).otherwise(F.size(F.filter(steps, lambda s: s <= at)).cast("long"))
+
+
 def rates(docs: DataFrame, source: str = "source", weights: DataFrame | None = None, total: int | None = None,
           temperature: float = TEMPERATURE) -> DataFrame:
     """`(mix_source, n_docs, weight, rate)` for each source: the mean number of times that a document of it is wanted.
@@ -70,25 +78,36 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", wanted:
     in any repeated run. Documents with count 0 are left out: that is the method. Rows that repeat a doc_id, or lack
     one, share one number; the text plays no part. An empty table gives no rows.
 
-    The sources' table has one row per source and is joined to the documents; only its measured size lets
-    Spark broadcast it, and a source that holds much of the rows is split by adaptive execution. The final sort
+    The sources' table has one row per source. It is written first; with at most `MAX_SOURCES` rows it is broadcast,
+    beyond that joined by source, where adaptive execution splits a source that holds much of the rows. The final sort
     deals rows out by ranges of a hash, so no source and no copied document stays together.
     """
     wanted = rates(docs, source) if wanted is None else wanted
-    steps = wanted.select("mix_source", poisson_steps(F.col("rate")).alias("mix_steps"))
-    given = [c for c in docs.columns if c not in ("n_copies", "copy", "mix_key")]
+    steps = settled(wanted.select("mix_source", poisson_steps(F.col("rate")).alias("mix_steps")), "mix-steps")
+    if steps.count() <= MAX_SOURCES:
+        steps = F.broadcast(steps)
+    given = docs.select(columns_of(docs, "n_copies", "copy", "mix_key"))
+    by, list_, at = own_names(given, "mix_source", "mix_steps", "mix_at")
     seeded = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    named = docs.select(*given, F.coalesce(F.col(source), F.lit("")).alias("mix_source"))
-    counted = named.join(steps, "mix_source").withColumn("mix_at", _uniform(seeded)).withColumn(
-        "n_copies", F.size(F.filter("mix_steps", lambda s: s <= F.col("mix_at"))).cast("long")
+    named = given.withColumn(by, F.coalesce(F.col(source), F.lit("")))
+    counted = named.join(steps.withColumnsRenamed({"mix_source": by, "mix_steps": list_}), by).withColumn(at, _uniform(seeded)).withColumn(
+        "n_copies", _count(F.col(list_), F.col(at))
     )
     copies = counted.filter("n_copies > 0").select(
-        *given, "n_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("copy")
+        *columns_of(given), "n_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("copy")
     )
     key = _number(F.concat(seeded, F.lit(":"), F.col("copy").cast("string"))).alias("mix_key")
     return copies.select("*", key).orderBy("mix_key", doc_id, "copy")
 
 
+def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """The mix with the columns of `docs` alone, whatever they are called."""
+    given = [c for c in ("n_copies", "copy", "mix_key") if c in docs.columns]
+    held = docs.withColumnsRenamed(dict(zip(given, own_names(docs, *given))))
+    back = dict(zip(own_names(docs, *given), given))
+    return mix(held, doc_id, source).drop("n_copies", "copy", "mix_key").withColumnsRenamed(back).select(columns_of(docs))
+
+
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents, sources weighing as the square root of their rows."""
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
