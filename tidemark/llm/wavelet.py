@@ -203,11 +203,11 @@ class WaveletMatrix:
 
 
 def packed(matrix: WaveletMatrix, doc_ids: np.ndarray, known: np.ndarray, ends: np.ndarray) -> bytes:
-    """A file: head, then Zstandard blocks with their lengths: document ids, whether known, ends, symbols, each plane."""
+    """A file: head, then Zstandard blocks: document ids, whether known, ends, symbols, each plane; all with checksums."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
     out = io.BytesIO()
-    out.write(_MAGIC + struct.pack("<QII", matrix.size, len(doc_ids), len(matrix.planes)))
-    out.write(struct.pack(f"<{len(matrix.zeros)}Q", *matrix.zeros))
+    head = _MAGIC + struct.pack(f"<QII{len(matrix.zeros)}Q", matrix.size, len(doc_ids), len(matrix.planes), *matrix.zeros)
+    out.write(head + struct.pack("<I", zlib.crc32(head)))
     for part in (doc_ids.astype("<i8"), known.astype(np.uint8), ends.astype("<i8"), matrix.symbols.astype("<u4"), *matrix.planes):
         block = squeeze(part.tobytes())
         out.write(struct.pack("<QI", len(block), zlib.crc32(block)) + block)
@@ -219,8 +219,11 @@ def unpacked(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.nda
     if data[:8] != _MAGIC or len(data) < 24:
         raise ValueError("not a wavelet matrix file")
     size, docs, levels = struct.unpack_from("<QII", data, 8)
-    zeros = list(struct.unpack_from(f"<{levels}Q", data, 24))
     at, parts = 24 + 8 * levels, []
+    if levels > 16 or len(data) < at + 4 or struct.unpack_from("<I", data, at)[0] != zlib.crc32(data[:at]):
+        raise ValueError("damaged head")
+    zeros = list(struct.unpack_from(f"<{levels}Q", data, 24))
+    at += 4
     for _ in range(4 + levels):
         length, check = struct.unpack_from("<QI", data, at)
         block = data[at + 12 : at + 12 + length]
