@@ -201,3 +201,37 @@ def sync_with_merge(spark, d):
         "doc_id", "outcome", "hash", "version", F.unix_millis("mtime").alias("mtime_ms"),
         F.array_join(history, ",").alias("versions"),
     )
+
+
+def _deep(spark, d):
+    """Orders eight objects deep: the sides differ in the innermost status and in keys that only one side has."""
+    sides = W.json_sides(spark, d)
+
+    def nested(side):
+        text = F.get_json_object(side, "$.status")
+        inner = F.concat(F.lit('{"status":"'), text, F.lit(f'","only_{side}":{{"x":1}}}}'))
+        for level in "gfedcba":
+            inner = F.concat(F.lit('{"' + level + '":'), inner, F.lit("}"))
+        return inner.alias(side)
+
+    return sides.select("o_orderkey", nested("local"), nested("remote"))
+
+
+@register(
+    """SELECT k AS o_orderkey, 'a.b.c.d.e.f.g.' || leaf AS json_path, value, conflict FROM v_orders, LATERAL (VALUES
+         ('status', '"' || ls || '"', ls <> rs), ('only_local.x', '1.0', false), ('only_remote.x', '1.0', false)) t(leaf, value, conflict)""",
+    uses=("v_orders",),
+)
+def merge_json_leaves_deep(spark, d):
+    sides = _deep(spark, d)
+    local, remote = [J.json_leaves(sides, "o_orderkey", side) for side in ("local", "remote")]
+    return J.merge_json_leaves(local, remote, "o_orderkey")
+
+
+@register(
+    """SELECT k AS o_orderkey, CASE WHEN ls <> rs THEN 'a.b.c.d.e.f.g.status: local=' || ls || ', remote=' || rs ELSE '' END AS conflicts
+       FROM v_orders""",
+    uses=("v_orders",),
+)
+def merge_json_deep(spark, d):
+    return J.merge_json(_deep(spark, d)).select("o_orderkey", F.array_join("conflicts", ";").alias("conflicts"))

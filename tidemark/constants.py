@@ -19,6 +19,7 @@ RETRY_MULTIPLIER = 2.0
 RETRY_JITTER = 0.1
 
 # ---- fixed values: names and formats --------------------------------------------------------
+MAX_INDEX_KEY = 2**32 - 2  # the largest whole number that an object's key order puts first
 CHUNK_TYPE = "leaf"
 FILE_TYPES = ("plain", "newnote", "notes")
 BINARY_TYPE = "newnote"

@@ -36,8 +36,10 @@ def epoch_ms(column: Column | str) -> Column:
 
 
 def iso_millis(column: Column | str) -> Column:
-    """`2024-01-31T12:00:00.000Z` for a timestamp held in a UTC session."""
-    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """`2024-01-31T12:00:00.000Z` for an instant, whatever the session zone is."""
+    ms = F.unix_millis(column)
+    wall = F.timestamp_add("SECOND", F.floor(ms / 1000), F.lit("1970-01-01").cast("timestamp_ntz")).cast("string")
+    return F.concat(F.replace(wall, F.lit(" "), F.lit("T")), F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"), F.lit("Z"))
 
 
 def utc_instant(name: str) -> Column:

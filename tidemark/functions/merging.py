@@ -109,15 +109,15 @@ def _last_value(entries: Column, key: Column) -> Column:
     return F.try_element_at(F.filter(entries, lambda e: e["key"] == key), F.lit(-1))["value"]
 
 
-_INDEX_KEY = r"\A(0|[1-9][0-9]{0,8})\z"
+def is_index_key(key: Column) -> Column:
+    """A whole number in plain digits, up to the largest index."""
+    return key.rlike(r"\A(0|[1-9][0-9]{0,9})\z") & (key.try_cast("long") <= K.MAX_INDEX_KEY)
 
 
 def index_keys_first(keys: Column) -> Column:
     """Keys that are whole numbers come first, ascending; the others keep their order."""
-    numbers = F.array_sort(F.transform(F.filter(keys, lambda k: k.rlike(_INDEX_KEY)), lambda k: k.cast("int")))
-    return F.concat(
-        F.transform(numbers, lambda n: n.cast("string")), F.filter(keys, lambda k: ~k.rlike(_INDEX_KEY))
-    )
+    numbers = F.array_sort(F.transform(F.filter(keys, is_index_key), lambda k: k.cast("long")))
+    return F.concat(F.transform(numbers, lambda n: n.cast("string")), F.filter(keys, lambda k: ~is_index_key(k)))
 
 
 def merge_entries(base: Column, local: Column, remote: Column) -> Column:

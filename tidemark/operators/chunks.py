@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes, let
 from tidemark.functions.paths import doc_key
-from tidemark.operators.skew import join_unique
 
 
 # Folders of a stored chunk table are named by this many last digits of the chunk id.
@@ -130,22 +129,23 @@ def reassemble(
 
     Chunks missing from the store are passed over and counted; `strict` drops such files instead.
     Inline `data` stands in for files without children or, with `inline="unresolved"`, for files of
-    which no chunk was found. `empty_ok` restores a file of size 0 that has neither.
+    which no chunk was found. `empty_ok` restores a file of size 0 that has neither. A file is told by its
+    key and path, so two files that share a key keep their own bytes (see `conflict.newest_docs` for one row per key).
 
-    A chunk shared by many files is a hot key on the reference side, whose rows are split over tasks
-    (see `join_unique`). Where the store has a `bucket` column (see `bucketed`) it
+    A chunk shared by many files is a hot key on the reference side. The references are computed once, and adaptive
+    execution splits the tasks of such a key: the grouping by file shuffles anyway. Where the store has a `bucket` column (see `bucketed`) it
     joins the condition, so that only the folders of the wanted chunks are read.
     """
     if inline not in ("no_children", "unresolved"):
         raise ValueError("inline must be 'no_children' or 'unresolved'")
     on = ["bucket", "chunk_id"] if "bucket" in chunks.columns else ["chunk_id"]
     # The outer form, since the inner one adds a test on `children` that would compute them again.
-    refs = files.select("doc_id", F.posexplode_outer("children").alias("pos", "chunk_id"))
+    refs = files.select("doc_id", "path", F.posexplode_outer("children").alias("pos", "chunk_id"))
     refs = refs.filter(F.col("chunk_id").isNotNull())
     if "bucket" in on:
         refs = bucketed(refs, digits)
-    found = join_unique(refs, chunks.select(*on, "data"), on)
-    bodies = found.groupBy("doc_id").agg(
+    found = refs.join(chunks.select(*on, "data"), on, "left")
+    bodies = found.groupBy(F.col("doc_id").alias("_id"), F.col("path").alias("_path")).agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY pos)").alias("_joined"),
         F.count("*").alias("n_chunks"),
         F.count_if(F.col("data").isNull()).alias("missing_chunks"),
@@ -165,7 +165,8 @@ def reassemble(
         content = F.coalesce(
             content, F.when(no_children & (F.col("_size") == 0) & F.col("_inline").isNull(), F.lit(b""))
         )
-    out = head.join(bodies, "doc_id", "left").select(
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("path").eqNullSafe(F.col("_path"))
+    out = head.join(bodies, own, "left").select(
         "doc_id",
         "path",
         content.alias("content"),
@@ -181,7 +182,7 @@ def sync_totals(chunks: DataFrame, store: DataFrame | None = None, key: str = "d
     narrow = chunks.select(key, "chunk_id", F.octet_length("data").alias("_bytes"))
     if store is not None:
         known = store.select("chunk_id").distinct().withColumn("_known", F.lit(True))
-        narrow = join_unique(narrow, known, ["chunk_id"])
+        narrow = narrow.join(known, "chunk_id", "left")
     else:
         narrow = narrow.withColumn("_known", F.lit(None).cast("boolean"))
     return narrow.groupBy(key).agg(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
+from tidemark.operators.conflict import newest_docs
 
 
 def detect_changes(prev: DataFrame, curr: DataFrame) -> DataFrame:
@@ -87,8 +88,9 @@ def upsert_docs(current: DataFrame, incoming: DataFrame, key: str = "doc_id") ->
     """`current` with `incoming` put over it, in one full outer join.
 
     A replaced document keeps its `ctime` and every column that `incoming` lacks; its `version` goes
-    up by one. A new document starts at version 1.
+    up by one. A new document starts at version 1. Of incoming rows with one key the newest counts.
     """
+    incoming = newest_docs(incoming, key)
     cur = current.select(key, F.struct(*[c for c in current.columns if c != key]).alias("_c"))
     inc = incoming.select(key, F.struct(*[c for c in incoming.columns if c != key]).alias("_i"))
     arrives = F.col("_i").isNotNull()

@@ -26,6 +26,11 @@ def effective_path(df: DataFrame) -> Column:
     return F.when(F.col("path").isNull() | (F.col("path") == ""), F.col("doc_id")).otherwise(F.col("path"))
 
 
+def with_effective_path(df: DataFrame) -> DataFrame:
+    """`path` filled from the key where it is missing, so that later filters judge one and the same path."""
+    return df.withColumn("path", effective_path(df))
+
+
 def valid_paths(df: DataFrame) -> DataFrame:
     """Drops rows whose path is empty, begins with `_`, is absolute or climbs out of the root."""
     path = effective_path(df)

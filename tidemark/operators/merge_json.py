@@ -8,11 +8,14 @@ same comparison as a join of leaf rows, entirely inside the JVM, for reports on
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
+
 _RESULT = "merged string, conflicts array<string>"
 _EXACT = 2**53
 
@@ -39,8 +42,19 @@ def _keys_in_order(fields: dict):
     """Whole-number keys come first, ascending, as in every JSON object that was parsed."""
     if not any(k[:1].isdecimal() for k in fields):
         return fields
-    numeric = sorted((k for k in fields if k.isdecimal() and str(int(k)) == k and int(k) < 2**32 - 1), key=int)
-    return numeric + [k for k in fields if k not in set(numeric)]
+    numeric = sorted((k for k in fields if k.isdecimal() and str(int(k)) == k and int(k) <= K.MAX_INDEX_KEY), key=int)
+    taken = set(numeric)
+    return numeric + [k for k in fields if k not in taken]
+
+
+def _scalar(value) -> str:
+    """JSON text of a scalar; numbers are plain from 1e-6 to below 1e21, else with the shortest exponent."""
+    if not isinstance(value, float):
+        return _quote(value)
+    digits, _, power = repr(value).partition("e")
+    if not power:
+        return digits
+    return f"{Decimal(repr(value)):f}" if 1e-6 <= abs(value) < 1e21 else f"{digits.removesuffix('.0')}e{int(power):+d}"
 
 
 def _text(value, indent: str | None = None) -> str:
@@ -55,7 +69,7 @@ def _text(value, indent: str | None = None) -> str:
         items = [_text(v, inner) for v in value]
         ends = "[]"
     else:
-        return _quote(value)
+        return _scalar(value)
     if indent is None or not items:
         return ends[0] + ",".join(items) + ends[1]
     return ends[0] + inner + f",{inner}".join(items) + indent + ends[1]
@@ -67,7 +81,7 @@ def _shown(value) -> str:
         return ",".join("" if v is None else _shown(v) for v in value)
     if isinstance(value, dict):
         return "[object Object]"
-    return value if isinstance(value, str) else json.dumps(value)
+    return value if isinstance(value, str) else _scalar(value)
 
 
 def _same_scalar(a, b) -> bool:
@@ -168,14 +182,28 @@ def merge_json(df: DataFrame, prefer_remote: bool = False, with_base: bool = Tru
     )
 
 
-def json_leaves(df: DataFrame, key: str, column: str, depth: int = 5) -> DataFrame:
-    """`(key, json_path, kind, value)` for every field that is not an object, down to `depth` levels.
+def json_depth(df: DataFrame, column: str) -> int:
+    """The deepest nesting of braces in a column of JSON texts, strings aside. One number comes to the driver."""
+    braces = F.regexp_replace(F.regexp_replace(column, r'"(\\.|[^"\\])*"', ""), "[^{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a: Column, brace: Column) -> Column:
+        now = a.now + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(a.most, now).alias("most"))
+
+    return df.agg(F.max(F.aggregate(F.split(braces, ""), start, step).getField("most"))).first()[0] or 0
+
+
+def json_leaves(df: DataFrame, key: str, column: str, depth: int | None = None) -> DataFrame:
+    """`(key, json_path, kind, value)` for every field that is not an object, however deep.
 
-    `kind` is string, number, boolean, null or array; objects below `depth` stay whole as kind
-    object. Rows that do not parse as an object give nothing. Numbers show their double value, so 1
-    and 1.0 agree. Each level unfolds the objects and passes everything else on, so the input is read
-    once and nothing is shuffled.
+    `kind` is string, number, boolean, null or array. Rows that do not parse as an object give nothing. Numbers
+    show their double value, so 1 and 1.0 agree. Each level unfolds the objects and passes everything else on, so
+    nothing is shuffled. The levels are as many as the deepest text needs, which one pass measures first; a
+    caller who knows an upper bound passes it as `depth`. Objects below that stay whole, as kind object.
     """
+    if depth is None:
+        depth = json_depth(df, column)
     unfold = df.sparkSession.tvf.variant_explode_outer(F.col("_object").outer())
     level = df.select(F.col(key), F.lit("").alias("_at"), F.try_parse_json(column).alias("_v"))
     level = level.withColumn("schema", F.schema_of_variant("_v")).filter("startswith(schema, 'OBJECT')")

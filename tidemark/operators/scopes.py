@@ -4,8 +4,8 @@ Rules come as a mapping (`agent -> prefixes`, the usual configuration) or as a t
 `(agent, prefix)`. A mapping of up to `MAX_LITERAL_PREFIXES` prefixes becomes a plain predicate that
 is evaluated in the scan. A longer mapping or a table takes the join form: the distinct first
 segments of the data (few next to its rows, reduced before the shuffle) are matched to the rules by
-an equality join on their own prefixes, and the data is then joined to the allowed segments, with the
-rows of a hot folder split over tasks.
+an equality join on their own prefixes, and the data is then joined to the allowed segments, where
+adaptive execution splits the tasks of a hot folder.
 
 Prefixes and paths are both compared in lower case. A table row with a null prefix declares an agent
 that may see nothing.
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark import schemas
 from tidemark.functions.paths import doc_key, first_segment
-from tidemark.operators.skew import join_unique
 
 MAX_LITERAL_PREFIXES = 256
 
@@ -50,10 +49,11 @@ def _literal_rule(rules: Rules, agent: str) -> list[str] | None:
 
 
 def _starts_with_any(segment: Column, prefixes: Sequence[str]) -> Column:
+    """False for a null segment, as in the join form."""
     test = F.lit(False)
     for prefix in prefixes:
         test = test | segment.startswith(prefix)
-    return test
+    return F.coalesce(test, F.lit(False))
 
 
 def _allowed_segments(df: DataFrame, rules: DataFrame, agent: str, path_col: str) -> DataFrame:
@@ -93,7 +93,7 @@ def scope_filter(
     if prefixes is not None:
         return df.filter(_starts_with_any(segment, prefixes))
     allowed = _allowed_segments(df, _as_table(df, rules), agent, path_col)
-    return join_unique(df.withColumn("_segment", segment), allowed, ["_segment"], "inner").select(*df.columns)
+    return df.withColumn("_segment", segment).join(allowed, "_segment", "left_semi").select(*df.columns)
 
 
 def scope_verdict(
@@ -123,7 +123,8 @@ def scope_verdict(
         known = table.filter(F.col("agent") == agent).agg(F.count("*") > 0).scalar()
         allowed = _allowed_segments(df, table, agent, path_col).withColumn("_hit", F.lit(True))
         marked = (
-            join_unique(df.withColumn("_segment", segment), allowed, ["_segment"])
+            df.withColumn("_segment", segment)
+            .join(allowed, "_segment", "left")
             .withColumn("_allowed", F.coalesce("_hit", F.lit(False)))
             .drop("_hit")
         )

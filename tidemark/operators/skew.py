@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 # bounds the table of hot keys to `_MAX_HOT` rows whatever the data, so it can be broadcast.
 HOT_ROWS = 100_000
 _MAX_HOT = 10_000
+_NULL_PARTS = 1_000  # rows without a key have no partner to repeat, so many parts cost nothing
 
 
 def join_unique(
@@ -21,7 +24,10 @@ def join_unique(
     The keys of `many` are counted first, reduced inside each map task. A hot key gets as many parts
     as it needs for each to hold about `hot_rows` rows: its rows on the left are dealt out to the
     parts, and its one row on the right is repeated for each. All other keys have one part, so nothing
-    else grows. Every row is kept.
+    else grows. Rows with a null in their key match nothing and are dealt to parts as well. Every row is kept.
+
+    `many` is read for the count, for the share and for the join: pass a stored table. Where adaptive execution may
+    split skewed joins, a plain join needs none of this.
     """
     keys = list(on)
     counts = many.groupBy(*keys).agg(F.count("*").alias("_n"))
@@ -30,7 +36,9 @@ def join_unique(
     hot = counts.filter(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).alias("_parts"))
     hot = F.broadcast(hot)
     rest = [c for c in many.columns if c not in keys] or keys
-    dealt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*rest), F.col("_parts"))).otherwise(F.lit(0))
+    none = reduce(or_, [F.col(k).isNull() for k in keys])
+    parts = F.when(none, F.lit(_NULL_PARTS)).otherwise(F.col("_parts"))
+    dealt = F.when(parts.isNotNull(), F.pmod(F.xxhash64(*rest), parts)).otherwise(F.lit(0))
     left = many.join(hot, keys, "left").withColumn("_part", dealt.cast("long")).drop("_parts")
     every = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1)
     right = one.join(hot, keys, "left").withColumn("_part", F.explode_outer(every)).drop("_parts")

@@ -12,7 +12,7 @@ from tidemark.operators import chunks as C
 from tidemark.operators import conflict as X
 from tidemark.operators import diff as D
 from tidemark.operators import versions as V
-from tidemark.operators.filters import live_docs, valid_paths
+from tidemark.operators.filters import live_docs, valid_paths, with_effective_path
 from tidemark.operators.merge import merge_conflicts
 from tidemark.operators.scopes import Rules, scope_filter
 
@@ -113,13 +113,15 @@ def push(
 ) -> tuple[DataFrame, DataFrame]:
     """File documents and new chunks of a push of `(path, content, mtime)`, with `size` if it is known.
 
-    Files unchanged by (mtime, size) are left out before any of their bytes is hashed or chunked.
+    Files unchanged by (mtime, size) are left out before any of their bytes is hashed or chunked. Paths that share a
+    key are one document: its newest file counts.
     """
     visible = scope_filter(listing, rules, agent, enforce=enforce).withColumn("doc_id", doc_key("path"))
     if "size" not in listing.columns:
         visible = visible.withColumn("size", F.octet_length(as_bytes("content")).cast("long"))
-    todo = D.skip_unchanged(visible.select("doc_id", "mtime", "size"), store_files)
-    changed = visible.join(todo.select("doc_id"), "doc_id", "left_semi")
+    newest = X.newest_docs(visible.select("doc_id", "path", "mtime", "size"))
+    todo = D.skip_unchanged(newest, store_files).select("doc_id", "path")
+    changed = visible.join(todo, ["doc_id", "path"], "left_semi")
     pieces = C.with_chunk_id(C.chunk_files(changed, chunk_bytes))
     return D.upsert_docs(store_files, C.file_documents(changed, chunk_bytes)), C.new_chunks(pieces, store_chunks)
 
@@ -133,5 +135,6 @@ def pull(
     strict: bool = False,
 ) -> DataFrame:
     """Every live file an agent may see, rebuilt from its chunks."""
-    visible = scope_filter(valid_paths(live_docs(files)), rules, agent, enforce=enforce)
+    named = with_effective_path(live_docs(files))
+    visible = X.newest_docs(scope_filter(valid_paths(named), rules, agent, enforce=enforce))
     return C.reassemble(visible, chunks, strict=strict)

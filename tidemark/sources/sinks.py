@@ -14,6 +14,12 @@ from tidemark.sources.scan import with_scope_folder
 _META = T.StructType([T.StructField("last_sync", T.TimestampType()), T.StructField("version", T.LongType())])
 
 
+def absent(error: AnalysisException) -> None:
+    """Returns if a path was never written; any other error, such as a damaged store, is raised again."""
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", by_scope: bool = True) -> None:
     """Writes `(path, content)` rows, in one folder per scope unless `by_scope` is off.
 
@@ -40,7 +46,8 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     try:
         # The folder names are digits of ids and must not be read as numbers.
         return spark.read.schema("chunk_id string, data binary, bucket string").parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        absent(error)
         return spark.createDataFrame([], "chunk_id string, data binary, bucket string")
 
 
@@ -59,7 +66,8 @@ def state_meta(spark: SparkSession, path: str) -> DataFrame:
     """`(last_sync, version)` of every complete version; empty if there is none."""
     try:
         return spark.read.schema(_META).parquet(f"{path}/meta")
-    except AnalysisException:
+    except AnalysisException as error:
+        absent(error)
         return spark.createDataFrame([], _META)
 
 

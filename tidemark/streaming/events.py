@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.functions.core import from_millis
 from tidemark.functions.paths import first_segment
-from tidemark.operators.skew import join_unique
 
 
 def debounce(events: DataFrame, gap_ms: int = K.DEBOUNCE_MS, watermark: str = "10 minutes") -> DataFrame:
@@ -88,8 +87,8 @@ def enrich_events(events: DataFrame, files: DataFrame) -> DataFrame:
     """Adds the current content hash to add and change events; unlink events carry none."""
     known = files.select("path", F.col("hash").alias("_hash"))
     hashed = F.when(F.col("event").isin("add", "change"), F.col("_hash"))
-    joined = events.join(known, "path", "left") if events.isStreaming else join_unique(events, known, ["path"])
-    return joined.select(*events.columns, hashed.alias("hash"))
+    # Debounced events of one path are few, and a plain join runs the debounce once.
+    return events.join(known, "path", "left").select(*events.columns, hashed.alias("hash"))
 
 
 def route_events(events: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each micro-batch adds its new chunks to the stored chunk table and rebuilds its files against that
 table. A file whose chunks have not all come yet is given out with what is there and is tried again
-in the next batch, so chunks and files may arrive in any order.
+when one of its chunks comes, so chunks and files may arrive in any order.
 """
 
 from __future__ import annotations
@@ -10,16 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes
 from tidemark.operators.chunks import BUCKET_DIGITS, bucketed, new_chunks, reassemble
-from tidemark.operators.conflict import latest_write
-from tidemark.operators.filters import live_docs, valid_paths
+from tidemark.operators.conflict import newest_docs
+from tidemark.operators.filters import live_docs, valid_paths, with_effective_path
 from tidemark.operators.scopes import Rules, scope_filter
 from tidemark.sources.scan import chunk_docs, classify_docs, file_docs
-from tidemark.sources.sinks import read_chunks, write_chunks
+from tidemark.sources.sinks import absent, read_chunks, write_chunks
 from tidemark.streaming.feeds import run_feed
 
 
@@ -44,26 +45,40 @@ def apply_remote(
 
 def _newest(files: DataFrame, rules: Rules, agent: str, enforce: bool) -> DataFrame:
     """The last state of each file an agent may see."""
-    visible = scope_filter(valid_paths(files), rules, agent, enforce=enforce)
-    return latest_write(visible, "doc_id", "mtime", None, "path")
+    visible = scope_filter(valid_paths(with_effective_path(files)), rules, agent, enforce=enforce)
+    return newest_docs(visible)
 
 
 def _restore(files: DataFrame, chunks: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
     return reassemble(files, chunks, empty_ok=False, inline="unresolved", digits=digits)
 
 
-def _waiting(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
+def _earlier(spark: SparkSession, folder: str, batch_id: int, schema: StructType) -> DataFrame:
+    """What an earlier batch wrote; no rows before the first."""
     try:
-        return spark.read.schema(like.schema).parquet(f"{folder}/batch={batch_id}")
-    except AnalysisException:
-        return like.limit(0)
+        return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id}")
+    except AnalysisException as error:
+        absent(error)
+        return spark.createDataFrame([], schema)
 
 
-def _chunks_for(files: DataFrame, spark: SparkSession, path: str, digits: int) -> DataFrame:
-    """The stored chunks in the folders that the files refer to; their names are at most `16 ** digits`."""
-    wanted = files.select(F.explode("children").alias("chunk_id"))
-    folders = [r.bucket for r in bucketed(wanted, digits).select("bucket").distinct().collect()]
-    return read_chunks(spark, path).filter(F.col("bucket").isin(folders))
+# Ids up to this number are matched to the store by a broadcast, so that no stored bytes are shuffled.
+MAX_BROADCAST_IDS = 500_000
+
+
+def _held(store: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
+    """The stored chunks with a wanted id, read from those ids' folders alone.
+
+    There are at most `16 ** digits` folder names, and they come to the driver. A batch of a usual size has few
+    ids, which are broadcast, so bytes move for hits only; beyond `MAX_BROADCAST_IDS` the join decides.
+    """
+    if digits > 3:
+        raise ValueError("at most three digits name a folder")
+    ids = bucketed(wanted.select("chunk_id").distinct(), digits).persist()
+    folders = [r.bucket for r in ids.select("bucket").distinct().collect()]
+    few = ids.count() <= MAX_BROADCAST_IDS
+    there = store.filter(F.col("bucket").isin(folders))
+    return there.join(F.broadcast(ids) if few else ids, ["bucket", "chunk_id"], "left_semi").select("chunk_id", "data", "bucket")
 
 
 def follow_remote(
@@ -74,37 +89,60 @@ def follow_remote(
     enforce: bool = True,
     every: str | None = None,
     digits: int = BUCKET_DIGITS,
+    patience: int = 1_000,
 ) -> StreamingQuery:
-    """Applies a document stream to `folder`: `chunks` (by bucket), `files` and `waiting` (by batch).
+    """Applies a document stream to `folder`: `chunks` (by bucket), `files`, `removed` and `waiting` (by batch).
 
-    Every write of a batch either adds only chunks that are not stored yet or overwrites the batch's
-    own folder, so a batch that runs again changes nothing.
+    The newest row of a document decides, a deleted one included: a deletion ends the wait of its file and is
+    recorded in `removed`. A batch rebuilds its own files and those waiting files that one of its chunks
+    belongs to; a file whose chunks do not come within `patience` batches is waited for no longer, and stays as
+    it was last given out. Every write of a batch either adds only chunks that are not stored yet or overwrites the
+    batch's own folder, so a batch that runs again changes nothing.
     """
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        live = classify_docs(live_docs(batch))
-        own = chunk_docs(live).withColumn("data", as_bytes("data"))
+        known = batch.persist()
+        own = chunk_docs(classify_docs(live_docs(known))).withColumn("data", as_bytes("data"))
         chunk_path, wait_path = f"{folder}/chunks", f"{folder}/waiting"
-        fresh = new_chunks(own, read_chunks(spark, chunk_path), digits)
-        write_chunks(fresh, chunk_path, "append", digits)
-
-        arrived = file_docs(live)
-        earlier = _waiting(spark, wait_path, batch_id - 1, arrived)
-        both = arrived.unionByName(earlier.join(arrived.select("doc_id"), "doc_id", "left_anti"))
-        files = _newest(both, rules, agent, enforce).persist()
-        restored = _restore(files, _chunks_for(files, spark, chunk_path, digits), digits)
+        stored = read_chunks(spark, chunk_path)
+        write_chunks(new_chunks(own, _held(stored, own, digits), digits), chunk_path, "append", digits)
+
+        listed = classify_docs(known)
+        gone = F.coalesce(F.col("deleted"), F.lit(False)) if "deleted" in known.columns else F.lit(False)
+        # A tombstone need not say what it was; only chunks are never removed this way.
+        newest = newest_docs(with_effective_path(listed.filter((F.col("kind") == "file") | (gone & (F.col("kind") != "chunk")))))
+        newest.filter(gone).select("doc_id", "path").write.mode("overwrite").parquet(f"{folder}/removed/batch={batch_id}")
+        arrived = _newest(newest.filter(~gone).drop("kind"), rules, agent, enforce).withColumn("_since", F.lit(batch_id).cast("long"))
+
+        earlier = _earlier(spark, wait_path, batch_id - 1, arrived.schema).join(newest.select("doc_id"), "doc_id", "left_anti")
+        refs = earlier.select("doc_id", F.explode("children").alias("chunk_id"))
+        touched = refs.join(own.select("chunk_id"), "chunk_id", "left_semi").select("doc_id").distinct()
+        files = arrived.unionByName(earlier.join(touched, "doc_id", "left_semi")).persist()
+        wanted = files.select(F.explode("children").alias("chunk_id"))
+        restored = _restore(files, _held(read_chunks(spark, chunk_path), wanted, digits), digits)
         restored.write.mode("overwrite").parquet(f"{folder}/files/batch={batch_id}")
 
         done = spark.read.parquet(f"{folder}/files/batch={batch_id}").filter(F.col("missing_chunks") == 0)
-        waiting = files.join(done.select("doc_id"), "doc_id", "left_anti").filter(F.size("children") > 0)
+        still = files.unionByName(earlier.join(touched, "doc_id", "left_anti"))
+        waiting = still.join(done.select("doc_id"), "doc_id", "left_anti").filter(
+            (F.size("children") > 0) & (F.col("_since") > batch_id - patience)
+        )
         waiting.write.mode("overwrite").parquet(f"{wait_path}/batch={batch_id}")
-        files.unpersist()
+        for kept in (files, known):
+            kept.unpersist()
 
     return run_feed(stream, handle, f"{folder}/checkpoint", every)
 
 
 def applied_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The state of each file after all batches: the last one given out for its key."""
+    """The state of each file after all batches: what was last given out for its key, unless it was removed since.
+
+    Keys and batches are ranked alone; content is read for the rows that stand.
+    """
     out = spark.read.option("basePath", f"{folder}/files").parquet(f"{folder}/files")
-    return latest_write(out, "doc_id", "batch")
+    removed = spark.read.option("basePath", f"{folder}/removed").parquet(f"{folder}/removed")
+    last = out.select("doc_id", "batch").groupBy("doc_id").agg(F.max("batch").alias("batch"))
+    ends = removed.groupBy("doc_id").agg(F.max("batch").alias("_removed"))
+    standing = last.join(ends, "doc_id", "left").filter(F.col("_removed").isNull() | (F.col("_removed") < F.col("batch")))
+    return out.join(standing.select("doc_id", "batch"), ["doc_id", "batch"], "left_semi").select(out.columns)
