@@ -177,7 +177,52 @@ def follow_local(spark, d):
     texts = texts.withColumn("doc_id", F.col("path"))
     nothing = texts.limit(0)
     local.follow_local(
-        stream, lambda: texts, lambda: nothing, lambda: nothing, f"{out}/replica", gap_ms=_GAP
+        stream, lambda: texts, lambda: nothing, lambda: nothing, f"{out}/replica", gap_ms=_GAP, watched=None, enforce=False
     ).awaitTermination()
     rows = spark.read.parquet(f"{out}/replica/audit")
     return rows.select("path", F.unix_millis("ts").alias("ts_ms"), "status", "message")
+
+
+_RULES = {"assistant": ("0", "1")}
+_FOLDERS = [f"{i:03d}" for i in range(0, 230, 2)]
+
+
+def _user_files(spark, d):
+    """A file for every user with an event, its text the number of its last one; remote and base for two thirds of them."""
+    e = W.change_events(spark, d)
+    last = e.groupBy("path").agg(F.max("seq").alias("n"), F.max("ts").alias("mtime"))
+    local = last.select("path", F.col("path").alias("doc_id"), F.col("n").cast("string").alias("content"), "mtime", "n")
+    some = local.filter(F.col("n") % 3 != 0)
+    theirs = F.when(F.col("n") % 3 == 1, F.concat(F.lit("remote "), "content")).otherwise(F.col("content"))
+    remote_ = some.select("path", "doc_id", theirs.alias("content"), F.timestamp_millis(F.unix_millis("mtime") + (F.col("n") % 2) * 120_000 - 60_000).alias("mtime"), F.lit(4).alias("version"))
+    base = some.filter(F.col("n") % 2 == 0).select("doc_id", "content")
+    return local.drop("n"), C.with_hash(remote_), base
+
+
+view(
+    "v_followed",
+    f"""SELECT path, epoch_us(last) // 1000 AS last_ms FROM v_bursts
+        WHERE event <> 'unlink' AND left(path, 3)::INTEGER % 2 = 0 AND left(path, 1) IN ('0', '1')
+          AND epoch_us(last) // 1000 + 21600000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 600000""",
+)
+
+
+@register(
+    """SELECT DISTINCT doc_id, outcome, sha256(CASE WHEN outcome IN ('merged', 'remote') THEN 'remote ' || text ELSE text END) AS hash,
+         CASE WHEN outcome = 'new' THEN 1 WHEN outcome = 'remote' THEN 4 ELSE 5 END::INTEGER AS version FROM (
+         SELECT f.path AS doc_id, n::VARCHAR AS text, CASE WHEN n % 3 = 0 THEN 'new' WHEN n % 3 = 2 THEN 'unchanged'
+             WHEN n % 2 = 0 THEN 'merged' ELSE 'remote' END AS outcome
+         FROM v_followed f JOIN (SELECT path, max(seq) AS n FROM v_events GROUP BY path) USING (path))""",
+    uses=("v_followed", "v_events"),
+)
+def follow_local_documents(spark, d):
+    """The documents of syncing the event feed: every second folder is watched, and folders from 200 on are out of scope."""
+    out = work_dir(spark, "local")
+    W.change_events(spark, d).write.parquet(f"{out}/source")
+    stream = feeds.read_change_stream(spark, f"{out}/source", spark.read.parquet(f"{out}/source").schema)
+    mine, theirs, base = _user_files(spark, d)
+    local.follow_local(
+        stream, lambda: mine, lambda: theirs, lambda: base, f"{out}/replica", gap_ms=_GAP, watched=_FOLDERS, rules=_RULES
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{out}/replica/documents")
+    return rows.select("doc_id", "outcome", "hash", "version").distinct()

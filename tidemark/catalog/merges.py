@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import shared_sql  # noqa: F401
 from tidemark.catalog.registry import register, view
+from tidemark.operators import chunks as C
 from tidemark.operators import merge as M
 from tidemark.operators import merge_json as J
+from tidemark.operators import versions as V
 from tidemark.plans import pipelines
 from tidemark.plans import views as W
 
@@ -235,3 +237,139 @@ def merge_json_leaves_deep(spark, d):
 )
 def merge_json_deep(spark, d):
     return J.merge_json(_deep(spark, d)).select("o_orderkey", F.array_join("conflicts", ";").alias("conflicts"))
+
+
+# ---- a whole sync: Markdown with front matter, JSON and prose, over a remote side and a real base ----
+
+SYNC_RULES = {"assistant": ("0", "1")}
+
+
+def _head(title: str, lang: str, extra: str) -> str:
+    return f"'---' || chr(10) || 'title: ' || {title} || chr(10) || 'lang : ' || {lang} || chr(10) || 'no colon here' || chr(10) || {extra} || '---' || chr(10)"
+
+
+def _side_sql(side: str, head: str, who: str) -> str:
+    return f"""CASE WHEN s.n % 4 = 0 THEN {head} || s.{side}
+      WHEN s.n % 8 = 2 THEN '{{"n":' || s.n || ',"who":"' || CASE WHEN s.n % 3 = 0 THEN '{who}' ELSE 'same' END || '","tags":["{side}"]}}'
+      ELSE s.{side} END"""
+
+
+view(
+    "v_whole",
+    f"""
+SELECT *, CASE WHEN rv IS NULL THEN 'new' WHEN sha256(local) = sha256(remote) THEN 'unchanged' WHEN NOT has_conflicts THEN 'merged'
+    WHEN rm > lm THEN 'remote' ELSE 'local' END AS outcome
+FROM (SELECT s.n, s.doc_id, s.path, s.local_ms AS lm, s.remote_ms AS rm, (l.quality + 1)::INTEGER AS rv,
+    {_side_sql("local", _head("h.mine", "h.lang", "''"), "local")} AS local,
+    {_side_sql("remote", _head("h.theirs", "'xx'", "'added: ' || s.n || chr(10) || 'title2: a: b' || chr(10)"), "remote")} AS remote,
+    CASE WHEN s.n % 4 = 0 THEN m.merged WHEN s.n % 8 = 2 THEN {_JSON_TEXT.replace("|| n ||", "|| s.n ||").replace("WHEN n %", "WHEN s.n %")} ELSE t.merged END AS merged,
+    CASE WHEN s.n % 4 = 0 THEN m.has_conflicts WHEN s.n % 8 = 2 THEN s.n % 3 = 0 ELSE t.has_conflicts END AS has_conflicts
+  FROM v_sides s JOIN v_heads h USING (n) JOIN v_text t USING (n) JOIN v_markdown m USING (n) LEFT JOIN labels l ON l.doc_id = s.n
+  WHERE left(s.path, 1) IN ('0', '1'))""",
+)
+view(
+    "v_whole_final",
+    """SELECT *, CASE outcome WHEN 'merged' THEN merged WHEN 'remote' THEN remote ELSE local END AS content,
+         (coalesce(rv, 0) + CASE outcome WHEN 'remote' THEN 0 ELSE 1 END)::INTEGER AS version FROM v_whole""",
+)
+
+
+def _pieces_sql(source: str, content: str) -> str:
+    return f"""SELECT n, doc_id, pos, sha256(array_slice(raw, pos * 1024 + 1, (pos + 1) * 1024)) AS chunk_id,
+      octet_length(array_slice(raw, pos * 1024 + 1, (pos + 1) * 1024))::BIGINT AS bytes
+    FROM (SELECT n, doc_id, encode({content}) AS raw, unnest(range(greatest((octet_length(encode({content})) + 1023) // 1024, 1))) AS pos
+      FROM {source})"""
+
+
+view("v_whole_chunks", _pieces_sql("v_whole_final", "content"))
+view("v_whole_stored", _pieces_sql("(SELECT * FROM v_whole WHERE rv IS NOT NULL)", "remote"))
+# The store holds the chunks of documents out of scope too.
+view(
+    "v_stored_all",
+    _pieces_sql(
+        f"""(SELECT s.n, s.doc_id, {_side_sql("remote", _head("h.theirs", "'xx'", "'added: ' || s.n || chr(10) || 'title2: a: b' || chr(10)"), "remote")} AS remote
+        FROM v_sides s JOIN v_heads h USING (n) JOIN labels l ON l.doc_id = s.n)""",
+        "remote",
+    ),
+)
+
+
+def _sync(spark, d):
+    """Remote documents (of all labelled files) with their chunks, and what a sync of all files over them writes."""
+    sides = _routed(spark, d).join(W.merge_sides(spark, d).select("n", "doc_id", "local_mtime", "remote_mtime"), "n")
+    local = sides.select("doc_id", "path", F.col("local").alias("content"), F.col("local_mtime").alias("mtime"))
+    labels = W.read(spark, d, "labels").select(F.col("doc_id").alias("n"), (F.col("quality") + 1).cast("int").alias("version"))
+    texts = sides.join(labels, "n").select("doc_id", "path", F.col("remote").alias("content"), F.col("remote_mtime").alias("mtime"), "version")
+    remote = texts.select(
+        "*", C.child_ids(F.col("content"), W.CHUNK).alias("children"), F.sha2(F.col("content").cast("binary"), 256).alias("hash")
+    )
+    held = C.with_chunk_id(C.chunk_files(remote, W.CHUNK)).select("chunk_id", "data").dropDuplicates(["chunk_id"])
+    base = sides.select("doc_id", F.col("base").alias("content"))
+    return remote, held, pipelines.sync(local, remote, base, held, SYNC_RULES, chunk_bytes=W.CHUNK)
+
+
+@register(
+    """SELECT f.doc_id, outcome, sha256(content) AS hash, version, CASE outcome WHEN 'remote' THEN rm ELSE lm END AS mtime_ms,
+         CASE WHEN outcome IN ('merged', 'local') THEN rv || ':' || sha256(remote) ELSE '' END AS versions, children
+       FROM v_whole_final f JOIN (SELECT doc_id, string_agg(chunk_id, ',' ORDER BY pos) AS children FROM v_whole_chunks GROUP BY doc_id) USING (doc_id)""",
+    uses=("v_whole_final", "v_whole_chunks"),
+)
+def sync_documents(spark, d):
+    history = F.transform("versions", lambda v: F.concat_ws(":", v["version"].cast("string"), v["hash"]))
+    return _sync(spark, d)[2].documents.select(
+        "doc_id", "outcome", "hash", "version", F.unix_millis("mtime").alias("mtime_ms"),
+        F.array_join(history, ",").alias("versions"), F.array_join("children", ",").alias("children"),
+    )
+
+
+@register(
+    """SELECT chunk_id, max(bytes) AS bytes FROM v_whole_chunks JOIN v_whole USING (doc_id)
+       WHERE outcome IN ('new', 'merged', 'local') AND chunk_id NOT IN (SELECT chunk_id FROM v_stored_all) GROUP BY chunk_id""",
+    uses=("v_whole_chunks", "v_whole", "v_stored_all"),
+)
+def sync_chunks(spark, d):
+    return _sync(spark, d)[2].chunks.select("chunk_id", F.octet_length("data").cast("long").alias("bytes"))
+
+
+@register(
+    """SELECT doc_id || '.v' || rv AS doc_id, sha256(remote) AS hash, rv AS version, true AS archived, children FROM v_whole
+       JOIN (SELECT doc_id, string_agg(chunk_id, ',' ORDER BY pos) AS children FROM v_whole_stored GROUP BY doc_id) USING (doc_id)
+       WHERE outcome IN ('merged', 'local')""",
+    uses=("v_whole", "v_whole_stored"),
+)
+def sync_archives(spark, d):
+    return _sync(spark, d)[2].archives.select("doc_id", "hash", "version", "archived", F.array_join("children", ",").alias("children"))
+
+
+@register(
+    f"""SELECT path, CASE WHEN left(path, 1) IN ('0', '1') THEN 'success' ELSE 'error' END AS status,
+          CASE WHEN left(path, 1) IN ('0', '1') THEN 'synced: ' || outcome ELSE 'path not allowed' END AS message,
+          split_part(path, '/', 1) AS scope FROM v_sides LEFT JOIN (SELECT n, outcome FROM v_whole) USING (n)""",
+    uses=("v_sides", "v_whole"),
+)
+def sync_audit(spark, d):
+    return _sync(spark, d)[2].audit.select("path", "status", "message", "scope")
+
+
+@register(
+    """SELECT doc_id, sha256(remote) AS hash, (rv + 2)::INTEGER AS version, rv AS reverted_from FROM v_whole WHERE outcome IN ('merged', 'local')""",
+    uses=("v_whole",),
+)
+def sync_then_revert(spark, d):
+    """Every document whose remote version a sync has overwritten, set back to that version."""
+    done = _sync(spark, d)[2]
+    columns = ["doc_id", "path", "children", "hash", "mtime", "version", "archived"]
+    store = done.documents.withColumn("archived", F.lit(False)).select(columns).unionByName(done.archives.select(columns))
+    wanted = done.documents.filter(F.size("versions") > 0).select("path", F.element_at("versions", -1)["version"].alias("to_version"))
+    back = V.revert_to(store, wanted, W.END_MS, SYNC_RULES)
+    return back.select("doc_id", "hash", "version", "reverted_from")
+
+
+@register(
+    "SELECT doc_id, sha256(content) AS hash, 0::BIGINT AS missing_chunks FROM v_whole_final", uses=("v_whole_final",)
+)
+def sync_then_pull(spark, d):
+    """What a sync stored, rebuilt from the old and the new chunks."""
+    _, held, done = _sync(spark, d)
+    files = pipelines.pull(done.documents.select("doc_id", "path", "children", "mtime", "size"), held.unionByName(done.chunks), SYNC_RULES)
+    return files.select("doc_id", F.sha2("content", 256).alias("hash"), F.col("missing_chunks").cast("long").alias("missing_chunks"))

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes
-from tidemark.functions.paths import doc_key
+from tidemark.functions.paths import archive_key, doc_key, first_segment
 from tidemark.operators import chunks as C
 from tidemark.operators import conflict as X
 from tidemark.operators import diff as D
 from tidemark.operators import versions as V
+from tidemark.operators.audit import audit_rows
 from tidemark.operators.filters import live_docs, valid_paths, with_effective_path
 from tidemark.operators.merge import merge_conflicts
-from tidemark.operators.scopes import Rules, scope_filter
+from tidemark.operators.scopes import Rules, scope_filter, scope_verdict
 
 
 def _described(df: DataFrame, *extras: str) -> DataFrame:
@@ -102,6 +105,65 @@ def sync_with_merge(
     )
 
 
+@dataclass(frozen=True)
+class Synced:
+    """What a sync writes: documents, chunks the store lacks, archived versions and audit rows."""
+
+    documents: DataFrame
+    chunks: DataFrame
+    archives: DataFrame
+    audit: DataFrame
+
+
+def sync(
+    local: DataFrame,
+    remote: DataFrame,
+    base: DataFrame,
+    store_chunks: DataFrame,
+    rules: Rules = K.DEFAULT_SCOPES,
+    agent: str = K.DEFAULT_AGENT,
+    enforce: bool = True,
+    strategy: str | Column = "last-write-wins",
+    chunk_bytes: int = K.CHUNK_BYTES,
+) -> Synced:
+    """A whole sync of local files over their remote documents.
+
+    Paths outside the agent's scope are refused before a byte of theirs is read, and are in the audit alone. Documents are
+    those of `sync_with_merge`. Their new texts are chunked, and every remote version that is
+    overwritten leaves an archived row `<doc>.v<n>` with its children, so it can be restored.
+    """
+    asked = local.select("doc_id", "path", "mtime")
+    refused = scope_verdict(asked, rules, agent, enforce=enforce).filter(~F.col("allowed"))
+    visible = scope_filter(local, rules, agent, enforce=enforce)
+    documents = sync_with_merge(visible, remote, base, strategy, chunk_bytes)
+
+    stored = documents.filter(F.col("outcome").isin("new", "local", "both", "merged"))
+    texts = visible.select("doc_id", F.col("content").alias("_own"))
+    written = stored.select("doc_id", "content").join(texts, "doc_id").select(
+        "doc_id", F.coalesce(as_bytes("content"), as_bytes("_own")).alias("content")
+    )
+    pieces = C.new_chunks(C.with_chunk_id(C.chunk_files(written, chunk_bytes)), store_chunks)
+
+    lost = documents.filter(F.col("outcome").isin("local", "both", "merged")).select("doc_id")
+    kept = [c for c in ("path", "children", "mtime", "hash", "size") if c in remote.columns]
+    version = F.coalesce("version", F.lit(0)) if "version" in remote.columns else F.lit(0)
+    archives = remote.join(lost, "doc_id", "left_semi").select(
+        archive_key("doc_id", version).alias("doc_id"), *kept, version.cast("int").alias("version"),
+        F.lit("plain").alias("type"), F.lit(True).alias("archived"),
+    )
+    rows = [
+        audit_rows(
+            df, "sync_file", status, message, ts="mtime", seq=F.xxhash64("path"), path=F.col("path"),
+            scope=first_segment(doc_key("path")),
+        )
+        for df, status, message in (
+            (documents, "success", F.concat(F.lit("synced: "), "outcome")),
+            (refused, "error", F.col("reason")),
+        )
+    ]
+    return Synced(documents, pieces, archives, rows[0].unionByName(rows[1]))
+
+
 def push(
     listing: DataFrame,
     store_files: DataFrame,
