@@ -17,7 +17,8 @@ HEADLINE = (
     "resolve", "latest_write", "sync_with_merge", "merge_text", "merge_markdown", "merge_json", "merge_json_leaves",
     "merge_conflicts", "retain_version_rows", "version_history", "pull", "push_chunks", "retry_backlog",
     "assign_batches", "audit_lines", "retain_audit", "run_calendar", "match_schedules", "next_run_for",
-    "changes_per_run", "debounce", "route_events", "debounce_stream", "apply_remote",
+    "changes_per_run", "debounce", "route_events", "debounce_stream", "apply_remote", "push_documents", "pull_report",
+    "sync_documents", "sync_then_pull", "follow_remote", "follow_local",
 )
 
 

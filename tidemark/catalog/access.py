@@ -249,3 +249,32 @@ def search_all(spark, d):
 )
 def search_total(spark, d):
     return Q.search_total(W.files(spark, d), "tion", enforce=False)
+
+
+# Real page addresses as paths: without the scheme and with dotted and named folders as they come.
+view("v_urls", "SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages")
+
+
+def _url_paths(spark, d):
+    return W.read(spark, d, "pages").select("page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("path"))
+
+
+@register(
+    """SELECT page_id, path FROM v_urls
+       WHERE NOT list_has_any(string_split(path, '/'), ['node_modules', '.git', '.obsidian', 'dist', 'build', '.env'])
+         AND NOT ends_with(path, '.tmp') AND NOT regexp_matches(path, '(^|/)[.]')""",
+    uses=("v_urls",),
+)
+def ignore_filter_urls(spark, d):
+    return L.ignore_filter(_url_paths(spark, d))
+
+
+@register(
+    """SELECT page_id FROM (SELECT page_id, path, list_transform(string_split(replace(path, '\\', '/'), '/'),
+         lambda s: CASE WHEN s IN ('', '.') THEN 0 WHEN s = '..' THEN -1 ELSE 1 END) AS steps FROM v_urls)
+       WHERE path <> '' AND NOT starts_with(path, '_') AND NOT starts_with(path, '/') AND NOT regexp_matches(path, '^[A-Za-z]:')
+         AND list_min(list_transform(range(1, len(steps) + 1), lambda i: list_sum(steps[1:i]))) >= 0""",
+    uses=("v_urls",),
+)
+def valid_paths_urls(spark, d):
+    return L.valid_paths(_url_paths(spark, d)).select("page_id")

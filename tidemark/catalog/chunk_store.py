@@ -188,9 +188,18 @@ def dedupe_report(spark, d):
     return C.store_totals(_pieces(spark, d))
 
 
-@register()
+@register(
+    """SELECT 'k=' || (doc_id // 50) AS folder, sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS hash,
+         (sum(strlen(text)) + count(*))::BIGINT AS size FROM documents GROUP BY doc_id // 50"""
+)
 def scan_files(spark, d):
-    return scan.scan_files(spark, d).select("path", "hash", F.col("size").cast("long").alias("size"))
+    """A folder of text files, each of fifty documents in order, written and scanned."""
+    out = work_dir(spark, "scan")
+    texts = W.read(spark, d, "documents").select(F.expr("doc_id DIV 50").alias("k"), "doc_id", F.col("text").alias("value"))
+    sorted_texts = texts.repartition("k").sortWithinPartitions("k", "doc_id").drop("doc_id")
+    sorted_texts.write.partitionBy("k").text(out)
+    found = scan.scan_files(spark, out)
+    return found.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"), "hash", F.col("size").cast("long").alias("size"))
 
 
 @register("SELECT lang, count(*) AS docs, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang")
