@@ -177,7 +177,7 @@ def follow_local(spark, d):
     texts = texts.withColumn("doc_id", F.col("path"))
     nothing = texts.limit(0)
     local.follow_local(
-        stream, lambda: texts, lambda: nothing, lambda: nothing, f"{out}/replica", gap_ms=_GAP, watched=None, enforce=False
+        stream, lambda: texts, lambda: nothing, lambda: nothing, f"{out}/replica", gap_ms=_GAP
     ).awaitTermination()
     rows = spark.read.parquet(f"{out}/replica/audit")
     return rows.select("path", F.unix_millis("ts").alias("ts_ms"), "status", "message")
@@ -222,7 +222,7 @@ def follow_local_documents(spark, d):
     stream = feeds.read_change_stream(spark, f"{out}/source", spark.read.parquet(f"{out}/source").schema)
     mine, theirs, base = _user_files(spark, d)
     local.follow_local(
-        stream, lambda: mine, lambda: theirs, lambda: base, f"{out}/replica", gap_ms=_GAP, watched=_FOLDERS, rules=_RULES
+        stream, lambda: mine, lambda: theirs, lambda: base, f"{out}/replica", gap_ms=_GAP, watched=_FOLDERS, rules=_RULES, enforce=True
     ).awaitTermination()
     rows = spark.read.parquet(f"{out}/replica/documents")
     return rows.select("doc_id", "outcome", "hash", "version").distinct()

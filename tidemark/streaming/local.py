@@ -29,17 +29,17 @@ def follow_local(
     watermark: str = "10 minutes",
     strategy: str | Column = "last-write-wins",
     every: str | None = None,
-    watched: Sequence[str] | None = K.WATCHED_FOLDERS,
+    watched: Sequence[str] | None = None,
     rules: Rules = K.DEFAULT_SCOPES,
     agent: str = K.DEFAULT_AGENT,
-    enforce: bool = True,
+    enforce: bool = False,
     chunk_bytes: int = K.CHUNK_BYTES,
 ) -> StreamingQuery:
     """Syncs the files behind each batch of debounced events.
 
     `files`, `remote` and `base` give the frames of `sync` as they stand at the time of the batch; they are cut down
-    to the batch's paths and keys before anything of theirs is hashed. Events outside the `watched` folders (all
-    are watched with None) and on ignored paths are passed over, events outside the agent's scope are refused. Results go to
+    to the batch's paths and keys before anything of theirs is hashed. Events on ignored paths are passed over, as are those
+    outside the `watched` folders (None: all folders); with `enforce`, events outside the agent's scope are refused. Results go to
     `folder`: `bursts`, `documents`, `archives` and `audit` by batch, and `chunks` by bucket. Removed files are only
     reported, and an event whose file is gone is recorded as an error beside the others.
     """
