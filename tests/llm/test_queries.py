@@ -46,6 +46,22 @@ def test_against_sql(spark, con, name):
     assert compare.spark_answer(df) == compare.sql_answer(con, sql)
 
 
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
+def test_no_plan_multiplies_rows_or_gathers_a_table(spark, name):
+    """One task may only receive what was reduced before; in op4 and op8 also the list of files, a row for each."""
+    plan = answer(spark, name)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = plan.split("\n")
+    for at, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in lines[at + 1] or "-manifest-" in "".join(lines[at + 1 : at + 3])
+
+
+def test_op2_runs_no_python(spark):
+    plan = answer(spark, "op2_poisson_mix")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()) == list(range(1, 11))
 
