@@ -25,6 +25,7 @@ TOKENIZER, END = "word_bpe_49k.json", 1
 SHARD_TOKENS = 8_000_000  # a task closes a file when it holds this many ids
 _MAGIC, _BLOCK = b"WVMX\x01\x00\x00\x00", 512  # bits between two counts of the rank directory
 _CACHED = 500_000  # remembered pieces of a worker; beyond that it forgets them all
+_LONGEST = 64  # longer pieces are not remembered, so that memory stays bounded
 
 # Texts of these characters alone split alike in the tokenizer and here; words with others go through it whole.
 _SIMPLE = re.compile(r"[\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
@@ -45,7 +46,9 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SPELLED)
-        ids = self[piece] = np.array([t.id for t in self.tokenize(spelled)], np.uint16).tobytes()
+        ids = np.array([t.id for t in self.tokenize(spelled)], np.uint16).tobytes()
+        if len(piece) <= _LONGEST:
+            self[piece] = ids
         return ids
 
 
@@ -72,9 +75,12 @@ class Encoder:
         """A word that may have any characters."""
         if self._plain(word):
             return b"".join(map(self.pieces.__getitem__, _PIECES(word.lower())))
-        if word not in self.words:
-            self.words[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
-        return self.words[word]
+        known = self.words.get(word)
+        if known is None:
+            known = np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
+            if len(word) <= _LONGEST:
+                self.words[word] = known
+        return known
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian 16-bit numbers; none for null and empty texts."""
