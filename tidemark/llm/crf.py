@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,7 +11,7 @@ import numpy as np
 BUCKETS = 1 << 18
 _BLOCK = 64
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_CACHED = 400_000
+_CACHED, _LONGEST = 400_000, 64  # words remembered, and their greatest length
 
 
 def core(word: str) -> str:
@@ -94,8 +93,11 @@ class Field:
         known = self.scores
         if len(known) > _CACHED:
             known.clear()
+        long = {}
         for word in set(words).difference(known):
-            known[word] = self.score(word)
+            (known if len(word) <= _LONGEST else long)[word] = self.score(word)
+        if long:
+            return [known[w] if w in known else long[w] for w in words]
         return list(map(known.__getitem__, words))
 
     def marginals(self, emissions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -113,16 +115,17 @@ class Field:
         return odds / (1.0 + odds)
 
 
-def cues(docs: list[set[str]], toxic: np.ndarray, least: int = 5, lift: float = 3.5) -> set[str]:
-    """Features that speak for label 1: in at least `least` texts of it, and `lift` more (in logarithms) than in others."""
-    ours, theirs = Counter(), Counter()
-    for names, label in zip(docs, toxic):
-        (ours if label else theirs).update(names)
+def cues(docs: list[np.ndarray], toxic: np.ndarray, count: int, least: int = 5, lift: float = 3.5) -> np.ndarray:
+    """Marks features that speak for label 1, of `count`: in at least `least` texts of it, and `lift` more (in logarithms) than in others.
+
+    `docs` has the numbers of each text's features, none twice.
+    """
+    ours, theirs = np.zeros(count), np.zeros(count)
+    for numbers, label in zip(docs, toxic):
+        (ours if label else theirs)[numbers] += 1
     n, m = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
-    return {
-        f for f, k in ours.items()
-        if k >= least and np.log((k + 0.5) / (n + 1)) - np.log((theirs[f] + 0.5) / (m + 1)) >= lift and 5 * k >= 4 * theirs[f]
-    }
+    gain = np.log((ours + 0.5) / (n + 1)) - np.log((theirs + 0.5) / (m + 1))
+    return (ours >= least) & (gain >= lift) & (5 * ours >= 4 * theirs)
 
 
 def trained(texts: list[list[str]], toxic: np.ndarray, rounds: int = 60, rate: float = 0.3) -> Field:
@@ -133,14 +136,18 @@ def trained(texts: list[list[str]], toxic: np.ndarray, rounds: int = 60, rate: f
     """
     numbers: dict[str, int] = {}
     ids = [np.fromiter((numbers.setdefault(core(w), len(numbers)) for w in words), np.int64, len(words)) for words in texts]
-    names = [features(w) for w in numbers]
-    listed = list(numbers)
-    chosen = cues([{f for i in set(x.tolist()) for f in names[i]} for x in ids], toxic)
-    marked = np.array([any(f in chosen for f in n) for n in names], bool) if listed else np.zeros(0, bool)
-    width = 6
-    table = np.full((len(listed), width), BUCKETS, np.int64)
-    for i, n in enumerate(names):
-        table[i, : len(n)] = [bucket(f) for f in n]
+    listed, width = list(numbers), 6
+    known: dict[str, int] = {}
+    exact = np.full((len(listed), width), -1, np.int64)
+    for i, word in enumerate(listed):
+        names = features(word)
+        exact[i, : len(names)] = [known.setdefault(n, len(known)) for n in names]
+    buckets = np.array([*map(bucket, known), BUCKETS], np.int64)
+    seen = [np.unique(exact[np.unique(x)]) for x in ids]
+    chosen = np.append(cues([x[x >= 0] for x in seen], toxic, len(known)), False)
+    marked = chosen[exact].any(axis=1)
+    table = buckets[exact]
+    del known, exact, seen
     flow = np.concatenate(ids) if ids else np.zeros(0, np.int64)
     lengths = np.array([len(x) for x in ids], np.int64)
     tags = np.concatenate([marked[x] & bool(y) for x, y in zip(ids, toxic)]) if ids else np.zeros(0, bool)

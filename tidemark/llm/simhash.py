@@ -138,6 +138,7 @@ def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def _first_of_repeats(kept: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row for each pair of id and text."""
     columns = kept.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])
     one = kept.groupBy(F.col(doc_id).alias("_id"), text_hash(text).alias("_hash")).agg(F.first(whole).alias("_row"))

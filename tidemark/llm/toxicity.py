@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -127,9 +128,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     ]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).filter(F.length("text") <= SAMPLE_CHARS)
-    rows = texts.select("text", F.col("_toxic") == 1, id_remainder("doc_id", FOLDS) == CALIBRATION, "doc_id")
-    found = sorted(tuple(r) for r in rows.limit(2 * (SAMPLE_TOXIC + SAMPLE_CLEAN)).collect())
-    return fit([r[:3] for r in found], (toxic or 0) / total)
+    rows = texts.select("text", (F.col("_toxic") == 1).alias("toxic"), (id_remainder("doc_id", FOLDS) == CALIBRATION).alias("later"), "doc_id")
+    share = (toxic or 0) / total
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = sorted(row for batch in batches for row in batch.itertuples(index=False, name=None))
+        yield pd.DataFrame({"model": [pickle.dumps(fit([r[:3] for r in found], share))]})
+
+    # The sample is bounded, so one task fits it; the model alone comes to the driver.
+    models = rows.repartition(1).mapInPandas(fitted, "model binary").collect()
+    return pickle.loads(models[0]["model"]) if models else Scorer(None, np.array([share]))
 
 
 def scored(docs: DataFrame, scorer: Scorer, text: str = "text", result: str = "toxicity") -> DataFrame:
