@@ -341,6 +341,35 @@ def test_op9_contexts_of_seeds_find_unseen_identifiers(spark):
     assert rows[101].added == [] and rows[102].added == []
 
 
+CARDS = [f"{s[:4]}{sep}{s[4:]}" for s in ("4111111111111111", "5500005555555559", "340000000000009", "30000000000004") for sep in ("", " ", "-")]
+FINDS = {
+    "email": ("please write to", [f"name{i}@mail.example.org" for i in range(12)], "annameier(at)example(dot)org"),
+    "ip": ("the host is", [f"10.20.{i}.{i + 7}" for i in range(12)], "fe80:1:2:3:4:5:6:7"),
+    "card": ("charge my card:", CARDS, "4111 1111 1111 1112"),
+    "phone": ("call me at", [f"+1 (212) 555-01{i:02d}" for i in range(12)], "(212) 555-0199"),
+}
+
+
+@pytest.mark.parametrize("kind", FINDS)
+@pytest.mark.parametrize("other", ["", "annameier", "nothing"])
+def test_op9_each_kind_of_context_finds_unseen_words(spark, kind, other):
+    """Letters alone are found where they stand nowhere else; a word of the language in the same place is not."""
+    context, seeds, unseen = FINDS[kind]
+    unseen = other or unseen
+    texts = [*[f"Some text, {context} {w} today" for w in [*seeds, unseen]], *CARDS[:6], "there is nothing of note", "but nothing, nothing here", "another text"]
+    found = {r.doc_id: r.added for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    at = len(f"Some text, {context} ")
+    assert [tuple(s) for s in found.pop(len(seeds))] == ([] if other == "nothing" else [(at, at + len(unseen), kind)])
+    assert not any(found.values())
+
+
+def test_op9_found_words_lead_to_further_contexts(spark):
+    numbers = [f"(212) 555-01{i}" for i in range(10, 16)]
+    texts = [*[f"call me at +1 (212) 555-02{i}" for i in range(10, 70)], *[f"call me at {n}" for n in numbers], *[f"my desk line {n}" for n in numbers], "call us"]
+    found = {r.doc_id: r.added for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {i for i, spans in found.items() if spans} == set(range(60, 72))
+
+
 @pytest.mark.parametrize("head", [0, 50, maxent.HEAD])
 def test_op10_base(spark, docs, monkeypatch, head):
     monkeypatch.setattr(maxent, "HEAD", head)
