@@ -388,6 +388,15 @@ def test_op10_base(spark, docs, monkeypatch, head):
         assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
 
 
+def test_op10_third_word_before_counts():
+    n = maxent.CLASSES * maxent.MEMBERS
+    assert n >= 1024
+    known = maxent.Vocabulary({}, np.zeros(0, np.int64), np.zeros(0), 0, 0, np.zeros(maxent.CLASSES + maxent.RARE, np.float32), np.zeros((maxent.CLASSES, maxent.MEMBERS), np.float32), np.zeros(maxent.RARE))
+    weights = maxent.Weights(*(np.random.default_rng(1).normal(size=t.shape).astype(np.float32) for t in vars(maxent.Weights.zero()).values()))
+    last = [maxent.log_chances(np.array([third, 2, 3, 4]), np.array([0]), known, weights)[-1] for third in (7, 700)]
+    assert last[0] != last[1]
+
+
 def test_op10_chances_sum_to_one(spark, docs):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     counts = {bytes(r[0]): r[1] for r in maxent.word_counts(frame, "text").collect()}
