@@ -57,13 +57,14 @@ def test_no_plan_multiplies_rows_or_gathers_a_table(spark, name):
             assert "partial_" in lines[at + 1] or "-manifest-" in "".join(lines[at + 1 : at + 7])
 
 
-def test_op2_runs_no_python(spark):
-    plan = answer(spark, "op2_poisson_mix")._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", ["op2_poisson_mix", "op12_license_diagonals"])
+def test_native_queries_run_no_python(spark, name):
+    plan = answer(spark, name)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in catalog.queries()) == list(range(1, 14))
 
 
 def test_op1_shards(spark, docs):

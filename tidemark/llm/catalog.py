@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import cascade, decontaminate, maxent, mixing, pii, shards, simhash, toxicity, warc, wavelet
+from tidemark.llm import cascade, centroids, conversations, decontaminate, licenses, maxent, mixing, pii, shards, simhash, toxicity, warc, wavelet
 from tidemark.llm.common import Query
 
-_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate, toxicity, warc, pii, maxent)
+_MODULES = (shards, mixing, cascade, wavelet, simhash, decontaminate, toxicity, warc, pii, maxent, centroids, licenses, conversations)
 
 
 def queries() -> dict[str, Query]:

@@ -449,4 +449,73 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {"op13_conversation_repair": op13_conversation_repair}
-SQL: dict[str, str] = {}
+
+
+def _sql() -> str:
+    """Costs and audits as one text, cost first in twelve digits, so that the least text is the cheapest and then the least repair."""
+    plus = lambda x, cost, edit: f"(lpad((substr({x}, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({x}, 13) || '{edit}')"
+    inserted = lambda x, times=1: plus(x, INSERT * times, "I" * times)
+    asked = f"least(asked, {inserted('nothing')}, {inserted('system')}, {inserted('answered')})"
+    answered = f"least(answered, {inserted('asked')}, {inserted('nothing', 2)}, {inserted('system', 2)})"
+    before_user = "least(nothing, system, near_answered)"
+    kept = lambda sign, x: f"CASE WHEN sign = '{sign}' THEN {plus(x, 'more', 'K')} END"
+    given = lambda x: f"CASE WHEN sign <> 'x' THEN {plus(x, f'{REROLE} + more', 'R')} END"
+    return f"""WITH RECURSIVE crc_steps(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crc FROM crc_steps WHERE k = 8),
+given AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce('=' || conv_id::VARCHAR, 'null') AS key,
+    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS letters FROM conversations),
+fated AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(letters, lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 20 AS fate FROM given, crc_table),
+damaged AS (
+  SELECT rid, key, turn, CASE WHEN fate = 4 THEN '{USER}' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(generate_series(1, CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, sha256(text), rid, copy) AS n FROM damaged),
+seen AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid,
+    row_number() OVER (PARTITION BY key, role, text ORDER BY n) > 1 AS again, lag(left(role, 1)) OVER (PARTITION BY key ORDER BY n) AS prior FROM placed),
+judged AS MATERIALIZED (
+  SELECT *, solid = '' AS blank, solid <> '' AND again AS duplicate, solid <> '' AND NOT again AND right(solid, 1) NOT IN ('.', '!', '?') AS truncated,
+    prior IS NOT NULL AND NOT (prior || '-' || initial IN ('s-u', 'u-a', 'a-u')) AS illegal FROM seen),
+signed AS MATERIALIZED (
+  SELECT key, n, CASE WHEN blank OR duplicate THEN 'x' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS sign,
+    CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END AS more FROM judged),
+walk(key, n, nothing, system, asked, answered) AS (
+  SELECT DISTINCT key, 0::BIGINT, '000000000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM given
+  UNION ALL
+  SELECT key, n, {plus("nothing", DELETE, "D")}, least({plus("system", DELETE, "D")}, {kept("s", "nothing")}),
+    least({plus("near_asked", DELETE, "D")}, {kept("u", before_user)}, {given(before_user)}),
+    least({plus("near_answered", DELETE, "D")}, {kept("a", "near_asked")}, {given("near_asked")})
+  FROM (
+    SELECT s.key, s.n, s.sign, s.more, w.nothing, w.system, {asked} AS near_asked, {answered} AS near_answered
+    FROM walk w JOIN signed s ON w.key = s.key AND s.n = w.n + 1)),
+ended AS (
+  SELECT key, least(nothing, answered, {inserted("asked")}, {inserted("system", 2)}) AS best, n, max(n) OVER (PARTITION BY key) AS rows FROM walk),
+told AS MATERIALIZED (SELECT key, substr(best, 1, 12)::BIGINT AS cost, substr(best, 13) AS audit FROM ended WHERE n = rows),
+steps AS (SELECT key, unnest(generate_series(1, len(audit))) AS place, audit FROM told),
+edits AS (
+  SELECT key, place, substr(audit, place, 1) AS edit, sum(CASE WHEN substr(audit, place, 1) <> 'I' THEN 1 ELSE 0 END) OVER w AS n,
+    sum(CASE WHEN substr(audit, place, 1) <> 'D' THEN 1 ELSE 0 END) OVER w AS given
+  FROM steps WINDOW w AS (PARTITION BY key ORDER BY place)),
+met AS (
+  SELECT e.*, j.role, j.text, max(CASE WHEN e.given = 1 AND e.edit = 'K' AND j.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.key) AS system
+  FROM edits e LEFT JOIN judged j ON e.key = j.key AND e.n = j.n AND e.edit <> 'I'),
+texts AS (
+  SELECT key, string_agg(CASE WHEN edit = 'K' THEN role WHEN (given - system) % 2 = 1 THEN '{USER}' ELSE '{ASSISTANT}' END || ':' || coalesce(text, ''), chr(10) ORDER BY place) AS repaired
+  FROM met WHERE edit <> 'D' GROUP BY key),
+counts AS (
+  SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::INTEGER) AS blank, sum(duplicate::INTEGER) AS duplicate,
+    sum(truncated::INTEGER) AS truncated, sum(illegal::INTEGER) AS illegal FROM judged GROUP BY key),
+ids AS (SELECT DISTINCT key, conv_id FROM given)
+SELECT i.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, t.cost, t.audit, sha256(coalesce(x.repaired, '')) AS repaired_sha256
+FROM ids i JOIN told t ON i.key = t.key LEFT JOIN counts c ON i.key = c.key LEFT JOIN texts x ON i.key = x.key"""
+
+
+SQL: dict[str, str] = {"op13_conversation_repair": _sql()}
