@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Query, columns_of, own_names, table
+from tidemark.llm.common import Query, columns_of, own_names, settled, table
 
 LEAST_SHARE = 0.8  # of words that a span has in common with its template
 REACH = 4  # words that may be put in or left out between two neighbouring diagonals
@@ -96,13 +96,18 @@ def _key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def _grams(listed: Column, size: int, start: Column) -> Column:
-    """`(at, size, gram, hash)` of every rolling gram of `size` words; `start` is the number of the first word."""
-    def gram(word: Column, i: Column) -> Column:
-        text = F.array_join(F.slice(listed, i + 1, size), " ")
-        return F.struct((start + i).alias("at"), F.lit(size).alias("size"), text.alias("gram"), F.xxhash64(F.lit(size), text).alias("hash"))
+_FIELDS = [f"w{i}" for i in range(LONG_GRAM)]
 
-    return F.transform(listed, gram)
+
+def _rolling(df: DataFrame, listed: str, *others: str) -> DataFrame:
+    """`others`, `at`, and the words `w0` to `w4` of every rolling gram of a list; null beyond its end."""
+    shifted = F.arrays_zip(*[(F.col(listed) if i == 0 else F.slice(listed, i + 1, BLOCK + LONG_GRAM)).alias(f) for i, f in enumerate(_FIELDS)])
+    rolled = df.select(*others, F.posexplode(shifted).alias("at", "g"))
+    return rolled.select(*others, "at", *[F.col("g").getField(f).alias(f) for f in _FIELDS])
+
+
+def _hash(size: int) -> Column:
+    return F.xxhash64(*_FIELDS[:size])
 
 
 def _template_words(templates: tuple[Template, ...], spark: SparkSession) -> DataFrame:
@@ -123,8 +128,8 @@ def spans(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
     """`(text_key binary, template, label, base, first_word, n_words, score)`: the places of templates in each different text.
 
     `text_key` is the SHA-256 of the text (null as the empty one), so texts alike are searched once each but told once.
-    Every rolling gram of five words (of two, for templates that must stand word for word) is joined by its hash, and then
-    by itself, to the places of grams in templates. Hits vote for the diagonal `place in text - place in template`. Neighbouring
+    Every rolling gram of five words (of two, for templates that must stand word for word) is joined by its hash to the places
+    of grams in templates, and compared word by word where hashes meet. Hits vote for the diagonal `place in text - place in template`. Neighbouring
     diagonals at most `REACH` apart are merged, so that words put in or left out do not end a span. A span's `score` is the
     share of words in common: those of the template that were hit, of the longer of span and template. Spans of short
     templates and base phrases need a share of 1 on one diagonal; all others are told with their score, whatever it is.
@@ -134,18 +139,25 @@ def spans(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
     """
     spark = docs.sparkSession
     known = _template_words(templates, spark)
-    places = known.select("template", "size", "n", "base", F.explode(F.filter(F.when(F.col("size") == LONG_GRAM, _grams(F.col("words"), LONG_GRAM, F.lit(0))).otherwise(
-        _grams(F.col("words"), SHORT_GRAM, F.lit(0))), lambda g: g.at <= F.col("n") - F.col("size"))).alias("g"))
-    places = places.select("template", (F.col("base") | (F.col("n") < SHORT)).alias("exact"), F.col("g.hash").alias("hash"), F.col("g.gram").alias("known_gram"), F.col("g.at").alias("place"))
+    exact = (F.col("base") | (F.col("n") < SHORT)).alias("exact")
+    rolled = _rolling(known, "words", "template", "base", "n", "size").filter(F.col("at") <= F.col("n") - F.col("size"))
+    place = F.struct("template", exact, F.col("at").alias("place"), F.slice(F.array(*_FIELDS), 1, F.col("size")).alias("gram"))
+
+    def known_grams(size: int) -> DataFrame:
+        of = rolled.filter(F.col("size") == size).groupBy(_hash(size).alias(f"hash{size}")).agg(F.collect_list(place).alias(f"places{size}"))
+        return _sent(of, templates)
 
     listed = docs.select(_key(F.col(f"`{text}`")).alias("text_key"), words(F.col(f"`{text}`")).alias("words"))
-    overlap = LONG_GRAM - 1
-    blocks = F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK)), lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, BLOCK + overlap).alias("words")))
-    cut = listed.filter(F.size("words") >= SHORT_GRAM).select("text_key", F.explode(blocks).alias("b"))
+    block = lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, BLOCK + LONG_GRAM - 1).alias("words"))
+    blocks = F.when(F.size("words") >= SHORT_GRAM, F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK)), block))
+    cut = listed.select("text_key", F.explode(blocks).alias("b")).select("text_key", "b.start", "b.words")
     # Grams that begin in the overlap come again at the start of the next block: as places are gathered as sets, that changes nothing.
-    both = F.concat(_grams(F.col("b.words"), SHORT_GRAM, F.col("b.start")), _grams(F.col("b.words"), LONG_GRAM, F.col("b.start")))
-    grams = cut.select("text_key", F.explode(both).alias("g")).select("text_key", "g.at", "g.hash", "g.gram")
-    hits = grams.join(_sent(places, templates), "hash").filter(F.col("gram") == F.col("known_gram"))
+    grams = _rolling(cut, "words", "text_key", "start").withColumns({f"hash{k}": _hash(k) for k in (SHORT_GRAM, LONG_GRAM)})
+    met = grams.join(known_grams(SHORT_GRAM), f"hash{SHORT_GRAM}", "left").join(known_grams(LONG_GRAM), f"hash{LONG_GRAM}", "left")
+    lists = [F.coalesce(f"places{k}", F.array()) for k in (SHORT_GRAM, LONG_GRAM)]
+    hits = met.filter(f"places{SHORT_GRAM} IS NOT NULL OR places{LONG_GRAM} IS NOT NULL").select(
+        "text_key", (F.col("start") + F.col("at")).alias("at"), F.array(*_FIELDS).alias("gram"), F.explode(F.concat(*lists)).alias("p")
+    ).filter(F.slice("gram", 1, F.size("p.gram")) == F.col("p.gram")).select("text_key", "at", "p.template", "p.exact", "p.place")
     votes = hits.groupBy("text_key", "template", "exact", (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last")
     )
@@ -186,6 +198,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
     given = docs.select(columns_of(docs, "licenses"))
     key, n, out = own_names(given, "_key", "_words", "_told")
     told = told.select(F.col("text_key").alias(key), F.struct("n_base", "first_word", "last_word", "base_labels", "labels", "score").alias(out))
+    told = settled(told, "licenses-told")  # so that the join below stands by itself, and adaptive execution may split it
     met = given.withColumns({key: _key(F.col(f"`{text}`")), n: F.size(words(F.col(f"`{text}`"))).cast("long")}).join(told, key, "left")
     field = lambda name, default=None: F.coalesce(F.col(f"{out}.{name}"), F.lit(default)).alias(name)
     return met.select(*columns_of(given), F.struct(
