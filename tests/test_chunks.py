@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunks as C
+from tidemark.session import work_dir
+from tidemark.sources import sinks
 
 FILES = "doc_id string, path string, children array<string>, size bigint, data binary"
 
@@ -118,3 +120,61 @@ def test_round_trip_of_every_length(spark):
     pieces = C.with_chunk_id(C.chunk_files(raw, 3, key="path")).dropDuplicates(["chunk_id"])
     back = {r.doc_id: bytes(r.content) for r in C.reassemble(docs, pieces).collect()}
     assert back == {f"f{n}": bytes(range(n)) for n in range(20)}
+
+
+@pytest.fixture(scope="module")
+def big_store(spark):
+    """Four thousand chunks in sixteen folders, in row groups of a few each."""
+    path = work_dir(spark, "store")
+    rows = spark.range(4_000).select(F.concat(F.lit("x"), F.col("id").cast("string"), F.repeat(F.lit("y"), 2_000)).cast("binary").alias("data"))
+    kept, sinks.ROW_GROUP_BYTES = sinks.ROW_GROUP_BYTES, 1 << 14
+    try:
+        sinks.write_chunks(C.with_chunk_id(rows), path, digits=1)
+    finally:
+        sinks.ROW_GROUP_BYTES = kept
+    return sinks.read_chunks(spark, path)
+
+
+def _scanned(df):
+    """Rows that the scans of an executed plan gave out."""
+    df._jdf.queryExecution().executedPlan().execute().count()
+    leaves, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        below = node.children()
+        todo += [below.apply(i) for i in range(below.size())]
+        if node.nodeName().startswith("Scan parquet"):
+            leaves.append(node.metrics().apply("numOutputRows").value())
+    return sum(leaves)
+
+
+def test_fetch_reads_what_is_wanted(spark, big_store):
+    all_ids = sorted(r[0] for r in big_store.select("chunk_id").collect())
+    wanted = spark.createDataFrame([(i,) for i in (*all_ids[:3], all_ids[7], all_ids[7], "absent", None)], "chunk_id string")
+    few = C.fetch(big_store, wanted, digits=1)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "In(chunk_id" in plan
+    assert sorted(r.chunk_id for r in few.collect()) == [*all_ids[:3], all_ids[7]]
+    assert 4 <= _scanned(few) < 1_000
+    assert C.fetch(big_store, wanted.limit(0), digits=1).count() == 0
+    assert C.fetch(big_store.drop("bucket"), wanted).count() == 4
+
+
+@pytest.mark.parametrize("most,groups", [(500_000, 32), (700, 32), (700, 2), (10, 32)])
+def test_fetch_of_many_moves_no_bytes_before_it_knows(spark, big_store, monkeypatch, most, groups):
+    monkeypatch.setattr(C, "MAX_LISTED_IDS", 50)
+    monkeypatch.setattr(C, "MAX_BROADCAST_IDS", most)
+    monkeypatch.setattr(C, "MAX_GROUPS", groups)
+    wanted = big_store.select("chunk_id").filter("chunk_id < '8'").unionByName(spark.createDataFrame([("absent",)], "chunk_id string"))
+    found = C.fetch(big_store, wanted, digits=1)
+    assert found.columns == big_store.columns and found.count() == found.distinct().count() == wanted.count() - 1
+    if most >= 700 and groups == 32:
+        lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert not any("data#" in lines[i + 1] for i, line in enumerate(lines) if "Exchange" in line)
+
+
+def test_new_chunks_against_a_fetched_store(spark, big_store):
+    known = [r[0] for r in big_store.select("chunk_id").limit(20).collect()]
+    mine = spark.createDataFrame([(i, b"a") for i in (*known, "new", "new")], "chunk_id string, data binary")
+    ids = C.fetch(big_store.select("bucket", "chunk_id"), mine, digits=1)
+    assert [r.chunk_id for r in C.new_chunks(mine, ids, digits=1).collect()] == ["new"]

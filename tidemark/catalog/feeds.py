@@ -147,6 +147,28 @@ def apply_remote(spark, d):
     return _restored(remote.apply_remote(arriving, store, enforce=False))
 
 
+@register(
+    """SELECT f.doc_id, sha256(f.content) AS hash FROM v_files f LEFT JOIN labels l ON l.doc_id = f.n WHERE coalesce(toxic, 0) = 0 AND n % 5 NOT IN (2, 3)
+       UNION ALL SELECT doc_id, sha256('back') FROM v_files WHERE n % 5 = 3""",
+    uses=("v_files",),
+)
+def apply_remote_deleted(spark, d):
+    """The same feed with later rows: some files deleted after they came, some deleted and put back with other content."""
+    from tidemark.catalog.chunk_store import _store
+
+    docs = W.mixed_docs(spark, d)
+    numbered = W.files(spark, d).select("n", "doc_id")
+    later = lambda rest, ms: docs.join(numbered.filter(F.col("n") % 5 == rest), "doc_id").drop("n").withColumn(
+        "mtime", F.timestamp_millis(F.unix_millis("mtime") + ms))
+    gone = later(2, 1).unionByName(later(3, 1)).withColumns({"deleted": F.lit(True), "children": F.lit(None).cast("array<string>")})
+    back = C.chunk_id(F.lit("back").cast("binary"))
+    again = later(3, 2).withColumns({"deleted": F.lit(False), "children": F.array(back)})
+    chunk = docs.limit(1).select(back.alias("doc_id"), *[F.lit(None).cast(t).alias(c) for c, t in docs.dtypes if c not in ("doc_id", "type", "data", "deleted")],
+                                 F.lit("leaf").alias("type"), F.lit("back").cast("binary").alias("data"), F.lit(False).alias("deleted"))
+    found = remote.apply_remote(docs.unionByName(gone).unionByName(again).unionByName(chunk), _store(spark, d), enforce=False)
+    return found.select("doc_id", F.sha2("content", 256).alias("hash"))
+
+
 @register(_LIVE, uses=("v_files",))
 def follow_remote(spark, d):
     """The mixed dump as a live feed of four files, chunks and documents in no particular order."""

@@ -205,6 +205,44 @@ def sync_with_merge(spark, d):
     )
 
 
+@register(
+    """SELECT doc_id, outcome, sha256(CASE outcome WHEN 'merged' THEN merged WHEN 'remote' THEN rc ELSE lc END) AS hash,
+         (coalesce(rv, 0) + CASE outcome WHEN 'remote' THEN 0 ELSE 1 END)::INTEGER AS version, path
+       FROM v_synced s JOIN (SELECT n, path FROM v_files) USING (n)""",
+    uses=("v_synced", "v_files"),
+)
+def sync_case_variants(spark, d):
+    """Every file and every remote document has an older variant whose path differs in case: one answer for each key."""
+    local, remote = W.replicas(spark, d)
+    day = F.expr("INTERVAL 1 DAY")
+    stale = {"path": F.upper("path"), "content": F.lit("stale"), "hash": F.sha2(F.lit("stale"), 256), "mtime": F.col("mtime") - day}
+    base = W.merge_sides(spark, d).select("doc_id", F.col("base").alias("content"), F.col("local_mtime").alias("mtime"))
+    older = base.withColumns({"content": F.lit("stale"), "mtime": F.col("mtime") - day})
+    out = pipelines.sync_with_merge(
+        local.unionByName(local.withColumns(stale)), remote.unionByName(remote.withColumns(stale | {"version": F.lit(9)})),
+        base.unionByName(older), chunk_bytes=W.CHUNK,
+    )
+    return out.select("doc_id", "outcome", "hash", "version", "path")
+
+
+@register(
+    r"""SELECT k AS o_orderkey, json_path, value, conflict FROM v_orders, LATERAL (VALUES
+         ('a\.b', '"' || ls || '"', ls <> rs), ('a.b', '"' || seg || '"', seg <> rseg), ('c\\d.', k::DOUBLE::VARCHAR, false)) t(json_path, value, conflict)""",
+    uses=("v_orders",),
+)
+def merge_json_leaves_dotted(spark, d):
+    """Keys with dots and backslashes beside nested keys that read alike."""
+    sides = W.json_sides(spark, d)
+
+    def doc(side):
+        own = F.get_json_object(side, "$.status").alias("a.b")
+        return F.to_json(F.struct(own, F.struct(F.get_json_object(side, "$.customer.segment").alias("b")).alias("a"), F.struct(F.col("o_orderkey").alias("")).alias("c\\d")))
+
+    texts = sides.select("o_orderkey", doc("local").alias("local"), doc("remote").alias("remote"))
+    local, remote = [J.json_leaves(texts, "o_orderkey", side) for side in ("local", "remote")]
+    return J.merge_json_leaves(local, remote, "o_orderkey")
+
+
 def _deep(spark, d):
     """Orders eight objects deep: the sides differ in the innermost status and in keys that only one side has."""
     sides = W.json_sides(spark, d)

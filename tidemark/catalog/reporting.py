@@ -11,7 +11,8 @@ from tidemark.operators import chunks as C
 from tidemark.operators import reports as R
 from tidemark.plans import pipelines
 from tidemark.plans import views as W
-from tidemark.sources import scan
+from tidemark.session import work_dir
+from tidemark.sources import scan, sinks
 
 
 @register(
@@ -52,6 +53,19 @@ def pull(spark, d):
     return back.select("doc_id", F.sha2("content", 256).alias("hash"))
 
 
+@register(
+    "SELECT path, sha256(content) AS hash, octet_length(encode(content))::BIGINT AS bytes FROM v_files WHERE left(path, 2) IN ('00', '11')",
+    uses=("v_files",),
+)
+def pull_few_folders(spark, d):
+    """The files of a few folders out of the stored chunks of all: only their chunks' folders, row groups and bytes are read."""
+    store = work_dir(spark, "store")
+    files = W.files(spark, d)
+    sinks.write_chunks(C.with_chunk_id(C.chunk_files(files, W.CHUNK)).dropDuplicates(["chunk_id"]), store)
+    back = pipelines.pull(C.file_documents(files, W.CHUNK), sinks.read_chunks(spark, store), {"few": ("00", "11")}, "few")
+    return back.select("path", F.sha2("content", 256).alias("hash"), F.octet_length("content").cast("long").alias("bytes"))
+
+
 def _stored(spark, d):
     """Documents and chunks of the previous snapshot."""
     prev, _ = W.snapshots(spark, d)

@@ -179,6 +179,27 @@ def revert_meta(spark, d):
 )
 def revert_to(spark, d):
     """Every file is asked back to the version before its newest; scopes decide which go through."""
+    store, newest = _with_archives(spark, d)
+    wanted = newest.select("path", (F.col("version") - 1).alias("to_version"))
+    return _reverted(V.revert_to(store, wanted, W.END_MS, agent="owner"))
+
+
+@register(
+    """SELECT c.doc_id, (c.version + 1)::INTEGER AS version, a.hash, 1::INTEGER AS reverted_from, 1706745600000 AS mtime_ms
+       FROM v_newest c JOIN v_newest a ON a.doc_id = c.doc_id AND a.version = 1
+       WHERE c.age = 1 AND c.version > 1 AND regexp_matches(c.path, '^(000|001|002|003|004|005)')""",
+    uses=("v_newest",),
+)
+def revert_repeated(spark, d):
+    """Every file is asked back twice to the version before its newest, and later once to its first: one row each."""
+    store, newest = _with_archives(spark, d)
+    early = newest.select("path", (F.col("version") - 1).alias("to_version"), F.timestamp_millis(F.lit(W.BASE_MS)).alias("requested_at"))
+    late = early.withColumns({"to_version": F.lit(1), "requested_at": F.timestamp_millis(F.lit(W.BASE_MS + 1))})
+    return _reverted(V.revert_to(store, early.unionByName(early).unionByName(late), W.END_MS, agent="owner"))
+
+
+def _with_archives(spark, d):
+    """Current rows beside all older versions as archived rows; and the current rows alone."""
     rows = W.version_rows(spark, d).withColumn("children", F.array("hash"))
     newest = V.retain_version_rows(rows, 1)
     current = newest.withColumn("archived", F.lit(False))
@@ -189,6 +210,8 @@ def revert_to(spark, d):
         .withColumn("archived", F.lit(True))
         .drop("_top")
     )
-    wanted = newest.select("path", (F.col("version") - 1).alias("to_version"))
-    back = V.revert_to(current.unionByName(archived), wanted, W.END_MS, agent="owner")
+    return current.unionByName(archived), newest
+
+
+def _reverted(back):
     return back.select("doc_id", "version", "hash", "reverted_from", F.unix_millis("mtime").alias("mtime_ms"))

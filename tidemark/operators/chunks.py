@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes, let
 from tidemark.functions.paths import doc_key
+from tidemark.session import cut_lineage
 
 
 # Folders of a stored chunk table are named by this many last digits of the chunk id.
 BUCKET_DIGITS = 2
 
 
+# Wanted ids up to the first number are written into the scan's own filter; up to the second they are broadcast, for up to
+# so many groups of folders one after the other.
+MAX_LISTED_IDS, MAX_BROADCAST_IDS, MAX_GROUPS = 1_000, 500_000, 32
+
+
 def bucketed(df: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
     """Adds `bucket`, the last digits of the chunk id: the folder of a stored chunk."""
     return df.withColumn("bucket", F.right("chunk_id", F.lit(digits)))
@@ -80,6 +86,49 @@ def new_chunks(chunks: DataFrame, store: DataFrame, digits: int = BUCKET_DIGITS)
     return bucketed(unique, digits).join(held, ["bucket", "chunk_id"], "left_anti").select("chunk_id", "data")
 
 
+def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """The rows of a stored chunk table whose `chunk_id` is wanted, in two steps: ids first, bytes for hits alone.
+
+    The wanted ids are gathered and counted first (this acts). A few of them become a filter of the scan, which sorted ids
+    and bloom filters answer without reading other row groups (see `sinks.write_chunks`). More are broadcast, those of a group of folders
+    to the scan of these folders, so stored bytes are never shuffled before they are known to be wanted. Beyond
+    `MAX_GROUPS` such groups most of the store is wanted, and the join decides. Folders without a wanted id are not read.
+    A store without `bucket` is one folder.
+    """
+    if digits > 3:
+        raise ValueError("at most three digits name a folder")
+    has_folders = "bucket" in store.columns
+    on = ["bucket", "chunk_id"] if has_folders else ["chunk_id"]
+    ids = wanted.select("chunk_id").filter(F.col("chunk_id").isNotNull()).distinct()
+    few = [r[0] for r in ids.limit(MAX_LISTED_IDS + 1).collect()]
+    if len(few) <= MAX_LISTED_IDS:
+        named = store.filter(F.col("bucket").isin(sorted({i[-digits:] for i in few}))) if has_folders else store
+        return named.filter(F.col("chunk_id").isin(few))
+    ids = cut_lineage(bucketed(ids, digits) if has_folders else ids)
+    by_folder = ids.groupBy("bucket" if has_folders else F.lit("").alias("bucket")).count().orderBy("bucket").collect()
+    groups, room = [], 0
+    for r in by_folder:
+        if r["count"] > room:
+            groups.append([])
+            room = MAX_BROADCAST_IDS
+        groups[-1].append(r["bucket"])
+        room -= r["count"]
+    if len(groups) > MAX_GROUPS or max(r["count"] for r in by_folder) > MAX_BROADCAST_IDS:
+        there = store.filter(F.col("bucket").isin([r["bucket"] for r in by_folder])) if has_folders else store
+        return there.join(ids, on, "left_semi").select(store.columns)
+    found = None
+    for group in groups:
+        own = F.col("bucket").isin(group) if has_folders else F.lit(True)
+        part = store.filter(own).join(F.broadcast(ids.filter(own)), on, "left_semi").select(store.columns)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def listed_ids(files: DataFrame) -> DataFrame:
+    """`chunk_id` of every chunk that files list as their children."""
+    return files.select(F.explode("children").alias("chunk_id"))
+
+
 def children(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """`(key, children)`: the ordered chunk ids of each file. A list is bounded by its file's size."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "chunk_id")))

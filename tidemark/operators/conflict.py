@@ -60,12 +60,12 @@ def latest_write(df: DataFrame, key: str, ts: str, prefer: Column | None = None,
 
 
 def newest_docs(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row for each key: the newest by `mtime`, then the first by path, as far as there are such columns.
+    """One row for each key: the newest by `mtime`, then the first by path and hash, as far as there are such columns.
 
     For rows without content: whole rows move. With content, choose among `(key, mtime, path)` and join.
     """
     order = [F.col("mtime").desc_nulls_last()] if "mtime" in df.columns else []
-    order += [F.col("path").asc()] if "path" in df.columns else []
+    order += [F.col(c).asc() for c in ("path", "hash") if c in df.columns]
     best = F.row_number().over(Window.partitionBy(key).orderBy(*(order or [F.lit(0)])))
     return df.withColumn("_rank", best).filter(F.col("_rank") == 1).drop("_rank")
 

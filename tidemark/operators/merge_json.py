@@ -194,9 +194,14 @@ def json_depth(df: DataFrame, column: str) -> int:
     return df.agg(F.max(F.aggregate(F.split(braces, ""), start, step).getField("most"))).first()[0] or 0
 
 
+# A key as one step of a path: dots and backslashes inside it are escaped, so `a.b` is not `b` in `a`.
+_STEP = r"replace(replace(key, '\\', '\\\\'), '.', '\\.')"
+
+
 def json_leaves(df: DataFrame, key: str, column: str, depth: int | None = None) -> DataFrame:
     """`(key, json_path, kind, value)` for every field that is not an object, however deep.
 
+    `json_path` joins keys by dots; a dot or backslash of a key has a backslash before it.
     `kind` is string, number, boolean, null or array. Rows that do not parse as an object give nothing. Numbers
     show their double value, so 1 and 1.0 agree. Each level unfolds the objects and passes everything else on, so
     nothing is shuffled. The levels are as many as the deepest text needs, which one pass measures first; a
@@ -205,7 +210,7 @@ def json_leaves(df: DataFrame, key: str, column: str, depth: int | None = None)
     if depth is None:
         depth = json_depth(df, column)
     unfold = df.sparkSession.tvf.variant_explode_outer(F.col("_object").outer())
-    level = df.select(F.col(key), F.lit("").alias("_at"), F.try_parse_json(column).alias("_v"))
+    level = df.select(F.col(key), F.lit(None).cast("string").alias("_at"), F.try_parse_json(column).alias("_v"))
     level = level.withColumn("schema", F.schema_of_variant("_v")).filter("startswith(schema, 'OBJECT')")
     for _ in range(depth):
         level = (
@@ -214,7 +219,7 @@ def json_leaves(df: DataFrame, key: str, column: str, depth: int | None = None)
             .filter("key IS NOT NULL OR _object IS NULL")  # an empty object has no fields
             .selectExpr(
                 f"`{key}`",
-                "CASE WHEN key IS NULL THEN _at WHEN _at = '' THEN key ELSE concat(_at, '.', key) END AS _at",
+                f"CASE WHEN key IS NULL THEN _at WHEN _at IS NULL THEN {_STEP} ELSE concat(_at, '.', {_STEP}) END AS _at",
                 "CASE WHEN key IS NULL THEN _v ELSE value END AS _v",
                 "CASE WHEN key IS NULL THEN schema ELSE schema_of_variant(value) END AS schema",
             )

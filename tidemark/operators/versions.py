@@ -130,10 +130,13 @@ def revert_to(
     """New current rows that restore archived versions, for many requests `(path, to_version)` at once.
 
     Children and hash come from the archived row, the version is the current one plus one, and
-    requests outside the agent's scope or for a version not archived give no row.
+    requests outside the agent's scope or for a version not archived give no row. A document is reverted once: of
+    several requests for it the last by `requested_at` counts (if there is such a column), then that for the highest version.
     """
-    wanted = scope_filter(requests, rules, agent, enforce=enforce).select(
-        doc_key("path").alias("doc_id"), F.col("to_version").cast("int").alias("reverted_from")
+    asked = scope_filter(requests, rules, agent, enforce=enforce)
+    when = F.col("requested_at") if "requested_at" in requests.columns else F.lit(None).cast("timestamp")
+    wanted = asked.groupBy(doc_key("path").alias("doc_id")).agg(
+        F.max(F.struct(when.alias("at"), F.col("to_version").cast("int").alias("version"))).getField("version").alias("reverted_from")
     )
     archived = F.coalesce(F.col("archived"), F.lit(False))
     old = store.filter(archived).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,24 +44,29 @@ def sync_with_merge(
     locally: the merged or the remote one, null where the local file stands.
 
     Files are paired by hash and time alone; only those in conflict have their three texts brought
-    together, so the cost of the merge follows the number of conflicts.
+    together, so the cost of the merge follows the number of conflicts. Rows that share a key are one document: of
+    local, remote and base its newest row counts (then the first by path, then by hash).
     """
     raw = as_bytes("content")
     mine = local.select(
         "doc_id", "path", "mtime", F.sha2(raw, 256).alias("hash"), F.octet_length(raw).cast("long").alias("size"),
         C.child_ids(raw, chunk_bytes).alias("children"),
     )
-    theirs = _described(remote, "version", "versions")
+    mine = X.newest_docs(mine)
+    theirs = X.newest_docs(_described(remote, "version", "versions", "path")).drop("path")
     decided = X.resolve(D.pair_replicas(mine, theirs), strategy)
 
+    clashes = decided.filter("conflict").select("doc_id", F.col("local_path").alias("path"))
+
     def texts(side: DataFrame, name: str) -> DataFrame:
-        return side.select("doc_id", F.col("content").alias(name))
+        # The conflicts lead, so a side is cut down to them before its texts are hashed or ranked.
+        few = side.join(clashes.select("doc_id"), "doc_id", "left_semi")
+        hashed = few if "hash" in few.columns else C.with_hash(few)
+        kept = [c for c in ("mtime", "path") if c in few.columns]
+        return X.newest_docs(hashed.select("doc_id", "hash", *kept, F.col("content").alias(name))).select("doc_id", name)
 
-    # The conflicts lead, so each text side is cut down to them by its join.
     named = (
-        decided.filter("conflict")
-        .select("doc_id", F.col("local_path").alias("path"))
-        .join(texts(local, "local"), "doc_id")
+        clashes.join(local.select("doc_id", "path", F.col("content").alias("local")), ["doc_id", "path"])
         .join(texts(remote, "remote"), "doc_id")
         .join(texts(base, "base"), "doc_id", "left")
     )
@@ -125,29 +131,35 @@ def sync(
     enforce: bool = True,
     strategy: str | Column = "last-write-wins",
     chunk_bytes: int = K.CHUNK_BYTES,
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Synced:
     """A whole sync of local files over their remote documents.
 
     Paths outside the agent's scope are refused before a byte of theirs is read, and are in the audit alone. Documents are
     those of `sync_with_merge`. Their new texts are chunked, and every remote version that is
-    overwritten leaves an archived row `<doc>.v<n>` with its children, so it can be restored.
+    overwritten leaves an archived row `<doc>.v<n>` with its children, so it can be restored. Chunks, archives and audit
+    are derived from the documents; `settle` may write these and give them back as read, so that the texts are compared once.
     """
     asked = local.select("doc_id", "path", "mtime")
     refused = scope_verdict(asked, rules, agent, enforce=enforce).filter(~F.col("allowed"))
     visible = scope_filter(local, rules, agent, enforce=enforce)
     documents = sync_with_merge(visible, remote, base, strategy, chunk_bytes)
+    documents = settle(documents) if settle else documents
 
     stored = documents.filter(F.col("outcome").isin("new", "local", "both", "merged"))
-    texts = visible.select("doc_id", F.col("content").alias("_own"))
-    written = stored.select("doc_id", "content").join(texts, "doc_id").select(
+    texts = visible.select("doc_id", "path", F.col("content").alias("_own"))
+    written = stored.select("doc_id", "path", "content").join(texts, ["doc_id", "path"]).select(
         "doc_id", F.coalesce(as_bytes("content"), as_bytes("_own")).alias("content")
     )
+    if settle and "bucket" in store_chunks.columns:  # the ids to look for stand in what was written
+        store_chunks = C.fetch(store_chunks.select("bucket", "chunk_id"), C.listed_ids(stored))
     pieces = C.new_chunks(C.with_chunk_id(C.chunk_files(written, chunk_bytes)), store_chunks)
 
     lost = documents.filter(F.col("outcome").isin("local", "both", "merged")).select("doc_id")
     kept = [c for c in ("path", "children", "mtime", "hash", "size") if c in remote.columns]
     version = F.coalesce("version", F.lit(0)) if "version" in remote.columns else F.lit(0)
-    archives = remote.join(lost, "doc_id", "left_semi").select(
+    slim = [c for c in remote.columns if c not in ("content", "data")]
+    archives = X.newest_docs(remote.select(slim).join(lost, "doc_id", "left_semi")).select(
         archive_key("doc_id", version).alias("doc_id"), *kept, version.cast("int").alias("version"),
         F.lit("plain").alias("type"), F.lit(True).alias("archived"),
     )
@@ -196,7 +208,10 @@ def pull(
     enforce: bool = True,
     strict: bool = False,
 ) -> DataFrame:
-    """Every live file an agent may see, rebuilt from its chunks."""
+    """Every live file an agent may see, rebuilt from its chunks.
+
+    Only the chunks of those files are fetched from the store (see `chunks.fetch`, which acts).
+    """
     named = with_effective_path(live_docs(files))
     visible = X.newest_docs(scope_filter(valid_paths(named), rules, agent, enforce=enforce))
-    return C.reassemble(visible, chunks, strict=strict)
+    return C.reassemble(visible, C.fetch(chunks, C.listed_ids(visible)), strict=strict)

@@ -15,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Merge the sessions of one key inside each map task first, so a hot path ships few rows.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Lists of chunk ids reach row group statistics and bloom filters one by one, not as one wide range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
 

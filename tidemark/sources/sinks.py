@@ -11,6 +11,8 @@ from tidemark import schemas
 from tidemark.operators.chunks import BUCKET_DIGITS, bucketed
 from tidemark.sources.scan import with_scope_folder
 
+# Row groups of the chunk store: small enough that a wanted chunk brings few others along.
+ROW_GROUP_BYTES, ROW_GROUP_IDS = 16 << 20, 20_000
 _META = T.StructType([T.StructField("last_sync", T.TimestampType()), T.StructField("version", T.LongType())])
 
 
@@ -32,13 +34,16 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
 
 def write_chunks(df: DataFrame, path: str, mode: str = "overwrite", digits: int = BUCKET_DIGITS) -> None:
-    """Writes chunks in folders by the end of their id, which a reader can prune.
+    """Writes chunks in folders by the end of their id, sorted by id, with a bloom filter of ids in each row group.
 
-    Ids are hashes, so the folders fill evenly; `digits` hexadecimal digits give `16 ** digits` of
-    them.
+    Ids are hashes, so the folders fill evenly; `digits` hexadecimal digits give `16 ** digits` of them. A reader prunes
+    folders by name, row groups and pages by the range of their ids and by the filter, and reads the bytes of what is left.
     """
-    out = bucketed(df.select("chunk_id", "data"), digits).hint("rebalance", "bucket")
-    out.write.mode(mode).partitionBy("bucket").parquet(path)
+    out = bucketed(df.select("chunk_id", "data"), digits).hint("rebalance", "bucket").sortWithinPartitions("bucket", "chunk_id")
+    writer = out.write.mode(mode).partitionBy("bucket").option("parquet.block.size", ROW_GROUP_BYTES)
+    writer.option("parquet.bloom.filter.enabled#chunk_id", "true").option(
+        "parquet.bloom.filter.expected.ndv#chunk_id", ROW_GROUP_IDS
+    ).parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

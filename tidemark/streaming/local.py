@@ -69,8 +69,14 @@ def follow_local(
         todo = local.join(wanted, "path", "left_semi").persist()
         keys = todo.select("doc_id")
         theirs, before = [side().join(keys, "doc_id", "left_semi") for side in (remote, base)]
-        done = sync(todo, theirs, before, read_chunks(spark, f"{folder}/chunks"), enforce=False, strategy=strategy, chunk_bytes=chunk_bytes)
-        done.documents.write.mode("overwrite").parquet(f"{folder}/documents/batch={batch_id}")
+
+        def settle(documents: DataFrame) -> DataFrame:
+            out = f"{folder}/documents/batch={batch_id}"
+            documents.write.mode("overwrite").parquet(out)
+            return spark.read.schema(documents.schema).parquet(out)
+
+        stored = read_chunks(spark, f"{folder}/chunks")
+        done = sync(todo, theirs, before, stored, enforce=False, strategy=strategy, chunk_bytes=chunk_bytes, settle=settle)
         done.archives.write.mode("overwrite").parquet(f"{folder}/archives/batch={batch_id}")
         write_chunks(done.chunks, f"{folder}/chunks", "append")
         rows = audit_rows(

@@ -7,7 +7,7 @@ when one of its chunks comes, so chunks and files may arrive in any order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -15,11 +15,11 @@ from pyspark.errors import AnalysisException
 
 from tidemark import constants as K
 from tidemark.functions.core import as_bytes
-from tidemark.operators.chunks import BUCKET_DIGITS, bucketed, new_chunks, reassemble
+from tidemark.operators.chunks import BUCKET_DIGITS, fetch, listed_ids, new_chunks, reassemble
 from tidemark.operators.conflict import newest_docs
 from tidemark.operators.filters import live_docs, valid_paths, with_effective_path
 from tidemark.operators.scopes import Rules, scope_filter
-from tidemark.sources.scan import chunk_docs, classify_docs, file_docs
+from tidemark.sources.scan import chunk_docs, classify_docs
 from tidemark.sources.sinks import absent, read_chunks, write_chunks
 from tidemark.streaming.feeds import run_feed
 
@@ -33,16 +33,26 @@ def apply_remote(
 ) -> DataFrame:
     """Batch form: the files of one feed rebuilt from its own chunks and the stored ones.
 
-    Deleted documents, bad paths and paths out of scope are passed over. Inline data stands in where
+    The newest row of a file decides, a deletion included: deleted documents, bad paths and paths out of scope are passed over. Inline data stands in where
     no chunk was found.
     """
-    live = classify_docs(live_docs(docs))
-    own = chunk_docs(live).withColumn("data", as_bytes("data"))
-    held = store.select("chunk_id", "data")
-    files = _newest(file_docs(live), rules, agent, enforce)
+    own = chunk_docs(classify_docs(live_docs(docs))).withColumn("data", as_bytes("data"))
+    newest, gone = _last_states(docs)
+    files = _newest(newest.filter(~gone).drop("kind"), rules, agent, enforce)
+    held = fetch(store, listed_ids(files)).select("chunk_id", "data")
     return _restore(files, held.unionByName(new_chunks(own, held)))
 
 
+def _last_states(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """The newest row of each file, a deletion included, and whether it is one.
+
+    A tombstone need not say what it was; only chunks are never removed this way.
+    """
+    gone = F.coalesce(F.col("deleted"), F.lit(False)) if "deleted" in docs.columns else F.lit(False)
+    stated = classify_docs(docs).filter((F.col("kind") == "file") | (gone & (F.col("kind") != "chunk")))
+    return newest_docs(with_effective_path(stated)), gone
+
+
 def _newest(files: DataFrame, rules: Rules, agent: str, enforce: bool) -> DataFrame:
     """The last state of each file an agent may see."""
     visible = scope_filter(valid_paths(with_effective_path(files)), rules, agent, enforce=enforce)
@@ -62,25 +72,6 @@ def _earlier(spark: SparkSession, folder: str, batch_id: int, schema: StructType
         return spark.createDataFrame([], schema)
 
 
-# Ids up to this number are matched to the store by a broadcast, so that no stored bytes are shuffled.
-MAX_BROADCAST_IDS = 500_000
-
-
-def _held(store: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
-    """The stored chunks with a wanted id, read from those ids' folders alone.
-
-    There are at most `16 ** digits` folder names, and they come to the driver. A batch of a usual size has few
-    ids, which are broadcast, so bytes move for hits only; beyond `MAX_BROADCAST_IDS` the join decides.
-    """
-    if digits > 3:
-        raise ValueError("at most three digits name a folder")
-    ids = bucketed(wanted.select("chunk_id").distinct(), digits).persist()
-    folders = [r.bucket for r in ids.select("bucket").distinct().collect()]
-    few = ids.count() <= MAX_BROADCAST_IDS
-    there = store.filter(F.col("bucket").isin(folders))
-    return there.join(F.broadcast(ids) if few else ids, ["bucket", "chunk_id"], "left_semi").select("chunk_id", "data", "bucket")
-
-
 def follow_remote(
     stream: DataFrame,
     folder: str,
@@ -106,12 +97,10 @@ def follow_remote(
         own = chunk_docs(classify_docs(live_docs(known))).withColumn("data", as_bytes("data"))
         chunk_path, wait_path = f"{folder}/chunks", f"{folder}/waiting"
         stored = read_chunks(spark, chunk_path)
-        write_chunks(new_chunks(own, _held(stored, own, digits), digits), chunk_path, "append", digits)
+        known_ids = fetch(stored.select("bucket", "chunk_id"), own, digits)
+        write_chunks(new_chunks(own, known_ids, digits), chunk_path, "append", digits)
 
-        listed = classify_docs(known)
-        gone = F.coalesce(F.col("deleted"), F.lit(False)) if "deleted" in known.columns else F.lit(False)
-        # A tombstone need not say what it was; only chunks are never removed this way.
-        newest = newest_docs(with_effective_path(listed.filter((F.col("kind") == "file") | (gone & (F.col("kind") != "chunk")))))
+        newest, gone = _last_states(known)
         newest.filter(gone).select("doc_id", "path").write.mode("overwrite").parquet(f"{folder}/removed/batch={batch_id}")
         arrived = _newest(newest.filter(~gone).drop("kind"), rules, agent, enforce).withColumn("_since", F.lit(batch_id).cast("long"))
 
@@ -119,8 +108,7 @@ def follow_remote(
         refs = earlier.select("doc_id", F.explode("children").alias("chunk_id"))
         touched = refs.join(own.select("chunk_id"), "chunk_id", "left_semi").select("doc_id").distinct()
         files = arrived.unionByName(earlier.join(touched, "doc_id", "left_semi")).persist()
-        wanted = files.select(F.explode("children").alias("chunk_id"))
-        restored = _restore(files, _held(read_chunks(spark, chunk_path), wanted, digits), digits)
+        restored = _restore(files, fetch(read_chunks(spark, chunk_path), listed_ids(files), digits), digits)
         restored.write.mode("overwrite").parquet(f"{folder}/files/batch={batch_id}")
 
         done = spark.read.parquet(f"{folder}/files/batch={batch_id}").filter(F.col("missing_chunks") == 0)
