@@ -188,6 +188,21 @@ def dedupe_report(spark, d):
     return C.store_totals(_pieces(spark, d))
 
 
+@register(
+    """SELECT count(*) AS chunks, true AS chunks_within, true AS kilobytes_within FROM v_chunks""",
+    uses=("v_chunks",),
+)
+def store_sketch(spark, d):
+    """Distinct chunks and kilobytes from sketches made by language and merged, beside the exact counts: within two in a hundred."""
+    pieces = C.with_chunk_id(C.chunk_files(W.files(spark, d), W.CHUNK, key="lang"))
+    told = C.sketch_totals(C.sketch_chunks(pieces, "lang"))
+    exact = pieces.groupBy("chunk_id").agg(F.max(F.greatest(F.ceil(F.octet_length("data") / 1024), F.lit(1))).alias("k")).agg(
+        F.count("*").alias("ids"), F.sum("k").alias("k"))
+    near = lambda a, b: F.abs(a - b) <= 0.02 * b
+    ids, k = exact.select("ids").scalar(), exact.select("k").scalar()
+    return told.select("chunks", near(F.col("distinct_chunks"), ids).alias("chunks_within"), near(F.col("distinct_kilobytes"), k).alias("kilobytes_within"))
+
+
 @register(
     """SELECT 'k=' || (doc_id // 50) AS folder, sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS hash,
          (sum(strlen(text)) + count(*))::BIGINT AS size FROM documents GROUP BY doc_id // 50"""

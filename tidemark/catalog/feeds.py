@@ -10,7 +10,7 @@ from tidemark.operators import chunks as C
 from tidemark.plans import views as W
 from tidemark.session import work_dir
 from tidemark.streaming import events as E
-from tidemark.streaming import feeds, local, remote
+from tidemark.streaming import feeds, local, remote, waiting
 
 _GAP = 6 * 3_600_000
 _NOW = W.BASE_MS + 15 * 86_400_000
@@ -248,3 +248,40 @@ def follow_local_documents(spark, d):
     ).awaitTermination()
     rows = spark.read.parquet(f"{out}/replica/documents")
     return rows.select("doc_id", "outcome", "hash", "version").distinct()
+
+
+# When chunks come, by the number of the first file with them: at once, late but in time, an hour and a half later, or never.
+_DELAYS = (0, 40, 90, None, 20)
+
+
+view(
+    "v_arrivals",
+    f"""SELECT chunk_id, {W.BASE_MS} + min(n) * 1000 + 60000 * CASE min(n) % 5 WHEN 0 THEN 0 WHEN 1 THEN 40 WHEN 2 THEN 90 ELSE 20 END AS came
+        FROM v_chunks GROUP BY chunk_id HAVING min(n) % 5 <> 3""",
+)
+
+
+@register(
+    """SELECT c.doc_id, count(*) AS n, count(*) FILTER (a.came IS NOT NULL) AS found, count(*) FILTER (a.came IS NULL) AS lost
+       FROM v_chunks c JOIN v_files f USING (doc_id) LEFT JOIN v_arrivals a
+         ON a.chunk_id = c.chunk_id AND a.came BETWEEN f.mtime_ms - 3600000 AND f.mtime_ms + 3600000 GROUP BY c.doc_id""",
+    uses=("v_chunks", "v_arrivals", "v_files"),
+)
+def resolve_refs_stream(spark, d):
+    """Files and chunks as two streams: chunks that are prompt, late, too late, lost, and all of them sent twice."""
+    out = work_dir(spark, "waiting")
+    f = W.files(spark, d)
+    end = F.timestamp_millis(F.lit(W.END_MS))  # a last row on either side lets the watermark pass all others
+    files = C.file_documents(f, W.CHUNK).select("doc_id", "children", F.col("mtime").alias("ts"))
+    last = spark.range(1).select(F.lit("end").alias("doc_id"), F.array().cast("array<string>").alias("children"), end.alias("ts"))
+    firsts = C.with_chunk_id(C.chunk_files(f, W.CHUNK, key="n")).groupBy("chunk_id").agg(F.min("n").alias("n"))
+    minutes = F.element_at(F.array(*[F.lit(m) for m in _DELAYS]), (F.col("n") % 5 + 1).cast("int"))
+    sent = firsts.filter(minutes.isNotNull()).select("chunk_id", F.timestamp_millis(F.lit(W.BASE_MS) + F.col("n") * 1000 + minutes * 60_000).alias("ts"))
+    twice = sent.unionByName(sent).unionByName(spark.range(1).select(F.lit("end").alias("chunk_id"), end.alias("ts")))
+    files.unionByName(last).write.parquet(f"{out}/files")
+    twice.write.parquet(f"{out}/chunks")
+    sides = [feeds.read_doc_stream(spark, f"{out}/{name}", spark.read.parquet(f"{out}/{name}").schema) for name in ("files", "chunks")]
+    resolved = waiting.resolve_refs(*sides)
+    feeds.run_to_table(resolved, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    told = waiting.completeness(spark.read.schema(resolved.schema).parquet(f"{out}/table"))
+    return told.filter("doc_id <> 'end'").select("doc_id", F.col("n").cast("long").alias("n"), "found", "lost")

@@ -89,21 +89,26 @@ def new_chunks(chunks: DataFrame, store: DataFrame, digits: int = BUCKET_DIGITS)
 def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
     """The rows of a stored chunk table whose `chunk_id` is wanted, in two steps: ids first, bytes for hits alone.
 
-    The wanted ids are gathered and counted first (this acts). A few of them become a filter of the scan, which sorted ids
+    The wanted ids are gathered first (this acts), up to `MAX_BROADCAST_IDS` in the driver. A few of them become a filter of the scan, which sorted ids
     and bloom filters answer without reading other row groups (see `sinks.write_chunks`). More are broadcast, those of a group of folders
     to the scan of these folders, so stored bytes are never shuffled before they are known to be wanted. Beyond
     `MAX_GROUPS` such groups most of the store is wanted, and the join decides. Folders without a wanted id are not read.
     A store without `bucket` is one folder.
+
+    Meant for stored tables: a store or files that are still to be computed are computed for the ids as well.
     """
     if digits > 3:
         raise ValueError("at most three digits name a folder")
     has_folders = "bucket" in store.columns
     on = ["bucket", "chunk_id"] if has_folders else ["chunk_id"]
     ids = wanted.select("chunk_id").filter(F.col("chunk_id").isNotNull()).distinct()
-    few = [r[0] for r in ids.limit(MAX_LISTED_IDS + 1).collect()]
-    if len(few) <= MAX_LISTED_IDS:
-        named = store.filter(F.col("bucket").isin(sorted({i[-digits:] for i in few}))) if has_folders else store
-        return named.filter(F.col("chunk_id").isin(few))
+    some = ids.limit(MAX_BROADCAST_IDS + 1).toArrow()  # at most some forty megabytes
+    if some.num_rows <= MAX_BROADCAST_IDS:
+        known = some.column(0).to_pylist()
+        named = store.filter(F.col("bucket").isin(sorted({i[-digits:] for i in known}))) if has_folders else store
+        if len(known) <= MAX_LISTED_IDS:
+            return named.filter(F.col("chunk_id").isin(known))
+        return named.join(F.broadcast(store.sparkSession.createDataFrame(some)), "chunk_id", "left_semi").select(store.columns)
     ids = cut_lineage(bucketed(ids, digits) if has_folders else ids)
     by_folder = ids.groupBy("bucket" if has_folders else F.lit("").alias("bucket")).count().orderBy("bucket").collect()
     groups, room = [], 0
@@ -255,3 +260,27 @@ def store_totals(chunks: DataFrame) -> DataFrame:
         kept.alias("distinct_bytes"),
         (total - kept).alias("saved_bytes"),
     )
+
+
+def sketch_chunks(chunks: DataFrame, *by: str, bits: int = 14) -> DataFrame:
+    """`(*by, refs, ids, bytes)`: references of each group, and mergeable sketches of its distinct chunks and of their bytes.
+
+    `ids` is a HyperLogLog sketch of chunk ids. `bytes` is one of (chunk, kilobyte) pairs, whose number tells distinct bytes rounded
+    up to kilobytes. A group's row is some tens of kilobytes at most, made inside each task, so no id is shuffled.
+    """
+    kilobytes = F.greatest(F.ceil(F.octet_length("data") / 1024).cast("int"), F.lit(1))
+    narrow = chunks.select(*by, "chunk_id", kilobytes.alias("_k"))
+    pairs = narrow.select(*by, "chunk_id", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_k"))
+    first = F.col("_k") == 1
+    return pairs.groupBy(*by).agg(
+        F.count_if(first).alias("refs"), F.hll_sketch_agg(F.when(first, F.col("chunk_id")), bits).alias("ids"),
+        F.hll_sketch_agg(F.xxhash64("chunk_id", "_k"), bits).alias("bytes"),
+    )
+
+
+def sketch_totals(sketches: DataFrame, *by: str) -> DataFrame:
+    """`(*by, chunks, distinct_chunks, distinct_kilobytes)` of any union of sketched groups: estimates, within about 2 % at 14 bits."""
+    return sketches.groupBy(*by).agg(
+        F.sum("refs").alias("chunks"), F.hll_sketch_estimate(F.hll_union_agg("ids")).alias("distinct_chunks"),
+        F.hll_sketch_estimate(F.hll_union_agg("bytes")).alias("distinct_kilobytes"),
+    )

@@ -78,7 +78,9 @@ def detect_changes_tree(prev: DataFrame, curr: DataFrame, prev_tree: DataFrame |
     """
     # Both sides must be cut into leaves alike, so a side without them gets those of this depth.
     prev, curr = [side if "leaf" in side.columns else with_leaf(side, depth) for side in (prev, curr)]
-    leaves = changed_leaves(prev_tree or digest_tree(prev, depth), curr_tree or digest_tree(curr, depth), depth)
+    # A tree is read once for each level, so one that is not stored is kept.
+    prev_tree, curr_tree = [stored or cut_lineage(digest_tree(side, depth)) for stored, side in ((prev_tree, prev), (curr_tree, curr))]
+    leaves = changed_leaves(prev_tree, curr_tree, depth)
     few = [r[0] for r in leaves.limit(MAX_LISTED_LEAVES + 1).collect()]
     if len(few) <= MAX_LISTED_LEAVES:
         found = detect_changes(*[side.filter(F.col("leaf").isin(few)) for side in (prev, curr)])

@@ -210,8 +210,10 @@ def pull(
 ) -> DataFrame:
     """Every live file an agent may see, rebuilt from its chunks.
 
-    Only the chunks of those files are fetched from the store (see `chunks.fetch`, which acts).
+    Of a stored chunk table (one with `bucket`), only the chunks of those files are fetched (see `chunks.fetch`, which acts).
     """
     named = with_effective_path(live_docs(files))
     visible = X.newest_docs(scope_filter(valid_paths(named), rules, agent, enforce=enforce))
-    return C.reassemble(visible, C.fetch(chunks, C.listed_ids(visible)), strict=strict)
+    if "bucket" in chunks.columns:
+        chunks = C.fetch(chunks, C.listed_ids(visible))
+    return C.reassemble(visible, chunks, strict=strict)

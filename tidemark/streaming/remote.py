@@ -39,7 +39,7 @@ def apply_remote(
     own = chunk_docs(classify_docs(live_docs(docs))).withColumn("data", as_bytes("data"))
     newest, gone = _last_states(docs)
     files = _newest(newest.filter(~gone).drop("kind"), rules, agent, enforce)
-    held = fetch(store, listed_ids(files)).select("chunk_id", "data")
+    held = (fetch(store, listed_ids(files)) if "bucket" in store.columns else store).select("chunk_id", "data")
     return _restore(files, held.unionByName(new_chunks(own, held)))
 
 
