@@ -131,17 +131,17 @@ def revert_to(
 
     Children and hash come from the archived row, the version is the current one plus one, and
     requests outside the agent's scope or for a version not archived give no row. A document is reverted once: of
-    several requests for it the last by `requested_at` counts (if there is such a column), then that for the highest version.
+    several requests that can be met the last by `requested_at` counts (if there is such a column), then that for the highest version.
     """
     asked = scope_filter(requests, rules, agent, enforce=enforce)
     when = F.col("requested_at") if "requested_at" in requests.columns else F.lit(None).cast("timestamp")
-    wanted = asked.groupBy(doc_key("path").alias("doc_id")).agg(
-        F.max(F.struct(when.alias("at"), F.col("to_version").cast("int").alias("version"))).getField("version").alias("reverted_from")
-    )
+    requested = asked.select(doc_key("path").alias("doc_id"), when.alias("at"), F.col("to_version").cast("int").alias("version"))
     archived = F.coalesce(F.col("archived"), F.lit(False))
     old = store.filter(archived).select(
         F.col("doc_id").alias("_archive_id"), F.col("children").alias("_children"), F.col("hash").alias("_hash")
     )
+    granted = requested.withColumn("_archive_id", archive_key("doc_id", "version")).join(old.select("_archive_id"), "_archive_id", "left_semi")
+    wanted = granted.groupBy("doc_id").agg(F.max(F.struct("at", "version")).getField("version").alias("reverted_from"))
     kept = [c for c in store.columns if c not in ("children", "hash", "mtime", "version", "reverted_from")]
     return (
         store.filter(~archived)
