@@ -18,7 +18,7 @@ HEADLINE = (
     "merge_conflicts", "retain_version_rows", "version_history", "pull", "push_chunks", "retry_backlog",
     "assign_batches", "audit_lines", "retain_audit", "run_calendar", "match_schedules", "next_run_for",
     "changes_per_run", "debounce", "route_events", "debounce_stream", "apply_remote", "push_documents", "pull_report",
-    "sync_documents", "sync_then_pull", "follow_remote", "follow_local",
+    "sync_documents", "sync_then_pull", "follow_remote", "follow_local", "pull_few_folders", "detect_changes_tree", "store_sketch",
 )
 
 
