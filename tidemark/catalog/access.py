@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tidemark.catalog import shared_sql  # noqa: F401
 from tidemark.catalog.registry import register, view
 from tidemark.operators import filters as L
+from tidemark.operators import postings as N
 from tidemark.operators import scopes as S
 from tidemark.operators import search as Q
 from tidemark.plans import views as W
+from tidemark.session import work_dir
 from tidemark.sources import payload
 
 _ALLOWED = "regexp_matches(lower(split_part(replace(path, '\\', '/'), '/', 1)), '^(100|101|102|103|104)')"
@@ -69,6 +71,32 @@ def scope_verdict_table(spark, d):
     return known.unionByName(unknown).select("n", "allowed", "scope", "reason")
 
 
+# Prefixes inside each other and of every length, for agents of all sizes; each supplier is an agent with one folder.
+view(
+    "v_many_rules",
+    """SELECT agent, prefix FROM v_rules UNION ALL SELECT 'all', '' UNION ALL SELECT 'nobody', NULL
+       UNION ALL SELECT 'Hundred' || r_regionkey, r_regionkey::VARCHAR FROM region
+       UNION ALL SELECT 'Supplier' || s_suppkey, lpad((s_suppkey % 300)::VARCHAR, 3, '0') FROM supplier""",
+)
+
+
+@register(
+    """SELECT n, agent, split_part(path, '/', 1) AS scope FROM v_files
+       JOIN (SELECT DISTINCT agent, prefix FROM v_many_rules) ON starts_with(split_part(path, '/', 1), prefix) GROUP BY ALL""",
+    uses=("v_files", "v_many_rules"),
+)
+def scope_matrix(spark, d):
+    """Which of all agents may see each file."""
+    text = lambda name: F.col(name).cast("string")
+    named = lambda head, key: F.concat(F.lit(head), text(key)).alias("agent")
+    regions = W.read(spark, d, "region").select(named("Hundred", "r_regionkey"), text("r_regionkey").alias("prefix"))
+    suppliers = W.read(spark, d, "supplier").select(
+        named("Supplier", "s_suppkey"), F.lpad((F.col("s_suppkey") % 300).cast("string"), 3, "0").alias("prefix"))
+    ends = S.scopes_table(spark, {"all": [""], "nobody": []})
+    rules = _nation_rules(spark, d).unionByName(ends).unionByName(regions).unionByName(suppliers)
+    return S.scope_matrix(W.files(spark, d), rules).select("n", "agent", "scope")
+
+
 @register(
     """SELECT agent, prefix FROM v_rules WHERE agent NOT IN (SELECT 'Agent' || r_regionkey FROM region WHERE r_name = 'ASIA')
        UNION ALL SELECT 'Agent' || r_regionkey, lower(r_name) FROM region WHERE r_name = 'ASIA'""",
@@ -220,11 +248,11 @@ view(
 _SHOWN = "array_to_string(list_transform({0}, lambda h: h.line || ':' || h.text), chr(10)) AS matches"
 
 
-def _shown(hits):
+def _shown(hits, *keys):
     text = F.array_join(
         F.transform("matches", lambda h: F.concat(h["line"].cast("string"), F.lit(":"), h["text"])), "\n"
     )
-    return hits.select("path", text.alias("matches"))
+    return hits.select(*(keys or ("path",)), text.alias("matches"))
 
 
 @register(
@@ -251,6 +279,34 @@ def search_total(spark, d):
     return Q.search_total(W.files(spark, d), "tion", enforce=False)
 
 
+_SHORT = "SELECT 'r' || r_regionkey AS query_id, left(r_name, 2) AS query FROM region"
+
+view(
+    "v_queries",
+    f"""SELECT item_id || ':' || i AS query_id, lines[i] AS query FROM (SELECT item_id, string_split(text, chr(10)) AS lines FROM benchmark),
+         LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i) UNION ALL {_SHORT}""",
+)
+
+
+@register(
+    f"""SELECT query_id, path, {_SHOWN.format('hits')} FROM (SELECT query_id, path,
+           list_filter(list_transform(range(1, len(lines) + 1), lambda i: {{'line': i, 'text': lines[i]}}),
+             lambda h: contains(lower(h.text), lower(query)))[1:5] AS hits
+         FROM (SELECT path, content, string_split(content, chr(10)) AS lines FROM v_files WHERE n % 4 < 3)
+         JOIN v_queries ON trim(query) <> '' AND contains(lower(content), lower(query)))""",
+    uses=("v_files", "v_queries"),
+)
+def search_many(spark, d):
+    """Every line of the benchmark, and two letters of each region, looked up in an index of the files."""
+    out = work_dir(spark, "postings")
+    N.write_index(W.files(spark, d), out)
+    items = W.read(spark, d, "benchmark").select("item_id", F.posexplode(F.split("text", "\n")).alias("i", "query"))
+    lines = items.select(F.concat_ws(":", "item_id", F.col("i") + 1).alias("query_id"), "query")
+    short = W.read(spark, d, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("query_id"), F.left("r_name", F.lit(2)).alias("query"))
+    hits = N.search_many(*N.read_index(spark, out), lines.unionByName(short), enforce=False)
+    return _shown(hits, "query_id", "path")
+
+
 # Real page addresses as paths: without the scheme and with dotted and named folders as they come.
 view("v_urls", "SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages")
 

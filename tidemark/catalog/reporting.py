@@ -13,6 +13,7 @@ from tidemark.plans import pipelines
 from tidemark.plans import views as W
 from tidemark.session import work_dir
 from tidemark.sources import scan, sinks
+from tidemark.streaming import feeds, newest
 
 
 @register(
@@ -242,3 +243,18 @@ def retain_audit(spark, d):
 )
 def retain_audit_per_scope(spark, d):
     return _plain(G.retain_audit(W.audit(spark, d), 20, per="scope"))
+
+
+@register(
+    f"""SELECT {_AUDIT} FROM (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY ts DESC, seq DESC) AS rn FROM v_audit)
+        WHERE rn <= 20""",
+    uses=("v_audit",),
+)
+def retain_audit_stream(spark, d):
+    """The same kept by a stream: the log comes in eight batches and is merged after every third."""
+    out = work_dir(spark, "audit")
+    log = W.audit(spark, d)
+    log.repartition(8, "seq").write.parquet(f"{out}/log")
+    stream = feeds.read_doc_stream(spark, f"{out}/log", log.schema, files_per_batch=1)
+    newest.keep_newest(stream, f"{out}/kept", f"{out}/checkpoint", 20, "scope", merge_every=3).awaitTermination()
+    return _plain(newest.newest_rows(spark, f"{out}/kept", log.schema, 20, "scope"))

@@ -78,3 +78,26 @@ def changes_per_run_long(spark, d):
         W.change_events(spark, d), W.user_schedules(spark, d), W.BASE_MS, end_ms, n=2, full=True
     )
     return load.select("schedule", F.unix_millis("run_ts").alias("run_ms"), "arrived", "taken", "left_over")
+
+
+_SECONDS = (W.END_MS - W.BASE_MS) // 1000
+
+
+@register(
+    f"""SELECT epoch_us(run_ts) // 1000 AS run_ms, arrived, coalesce(lag(left_over) OVER (ORDER BY run_ts), 0) + arrived - left_over AS taken,
+          left_over FROM (
+         SELECT run_ts, arrived, s - least(0, min(s) OVER (ORDER BY run_ts ROWS UNBOUNDED PRECEDING)) AS left_over FROM (
+           SELECT c.run_ts, coalesce(a.arrived, 0) AS arrived, (sum(coalesce(a.arrived, 0) - 1) OVER (ORDER BY c.run_ts ROWS UNBOUNDED PRECEDING))::BIGINT AS s
+           FROM (SELECT TIMESTAMP '2024-01-01' + to_seconds(k) AS run_ts FROM range(1, {_SECONDS} + 1) t(k)) c
+           LEFT JOIN (SELECT date_trunc('second', ts) + INTERVAL 1 SECOND AS run_ts, count(*) AS arrived FROM v_events
+                      WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY ALL) a USING (run_ts)))
+       QUALIFY arrived > 0 OR taken > 0""",
+    uses=("v_events",),
+)
+def changes_per_run_dense(spark, d):
+    """All changes wait for one schedule that runs every second and takes one; its runs with something to do."""
+    changes = W.change_events(spark, d).withColumn("schedule", F.lit("dense"))
+    one = W.read(spark, d, "region").agg(F.lit("dense").alias("name"), F.lit("interval").alias("type"), F.min(F.lit(1000)).cast("long").alias("interval_ms"))
+    schedule = one.select("*", F.lit(None).cast("string").alias("cron"), F.lit(True).alias("enabled"))
+    load = H.changes_per_run(changes, schedule, W.BASE_MS, W.END_MS, n=1).filter("arrived > 0 OR taken > 0")
+    return load.select(F.unix_millis("run_ts").alias("run_ms"), "arrived", "taken", "left_over")

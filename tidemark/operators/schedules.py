@@ -1,7 +1,7 @@
 """Run calendars, schedule matching and next runs, computed from tables instead of timers.
 
 Clock fields follow the session time zone. Schedules reach events by an equality join on the schedule
-name or on the minute of the day. Nothing is hinted as broadcast: Spark broadcasts schedules if their
+name or on the minute. Nothing is hinted as broadcast: Spark broadcasts schedules if their
 measured size allows, and otherwise splits the tasks of a hot schedule (adaptive skew join).
 """
 
@@ -98,16 +98,41 @@ def run_calendar(schedules: DataFrame, start_ms: int, end_ms: int, full: bool =
     return cron.unionByName(interval)
 
 
+def _bits(values: str) -> str:
+    """SQL: the whole number with the bits of a list of small numbers."""
+    return f"aggregate({values}, 0L, (b, v) -> b | shiftleft(1L, v))"
+
+
+def _has(bits: str, at: str) -> str:
+    return f"getbit({bits}, {at}) = 1"
+
+
+def with_bitmaps(rules: DataFrame) -> DataFrame:
+    """The value lists of cron fields as one bitmap each: whole numbers under the names of the fields."""
+    return rules.withColumns({name: F.expr(_bits(name)) for name in FIELD_BOUNDS})
+
+
 def match_schedules(events: DataFrame, schedules: DataFrame, ts: str = "ts", full: bool = False) -> DataFrame:
-    """Each event beside every enabled cron schedule that fires in its minute, as `schedule`."""
-    slots = (
-        _usable(schedules, full)
-        .filter("type = 'cron'")
-        .selectExpr("schedule", "days", "months", "weekdays", "minutes", "explode(hours) AS _hour")
-        .selectExpr("schedule", "days", "months", "weekdays", "explode(transform(minutes, m -> _hour * 60 + m)) AS _slot")
-    )
-    placed = events.withColumn("_slot", F.expr(f"hour({ts}) * 60 + minute({ts})"))
-    return placed.join(slots, "_slot").filter(_fires(ts)).select(*events.columns, "schedule")
+    """Each event beside every enabled cron schedule that fires in its minute, as `schedule`.
+
+    Schedules that fire alike, by equal bitmaps of their fields, are one calendar. The hours in which events happen, each with a bitmap of its
+    minutes, meet the calendars that are open in that hour of the day; the common bits of both bitmaps are the minutes that fire. These
+    two tables are as long as the time is and the calendars are many, whatever the number of events. Events then join on their own
+    minute of their own day, so those of all midnights are not one key; adaptive execution splits a minute that is hot by itself.
+    Events are read twice, the first time for their times alone.
+    """
+    bits = with_bitmaps(_usable(schedules, full).filter("type = 'cron'")).select("schedule", *FIELD_BOUNDS)
+    calendars = bits.select(*FIELD_BOUNDS).distinct()
+    open_ = calendars.selectExpr("*", f"explode(filter(sequence(0, 23), h -> {_has('hours', 'h')})) AS _of_day")
+    hour = F.expr(f"date_trunc('HOUR', {ts})").alias("_hour")
+    hours = events.select(hour, F.expr(f"shiftleft(1L, minute({ts}))").alias("_bit")).groupBy("_hour").agg(F.bit_or("_bit").alias("_there"))
+    day = f"{_has('days', 'day(_hour)')} AND {_has('months', 'month(_hour)')} AND {_has('weekdays', 'dayofweek(_hour) - 1')}"
+    met = hours.withColumn("_of_day", F.expr("hour(_hour)")).join(open_, "_of_day").withColumn("_both", F.expr("_there & minutes"))
+    met = met.filter(f"_both <> 0 AND {day}")
+    firing = met.selectExpr(*FIELD_BOUNDS, "_hour", f"explode(filter(sequence(0, 59), m -> {_has('_both', 'm')})) AS _minute")
+    named = firing.join(bits, list(FIELD_BOUNDS)).select("_hour", "_minute", "schedule")
+    placed = events.withColumns({"_hour": F.expr(f"date_trunc('HOUR', {ts})"), "_minute": F.expr(f"minute({ts})")})
+    return placed.join(named, ["_hour", "_minute"]).select(*events.columns, "schedule")
 
 
 def _later_today(ts: str) -> str:
@@ -163,8 +188,8 @@ def changes_per_run(
     Changes name their `schedule`, and each waits for that schedule's next run, however far off: on the same
     day by arithmetic on the row, else on the next day of the horizon on which the schedule fires. A change
     without a run before the end is in no row. Changes are counted per run or day inside each task before they
-    are gathered, so a schedule with a third of all changes sends few rows; next days and the carry-over
-    are windows over the calendar of one schedule, whose length depends on the horizon and not on the data.
+    are gathered, so a schedule with a third of all changes sends few rows. What a run leaves over is summed hour by hour, the hours of one
+    schedule at the same time, and carried from hour to hour, so a dense schedule is many tasks' work.
     """
     grid = f"""timestamp_millis({start_ms}L +
         ((unix_millis(_when) - {start_ms}L) DIV interval_ms + 1) * interval_ms)"""
@@ -188,9 +213,27 @@ def changes_per_run(
         .join(arrivals, ["schedule", "run_ts"], "left")
         .withColumn("arrived", F.coalesce("arrived", F.lit(0)))
     )
-    by_time = Window.partitionBy("schedule").orderBy("run_ts")
+    return carry_over(runs, n)
+
+
+def carry_over(runs: DataFrame, n: int) -> DataFrame:
+    """Runs `(schedule, run_ts, arrived)` with `taken`, at most `n`, and `left_over` for the next run of the schedule.
+
+    A queue's length is the sum of what came and went, less its lowest point so far. Both add up over pieces of time: each hour of a schedule is
+    summed by itself, a row for each hour is carried along the schedule, and what is left at an hour's start enters its runs.
+    """
+    cut = runs.withColumn("_hour", F.date_trunc("HOUR", "run_ts"))
+    by_time = Window.partitionBy("schedule", "_hour").orderBy("run_ts")
     upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("_s", F.sum(F.col("arrived") - n).over(upto))
-    runs = runs.withColumn("left_over", F.col("_s") - F.least(F.lit(0), F.min("_s").over(upto)))
-    taken = F.lag("left_over", 1, 0).over(by_time) + F.col("arrived") - F.col("left_over")
-    return runs.select("schedule", "run_ts", "arrived", taken.alias("taken"), "left_over")
+    cut = cut.withColumn("_s", F.sum(F.col("arrived") - n).over(upto)).withColumn("_low", F.least(F.lit(0), F.min("_s").over(upto)))
+    hours = cut.groupBy("schedule", "_hour").agg(F.max_by("_s", "run_ts").alias("_sum"), F.min("_low").alias("_least"))
+    along = Window.partitionBy("schedule").orderBy("_hour")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    hours = hours.withColumn("_all", F.sum("_sum").over(so_far))
+    lowest = F.least(F.lit(0), F.min(F.col("_all") - F.col("_sum") + F.col("_least")).over(so_far))
+    hours = hours.withColumn("_end", F.col("_all") - lowest)
+    starts = hours.select("schedule", "_hour", F.lag("_end", 1, 0).over(along).alias("_start"))
+    met = cut.join(starts, ["schedule", "_hour"])
+    met = met.withColumn("left_over", F.col("_s") - F.least(-F.col("_start"), F.col("_low")))
+    before = F.coalesce(F.lag("left_over").over(by_time), "_start")
+    return met.select("schedule", "run_ts", "arrived", (before + F.col("arrived") - F.col("left_over")).alias("taken"), "left_over")

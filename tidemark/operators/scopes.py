@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark import schemas
 from tidemark.functions.paths import doc_key, first_segment
+from tidemark.session import cut_lineage
 
 MAX_LITERAL_PREFIXES = 256
 
@@ -137,3 +138,51 @@ def scope_verdict(
         .otherwise(F.lit("path not allowed"))
         .alias("reason"),
     )
+
+
+def _placed(segments: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """`(_segment, _near)`: each segment beside the greatest prefix that is not greater, if there is one.
+
+    Both are sorted together by ranges, so that segments with a long common head are spread as well, and every range is
+    filled from its own prefixes; the last prefix of the ranges before is one row for each range. The sorted rows are
+    checkpointed, since the number of a range must not change under what is built on it.
+    """
+    both = prefixes.select(F.col("_prefix").alias("_key"), F.lit(0).alias("_kind")).unionByName(
+        segments.select(F.col("_segment").alias("_key"), F.lit(1).alias("_kind"))
+    )
+    ranged = cut_lineage(both.repartitionByRange("_key", "_kind").withColumn("_part", F.spark_partition_id()))
+    own = F.when(F.col("_kind") == 0, F.col("_key"))
+    last = ranged.groupBy("_part").agg(F.max(own).alias("_last"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("_part", F.max("_last").over(before).alias("_carried"))
+    upto = Window.partitionBy("_part").orderBy("_key", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    filled = ranged.withColumn("_own", F.last(own, ignorenulls=True).over(upto)).filter(F.col("_kind") == 1)
+    return filled.join(carried, "_part", "left").select(F.col("_key").alias("_segment"), F.coalesce("_own", "_carried").alias("_near"))
+
+
+def _chains(prefixes: DataFrame) -> DataFrame:
+    """`(_near, _chain)`: each prefix and those of the prefixes that it begins with, itself included."""
+    heads = F.transform(F.sequence(F.lit(0), F.length("_prefix")), lambda n: F.substring(F.col("_prefix"), F.lit(1), n))
+    cut = prefixes.select(F.col("_prefix").alias("_near"), F.explode(heads).alias("_prefix"))
+    return cut.join(prefixes, "_prefix").groupBy("_near").agg(F.collect_list("_prefix").alias("_chain"))
+
+
+def scope_matrix(df: DataFrame, rules: Rules = K.DEFAULT_SCOPES, path_col: str = "path") -> DataFrame:
+    """Every row once for each agent that may see it, with `agent` and `scope`, the first segment: all agents' `scope_filter` at once.
+
+    The prefixes of all agents are sorted with the distinct first segments, so that a segment finds the greatest prefix not above
+    it. Whatever prefixes it begins with, that one begins with them too: strings with a common head are
+    neighbours. So a segment takes part in one row of that search and tests the few heads of its neighbour, and no segment is unfolded into
+    its own heads. A row that no agent may see, and a null path, is in no row of the result. Columns `agent` and `scope` of `df` are replaced.
+
+    This acts: the distinct segments and prefixes are checkpointed, and the agents of each segment are written before the rows meet them.
+    """
+    own = df.drop("agent", "scope")
+    table = _as_table(df, rules).filter(F.col("prefix").isNotNull()).select("agent", F.lower("prefix").alias("_prefix")).distinct()
+    prefixes = table.select("_prefix").distinct()
+    segment = first_segment(doc_key(path_col))
+    segments = own.select(segment.alias("_segment")).filter(F.col("_segment").isNotNull()).distinct()
+    near = _placed(segments, prefixes).filter(F.col("_near").isNotNull()).join(_chains(prefixes), "_near")
+    heads = near.select("_segment", F.explode(F.filter("_chain", lambda p: F.startswith(F.col("_segment"), p))).alias("_prefix"))
+    seen = cut_lineage(heads.join(table, "_prefix").select("_segment", "agent").distinct())
+    return own.withColumn("_segment", segment).join(seen, "_segment").select(*own.columns, "agent", F.col("_segment").alias("scope"))
