@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark import constants as K
 from tidemark.operators.audit import retain_audit
@@ -20,7 +20,7 @@ MERGE_EVERY = 16  # batches after which their rows are merged into one table
 def _table(spark: SparkSession, path: str, schema: StructType, mark: str) -> DataFrame | None:
     """The rows of all folders `mark=N` below a path, with N as a column; None if there are none yet."""
     try:
-        return spark.read.schema(StructType(schema.fields).add(mark, LongType())).parquet(path)
+        return spark.read.schema(StructType([*schema.fields, StructField(mark, LongType())])).parquet(path)
     except AnalysisException as error:
         absent(error)
         return None
