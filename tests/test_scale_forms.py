@@ -14,7 +14,7 @@ from tidemark.operators import schedules as H
 from tidemark.operators import scopes as S
 from tidemark.operators import search as Q
 from tidemark.session import work_dir
-from tidemark.streaming import feeds, newest
+from tidemark.streaming import newest
 
 DAY = datetime.datetime(2024, 1, 1)
 TEXTS = [
@@ -145,7 +145,7 @@ def test_newest_rows_of_a_repeated_and_merged_log(spark, rows):
     draw = random.Random(9)
     batches = [
         [(DAY + datetime.timedelta(seconds=draw.randrange(50)), b * 100 + i, "a", None, "success", "m", draw.choice(("x", "x", "y", None))) for i in range(draw.randrange(12))]
-        for b in range(8)
+        for b in range(5)
     ]
     for per in ("scope", None):
         out = work_dir(spark, "newest")
@@ -159,4 +159,4 @@ def test_newest_rows_of_a_repeated_and_merged_log(spark, rows):
             assert rows(newest.newest_rows(spark, out, schema, 3, per)) == rows(G.retain_audit(so_far, 3, per))
         assert spark.read.parquet(f"{out}/batches").select("batch").distinct().count() <= 4
     with pytest.raises(ValueError):
-        newest.keep_newest(feeds.read_doc_stream(spark, out, schema), out, out, merge_every=0)
+        newest.keep_newest(None, out, out, merge_every=0)
