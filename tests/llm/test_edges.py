@@ -162,3 +162,18 @@ def test_maxent(odd, none):
     blind = maxent.score(odd, none).collect()
     assert all(r.base_score == 0.0 and r.n_known == 0 and r.train_tokens == 0 for r in blind)
     assert maxent.score(none, odd).count() == 0
+
+
+def test_identical_rows_spread_over_shards(spark):
+    same = spark.range(60_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same row").alias("text"), F.lit("x").alias("_number"))
+    found = shards.shard(same, shards=8)
+    counts = {r["shard"]: (r["count"], r["slots"], r["last"]) for r in found.groupBy("shard").agg(
+        F.count("*").alias("count"), F.count_distinct("slot").alias("slots"), F.max("slot").alias("last")).collect()}
+    assert len(counts) == 8 and all(abs(n - 7_500) < 375 and slots == n and last == n - 1 for n, slots, last in counts.values())
+    assert found.columns == ["doc_id", "text", "_number", *shards.COLUMNS]
+
+
+def test_the_same_repeat_stays_under_any_partitioning(spark):
+    rows = spark.createDataFrame([(1, "some text of words", tag, {tag: 1}) for tag in "dbca"], "doc_id long, text string, tag string, more map<string, int>")
+    kept = {tuple(simhash.dedupe(rows.repartition(n, *by)).select("doc_id", "tag").collect()[0]) for n, by in ((1, ()), (3, ("tag",)), (4, ()))}
+    assert kept == {(1, "a")}

@@ -23,13 +23,13 @@ _OUT = T.StructType([T.StructField(n, T.LongType()) for n in ("piece", "shard",
 COLUMNS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str, group: str, tie: str) -> DataFrame:
+def _keyed(docs: DataFrame, doc_id: str, text: str, group: str, tie: str, *number: str) -> DataFrame:
     """The rows with their size, checksum and place in key order: copies of a text are neighbours."""
     return docs.withColumns({
         "size": (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long"),
         "text_crc32": F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")),
         group: text_hash(text),
-        tie: F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.lit("tie")),
+        tie: F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.lit("tie"), *number),
     })
 
 
@@ -42,6 +42,7 @@ class Splitters:
     first: np.ndarray  # number of the first piece of each range
     shard: np.ndarray | None = None  # of each piece
     base: np.ndarray | None = None  # rows of the shard before each piece
+    crowded: bool = False  # a piece of several rows is far over its size after the cut
 
     def ranges(self, group: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, group, side="right")
@@ -99,6 +100,7 @@ def splitters(slim: DataFrame, shards: int) -> Splitters:
         return pd.Series(found.pieces(group.to_numpy(), tie.to_numpy()))
 
     sizes, rows = _totals(slim, piece_of("_group", "_tie"), int(found.parts.sum()))
+    found.crowded = bool(np.any((sizes > 2 * target) & (rows > 1)))
     middle = np.cumsum(sizes) - sizes / 2
     found.shard = np.minimum((middle * shards / max(total, 1)).astype(np.int64), shards - 1)
     before = np.cumsum(rows) - rows
@@ -106,6 +108,11 @@ def splitters(slim: DataFrame, shards: int) -> Splitters:
     return found
 
 
+def _repeated(slim: DataFrame) -> bool:
+    """Whether several rows have the same key and tie, which no cut of the keys can part."""
+    return bool(slim.groupBy("_group", "_tie").count().filter("count > 1").head(1))
+
+
 def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """`docs` with `(size, text_crc32, law, shard, slot, grown_shard)`; columns of those names are replaced.
 
@@ -113,17 +120,26 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
     `bytes`: shards have near equal sizes. `slot` counts the rows of a shard from 0 without gaps; `grown_shard` is null.
     Rows are ordered by a hash of the text and, within equal texts, by one of doc_id, so copies of a text are
     neighbours and share a shard unless a shard ends among them. A null text is a text of its own; null ids
-    and repeated rows are placed like others. An empty table gives no rows.
+    are placed like others, and so are repeated rows. An empty table gives no rows.
 
     A slim table of keys and sizes is written once. From it come a sample whose expected length is eight keys
     for a range, and the exact size of each range and piece. The rows then move once, by piece, and are numbered
-    inside it. A text that holds much of the data fills a range of its own, which is cut by the hash of doc_id.
+    inside it. A text that holds much of the data fills a range of its own, which is cut by the hash of doc_id. Only where equal
+    rows of one id and text overfill a piece are the rows written once with a number each, which then enters that hash.
     """
     given = docs.select(columns_of(docs, *COLUMNS))
-    group, tie, at, piece = own_names(given, "_group", "_tie", "_at", "_piece")
+    group, tie, at, piece, number = own_names(given, "_group", "_tie", "_at", "_piece", "_number")
+
+    def slim_of(rows: DataFrame) -> DataFrame:
+        return settled(rows.select(F.col(group).alias("_group"), F.col(tie).alias("_tie"), "size"), "shard-keys")
+
     keyed = _keyed(given, doc_id, text, group, tie)
-    slim = keyed.select(F.col(group).alias("_group"), F.col(tie).alias("_tie"), "size")
-    found = splitters(settled(slim, "shard-keys"), shards)
+    slim = slim_of(keyed)
+    found = splitters(slim, shards)
+    if found.crowded and _repeated(slim):
+        numbered = settled(given.withColumn(number, F.monotonically_increasing_id()), "shard-rows")
+        keyed = _keyed(numbered, doc_id, text, group, tie, number)
+        found = splitters(slim_of(keyed), shards)
 
     @F.pandas_udf(_OUT)
     def placed(groups: pd.Series, ties: pd.Series) -> pd.DataFrame:

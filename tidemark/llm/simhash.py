@@ -122,7 +122,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, with one row left of each group: that of the smallest doc_id.
 
-    Several rows with that id are told apart by their texts; wholly equal pairs of id and text leave one row.
+    Several rows with that id are told apart by their texts; of equal pairs of id and text the row whose JSON is least stays.
     """
     grouped = groups(docs, doc_id, text)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k")
@@ -141,7 +141,7 @@ def _first_of_repeats(kept: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row for each pair of id and text."""
     columns = kept.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])
-    one = kept.groupBy(F.col(doc_id).alias("_id"), text_hash(text).alias("_hash")).agg(F.first(whole).alias("_row"))
+    one = kept.groupBy(F.col(doc_id).alias("_id"), text_hash(text).alias("_hash")).agg(F.min_by(whole, F.to_json(whole)).alias("_row"))
     return one.select(*[F.col("_row").getField(c).alias(c) for c in columns])
 
 
