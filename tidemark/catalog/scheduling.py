@@ -96,8 +96,10 @@ _SECONDS = (W.END_MS - W.BASE_MS) // 1000
 )
 def changes_per_run_dense(spark, d):
     """All changes wait for one schedule that runs every second and takes one; its runs with something to do."""
-    changes = W.change_events(spark, d).withColumn("schedule", F.lit("dense"))
-    one = W.read(spark, d, "region").agg(F.lit("dense").alias("name"), F.lit("interval").alias("type"), F.min(F.lit(1000)).cast("long").alias("interval_ms"))
+    # The name comes from the rows on both sides: a join on a constant would be planned as one without keys.
+    name = lambda column: F.concat(F.lit("dense"), F.left(column, F.lit(0)))
+    changes = W.change_events(spark, d).withColumn("schedule", name("path"))
+    one = W.read(spark, d, "region").agg(F.max(name("r_name")).alias("name"), F.lit("interval").alias("type"), F.min(F.lit(1000)).cast("long").alias("interval_ms"))
     schedule = one.select("*", F.lit(None).cast("string").alias("cron"), F.lit(True).alias("enabled"))
     load = H.changes_per_run(changes, schedule, W.BASE_MS, W.END_MS, n=1).filter("arrived > 0 OR taken > 0")
     return load.select(F.unix_millis("run_ts").alias("run_ms"), "arrived", "taken", "left_over")
