@@ -153,6 +153,14 @@ def test_pii(odd, none):
     assert pii.find(none).count() == 0
 
 
+def test_pii_repeats_null_ids_and_ties(spark):
+    rows = [*[(i, f"call me at +1 (212) 555-02{i} today") for i in range(10, 70)], *[(None, "call me at (212) 555-0199 now")] * 2, (7, "a@b.de, a@b.de"), (7, "a@b.de, a@b.de"), (7, None)]
+    found = pii.find(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, base string, _hash int")).collect()
+    assert len(found) == len(rows)
+    assert [[tuple(s) for s in r.added] for r in found if r.doc_id is None] == [[(11, 25, "phone")]] * 2
+    assert sorted([tuple(s) for s in r.base] for r in found if r.doc_id == 7) == [[], *[[(0, 6, "email"), (8, 14, "email")]] * 2]
+
+
 def test_maxent(odd, none):
     rows = maxent.score(odd, odd).collect()
     assert len(rows) == odd.count() and all(r.score < 0 and r.base_score < 0 for r in rows)

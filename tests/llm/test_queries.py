@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -150,11 +151,39 @@ def test_op4_rank_select_access(size, symbols):
         assert matrix.rank(s) == len(places) and matrix.rank(s, size // 2) == (places < size // 2).sum()
         assert [matrix.select(s, k) for k in range(min(len(places), 5))] == places[:5].tolist()
         assert matrix.select(s, len(places)) == -1
+        ends = np.arange(0, size + 1, 3)
+        assert (matrix.ranks(s, ends) == np.searchsorted(places, ends)).all()
+        assert np.concatenate([*matrix.positions(s), np.zeros(0, int)]).tolist() == places.tolist()
     for damaged in (data[:-1], data + b"x", data[:40] + bytes([data[40] ^ 1]) + data[41:], b"other"):
         with pytest.raises(ValueError):
             wavelet.unpacked(damaged)
 
 
+def test_op4_counts_and_occurrences(spark, docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(wavelet, "_PART", 100)
+    path = public_tokenizers.path(wavelet.TOKENIZER)
+    coder, places, marks, start = Tokenizer.from_file(path), {}, {}, 0
+    for doc_id, text in sorted(docs):
+        ids = [*coder.encode(text or "", add_special_tokens=False).ids, 1]
+        for position, t in enumerate(ids):
+            places.setdefault(t, []).append((t, doc_id, start, position))
+        marks[doc_id] = ids.count(1)
+        start += len(ids)
+    often = sorted(places, key=lambda t: -len(places[t]))
+    asked, absent = [1, often[0], often[100], often[-1]], max(places) + 1
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    manifest = wavelet.write(given, str(tmp_path / "files"), path, shard_tokens=5_000)
+    assert manifest.count() > 4
+    assert {r.doc_id: r.n_marks for r in wavelet.read(manifest).collect()} == marks
+    counts = sorted(map(tuple, wavelet.counts(manifest, [*asked, absent, None, 1]).collect()))
+    assert counts == sorted([*((t, len(places[t])) for t in set(asked)), (absent, 0)])
+    found = sorted(map(tuple, wavelet.occurrences(manifest, [*asked, absent, None, 1]).collect()))
+    assert found == sorted(p for t in set(asked) for p in places[t])
+    none = wavelet.write(given.limit(0), str(tmp_path / "none"), path)
+    assert wavelet.counts(none, [5]).collect() == [(5, 0)] and wavelet.occurrences(none, [5]).count() == 0
+    assert wavelet.counts(manifest, []).count() == 0 and wavelet.occurrences(manifest, []).count() == 0
+
+
 def plain_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
@@ -371,6 +400,91 @@ def test_op9_found_words_lead_to_further_contexts(spark):
     assert {i for i, spans in found.items() if spans} == set(range(60, 72))
 
 
+def chained(hops):
+    """Contexts that a few unseen words keep from being trusted, until those words are known from the context before."""
+    known = [f"+1 (212) 555-02{i}" for i in range(10, 70)]
+    new = [[f"(3{hop:02d}) 555-01{i}" for i in range(10, 16)] for hop in range(hops + 1)]
+    texts = []
+    for hop in range(hops):
+        words = [*known, *(new[hop] if hop else []), *new[hop + 1]]
+        texts += [f"desk{chr(97 + hop)} line {w}" for w in words]
+    return texts
+
+
+def plain_bootstrap(texts):
+    """`(text, start, end, kind)` by the same rules over plain sets: every pattern and every word is looked at whole."""
+    base = [pii.base_spans(t) for t in texts]
+    words = [(i, s, e, pii._pattern(t, s, e), t[s:e]) for i, t in enumerate(texts) for s, e, _ in pii.free_words(t, base[i])]
+    seeds = {row for t, b in zip(texts, base) for row in pii.seeds(t, b)}
+    known_pairs, scores = {(p, w) for _, p, w in seeds}, {(w, kind): 1.0 for kind, _, w in seeds}
+    inside, patterns_of = defaultdict(set), defaultdict(set)
+    for *_, p, w in words:
+        inside[p].add(w)
+        patterns_of[w].add(p)
+    for p, w in known_pairs:
+        inside[p].add(w)
+    trusted, last = {}, Counter()
+    while True:
+        rated = {w for w, _ in scores}
+        support = Counter(p for p, w in known_pairs if w in rated)
+        wanted = {p for p, n in support.items() if n >= pii.SUPPORT and n > last[p] and p not in {q for q, _ in trusted}}
+        last = Counter({p: n for p, n in support.items() if n >= pii.SUPPORT})
+        new = {}
+        for p in wanted:
+            for kind in pii.KINDS:
+                hits = sum(scores.get((w, kind), 0.0) for w in inside[p])
+                if hits >= pii.SUPPORT and hits / len(inside[p]) >= pii.CONFIDENCE:
+                    new[p, kind] = hits / len(inside[p])
+        trusted |= new
+        places = {(i, s, e, w, p, kind): trusted[p, kind] for i, s, e, p, w in words for kind in pii.KINDS if (p, kind) in trusted}
+        by_word = {}
+        for (*_, w, p, kind), confidence in places.items():
+            if (w, kind) not in scores:
+                by_word.setdefault((w, kind), {})[p] = confidence
+        if not new or not by_word:
+            break
+        for (w, kind), patterns in by_word.items():
+            others = {(p, w) for p in patterns_of[w]}
+            score = max(patterns.values()) * (len(patterns) / len(others) if pii.plain(w) else 1.0)
+            known_pairs |= others
+            if score >= pii.LEAST:
+                scores[w, kind] = score
+    best = {}
+    for (i, s, e, w, p, kind), confidence in places.items():
+        if (w, kind) in scores:
+            best[i, s, e] = max(best.get((i, s, e), (0, "")), (confidence, kind))
+    return {(*place, kind) for place, (_, kind) in best.items()}
+
+
+def added(spark, texts, **how):
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **how).collect()
+    return {(r.doc_id, *s) for r in rows for s in r.added}
+
+
+def test_op9_rounds_go_to_the_fixed_point(spark):
+    texts = chained(5)
+    found = added(spark, texts)
+    assert {texts[i][s:e] for i, s, e, _ in found} == {w.split(" ", 2)[2] for w in texts if "+" not in w}
+    assert found == plain_bootstrap(texts)
+    assert len(added(spark, texts, rounds=2)) < len(found)
+
+
+def test_op9_against_a_plain_bootstrap(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    found = added(spark, texts)
+    assert found and found == plain_bootstrap(texts)
+
+
+def test_op9_removes_its_steps(spark):
+    from tidemark.session import shared_dir
+
+    folder = Path(shared_dir(spark)) / "tidemark"
+    before = set(folder.glob("pii-*"))
+    found = pii.find(spark.createDataFrame(list(enumerate(chained(2))), "doc_id long, text string"))
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("pii-*")) - before} == {"pii-read", "pii-spans"}
+    assert found.count() == len(chained(2))
+
+
 @pytest.mark.parametrize("head", [0, 50, maxent.HEAD])
 def test_op10_base(spark, docs, monkeypatch, head):
     monkeypatch.setattr(maxent, "HEAD", head)

@@ -6,7 +6,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import takewhile
+from itertools import count, takewhile
 
 import numpy as np
 import pandas as pd
@@ -14,15 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Query, settled, table, text_hash
+from tidemark.llm.common import Query, dropped, settled, table, text_hash
 
 # In the order in which spans with one start are listed; `secret` is a seed kind of the method.
 KINDS = ("email", "ip", "card", "phone", "secret")
-ROUNDS = 3
 # A pattern is trusted with this confidence and so many different seeds or trusted instances.
 CONFIDENCE, SUPPORT = 0.9, 5
 # A word found by its context is given with this score.
 LEAST = 0.5
+REACH = 60  # characters before a span that belong to its pattern
 SLOTS = 1 << 21  # of the tables by hash that workers look words up in
 _SPAN = [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType())]
 _OUT = T.StructType([
@@ -92,11 +92,14 @@ def plain(instance: str) -> bool:
 
 
 def _pattern(text: str, start: int, end: int) -> str:
-    """Lexical pattern around a span, whatever it holds: the two words before it and signs that touch it on either side."""
+    """Lexical pattern around a span, whatever it holds: the two words before it and signs that touch it on either side.
+
+    The words are those of the REACH characters before the signs: a word that begins farther off counts from there.
+    """
     left = start
     while left and text[left - 1] in _SIGNS:
         left -= 1
-    words = _NUMERAL.sub("0", text[max(0, left - 60) : left].lower()).split()[-2:]
+    words = _NUMERAL.sub("0", text[max(0, left - REACH) : left].lower()).split()[-2:]
     right = text[end : end + 1]
     words.append(text[left:start] + "_" + (right if right in _CLOSING else ""))
     return " ".join(words)
@@ -256,54 +259,63 @@ def _plain(instances: pd.Series) -> pd.Series:
     return instances.map(plain).astype(bool)
 
 
-def bootstrap(docs: DataFrame, seen: DataFrame, rounds: int = ROUNDS) -> DataFrame | None:
+def bootstrap(docs: DataFrame, seen: DataFrame, rounds: int | None = None) -> DataFrame | None:
     """`(_id, _hash, start, end, kind)` of the words that the seeds' contexts lead to; None if they lead nowhere.
 
     `docs` has `_id` as a text, `_hash` and the text, `seen` the seeds `(kind, pattern, instance)`, of score 1. In each round a pattern's
     confidence is the share of its different instances that are trusted, weighed by their scores. Words in trusted patterns
-    get scores; those of LEAST or more are given, and may make further patterns trusted. Each step is written before the next.
+    get scores; those of LEAST or more are given, and may make further patterns trusted. Each step is written before the next
+    and removed at the end. Rounds go on until no pattern that is not trusted has gained an instance, or for `rounds` rounds at most.
 
     Only a pattern with SUPPORT trusted instances can be trusted, so the texts are gone over for such patterns alone and
     then for the words found, whose other patterns rate them and lead on. A pattern with too many other words for its
     confidence, and a plain word with too many patterns for its score, are given up as soon as a task sees that.
     """
-    pairs = settled(seen.select("pattern", "instance").distinct(), "pii-pairs")
-    scores = settled(seen.groupBy("instance", "kind").agg(F.lit(1.0).alias("score")), "pii-scores")
-    trusted = found = last = None
-    for _ in range(rounds):
+    written: list[DataFrame] = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        written.append(df)
+        return df
+
+    pairs = kept(settled(seen.select("pattern", "instance").distinct(), "pii-pairs"))
+    scores = kept(settled(seen.groupBy("instance", "kind").agg(F.lit(1.0).alias("score")), "pii-scores"))
+    trusted = found = last = spans = None
+    for _ in count() if rounds is None else range(rounds):
         known = pairs.join(scores.select("instance").distinct(), "instance", "left_semi")
-        support = settled(known.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT), "pii-support")
+        support = kept(settled(known.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT), "pii-support"))
         wanted = support
         if last is not None:  # what has gained nothing since it was looked at stays as it is
             wanted = wanted.join(last.select("pattern", F.col("n").alias("_n")), "pattern", "left").filter(F.coalesce("_n", F.lit(0)) < F.col("n"))
             wanted = wanted.join(trusted, "pattern", "left_anti")
         last = support
-        wanted = settled(wanted.select("pattern", (F.floor(F.col("n") * (1 / CONFIDENCE - 1)).cast("int") + 1).alias("limit")), "pii-wanted")
+        wanted = kept(settled(wanted.select("pattern", (F.floor(F.col("n") * (1 / CONFIDENCE - 1)).cast("int") + 1).alias("limit")), "pii-wanted"))
         if not wanted.head(1):
             break
-        rows = _scan(docs, wanted, "pattern", scores)
+        rows = kept(_scan(docs, wanted, "pattern", scores))
         whole = wanted.join(rows.filter(F.col("instance").isNull()), "pattern", "left_anti").select("pattern")
         around = rows.select("pattern", "instance").union(pairs.select("pattern", "instance")).join(whole, "pattern", "left_semi").distinct()
-        new = settled(_trusted_patterns(around, scores), "pii-patterns")
+        new = kept(settled(_trusted_patterns(around, scores), "pii-patterns"))
         if not new.head(1):
             break
-        met = settled(rows.join(new, "pattern"), "pii-found")
+        met = kept(settled(rows.join(new, "pattern"), "pii-found"))
         trusted, found = (new, met) if trusted is None else (trusted.unionByName(new), found.unionByName(met))
         best = found.groupBy("instance", "kind").agg(F.max("confidence").alias("confidence"), F.count_distinct("pattern").alias("n"))
-        fresh = settled(best.join(scores, ["instance", "kind"], "left_anti").withColumn("plain", _plain("instance")), "pii-fresh")
+        fresh = kept(settled(best.join(scores, ["instance", "kind"], "left_anti").withColumn("plain", _plain("instance")), "pii-fresh"))
         if not fresh.head(1):
             break
         most = F.when(F.col("plain"), F.floor(F.col("n") / LEAST).cast("int")).otherwise(1 << 30)
-        rows = _scan(docs, fresh.groupBy("instance").agg(F.max(most).alias("limit")), "instance")
+        rows = kept(_scan(docs, fresh.groupBy("instance").agg(F.max(most).alias("limit")), "instance"))
         given_up = rows.filter(F.col("pattern").isNull()).select("instance")
-        others = settled(rows.join(given_up, "instance", "left_anti").select("pattern", "instance").distinct(), "pii-pairs")
-        scores = settled(scores.unionByName(_scored(fresh, others)), "pii-scores")
-        pairs = settled(pairs.unionByName(others).distinct(), "pii-pairs")
-    if found is None:
-        return None
-    placed = found.join(scores.select("instance", "kind"), ["instance", "kind"], "left_semi")
-    spans = placed.groupBy("_id", "_hash", "start", "end").agg(F.max(F.struct("confidence", "kind")).alias("b"))
-    return spans.select("_id", "_hash", "start", "end", F.col("b.kind").alias("kind"))
+        others = kept(settled(rows.join(given_up, "instance", "left_anti").select("pattern", "instance").distinct(), "pii-pairs"))
+        scores = kept(settled(scores.unionByName(_scored(fresh, others)), "pii-scores"))
+        pairs = kept(settled(pairs.unionByName(others).distinct(), "pii-pairs"))
+    if found is not None:
+        placed = found.join(scores.select("instance", "kind"), ["instance", "kind"], "left_semi")
+        best = placed.groupBy("_id", "_hash", "start", "end").agg(F.max(F.struct("confidence", "kind")).alias("b"))
+        spans = settled(best.select("_id", "_hash", "start", "end", F.col("b.kind").alias("kind")), "pii-spans")
+    for step in written:
+        dropped(step)
+    return spans
 
 
 def _listed(spans: Column) -> Column:
@@ -313,7 +325,7 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """`(doc_id, base, added)` for each row: spans `(start, end, kind)` in code points, end exclusive.
 
     `base` has the fixed patterns' spans: emails, addresses, payment cards and phone numbers. `added` has the
@@ -321,11 +333,11 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     has no spans. Repeated rows get equal spans; a null id stays null. Other columns are not read. An empty table gives no rows.
 
     The texts are read once for the spans and seeds, which are written as a slim table, and twice a round at most for the
-    words around which the graph has grown; they are never moved. Rounds end when no pattern has gained an instance.
+    words around which the graph has grown; they are never moved. Rounds end when no pattern has gained an instance, or after `rounds`.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("_hash"), F.col(text).alias("_text"))
     slim = settled(texts.select("doc_id", "_hash", _read("_text").alias("r")).select("doc_id", "_hash", "r.*"), "pii-read")
-    spans = bootstrap(texts.select(F.col("doc_id").cast("string").alias("_id"), "_hash", "_text"), slim.select(F.inline("seen")))
+    spans = bootstrap(texts.select(F.col("doc_id").cast("string").alias("_id"), "_hash", "_text"), slim.select(F.inline("seen")), rounds)
     none = F.array().cast("array<struct<start:int, end:int, kind:string>>")
     if spans is None:
         return slim.select("doc_id", "base", none.alias("added"))

@@ -8,7 +8,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +23,8 @@ from tidemark.session import work_dir
 
 TOKENIZER, END = "word_bpe_49k.json", 1
 SHARD_TOKENS = 8_000_000  # a task closes a file when it holds this many ids
-_MAGIC, _BLOCK = b"WVMX\x01\x00\x00\x00", 512  # bits between two counts of the rank directory
+_MAGIC, _BLOCK = b"WVMX\x02\x00\x00\x00", 512  # bits between two counts of the rank directory
+_PART = 50_000  # occurrences looked up at once
 _CACHED = 500_000  # remembered pieces of a worker; beyond that it forgets them all
 _LONGEST = 64  # longer pieces are not remembered, so that memory stays bounded
 
@@ -103,6 +104,19 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def directory(plane: np.ndarray) -> np.ndarray:
+    """Ones of a plane before each of its blocks, and of all blocks."""
+    per_block = np.bitwise_count(_blocks(plane)[:-1]).sum(axis=1, dtype=np.int64)
+    return np.concatenate(([0], np.cumsum(per_block))).astype("<u4")
+
+
+def _blocks(plane: np.ndarray) -> np.ndarray:
+    """The words of a plane, a row for each block and an empty one behind them."""
+    octets = np.zeros((-(-len(plane) // (_BLOCK // 8)) + 1) * (_BLOCK // 8), np.uint8)
+    octets[: len(plane)] = plane
+    return octets.view("<u8").reshape(-1, _BLOCK // 64)
+
+
 class WaveletMatrix:
     """Bit-planes of a sequence of symbols with rank directories.
 
@@ -110,10 +124,11 @@ class WaveletMatrix:
     sequence is parted stably into zeros, then ones.
     """
 
-    def __init__(self, symbols: np.ndarray, size: int, planes: list[np.ndarray], zeros: list[int]):
+    def __init__(self, symbols: np.ndarray, size: int, planes: list[np.ndarray], zeros: list[int], counts: list[np.ndarray] | None = None):
         self.symbols, self.size, self.planes, self.zeros = symbols, size, planes, zeros
         self.number = {int(s): i for i, s in enumerate(symbols)}
-        self._counts: list[np.ndarray | None] = [None] * len(planes)
+        self.counts = [directory(p) for p in planes] if counts is None else counts
+        self._words: dict[int, np.ndarray] = {}
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -132,15 +147,9 @@ class WaveletMatrix:
 
     def _ones(self, level: int, end: int) -> int:
         """Ones of a plane before position `end`."""
-        counts = self._counts[level]
-        if counts is None:
-            bits = np.zeros(-(-len(self.planes[level]) // 64) * 64, np.uint8)
-            bits[: len(self.planes[level])] = self.planes[level]
-            per_block = np.bitwise_count(bits.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(axis=1)
-            counts = self._counts[level] = np.concatenate(([0], np.cumsum(per_block)))
         block = end // _BLOCK
         rest = np.unpackbits(self.planes[level][block * _BLOCK // 8 : -(-end // 8)], bitorder="little")[: end - block * _BLOCK]
-        return int(counts[block]) + int(rest.sum())
+        return int(self.counts[level][block]) + int(rest.sum())
 
     def _bit(self, level: int, at: int) -> int:
         return int(self.planes[level][at >> 3]) >> (at & 7) & 1
@@ -196,6 +205,60 @@ class WaveletMatrix:
             at = self._place(level, bit, at - self.zeros[level] if bit else at)
         return at
 
+    def _block_words(self, level: int, block: np.ndarray) -> np.ndarray:
+        if level not in self._words:
+            self._words[level] = _blocks(self.planes[level])
+        return self._words[level][block]
+
+    def _ones_before(self, level: int, ends: np.ndarray) -> np.ndarray:
+        """Ones of a plane before each of many positions."""
+        block = ends // _BLOCK
+        taken = np.clip((ends - block * _BLOCK)[:, None] - np.arange(0, _BLOCK, 64), 0, 64)
+        part = (np.uint64(1) << np.minimum(taken, 63).astype(np.uint64)) - np.uint64(1)
+        masks = np.where(taken == 64, ~np.uint64(0), part)
+        inside = np.bitwise_count(self._block_words(level, block) & masks).sum(axis=1, dtype=np.int64)
+        return self.counts[level][block].astype(np.int64) + inside
+
+    def ranks(self, symbol: int, ends: np.ndarray) -> np.ndarray:
+        """Occurrences of a symbol before each of many positions."""
+        number, now = self.number.get(symbol), np.asarray(ends, np.int64)
+        if number is None:
+            return np.zeros(len(now), np.int64)
+        start = 0
+        for level in range(len(self.planes)):
+            a, b = self._ones(level, start), self._ones_before(level, now)
+            if number >> (len(self.planes) - 1 - level) & 1:
+                start, now = self.zeros[level] + a, self.zeros[level] + b
+            else:
+                start, now = start - a, now - b
+        return now - start
+
+    def _places(self, level: int, bit: int, nth: np.ndarray) -> np.ndarray:
+        """Positions of many ones or zeros of a plane: their block by the directory, then their word, then their bit."""
+        before = self.counts[level].astype(np.int64)
+        if not bit:
+            before = np.arange(len(before)) * _BLOCK - before
+        block = np.searchsorted(before, nth, side="right") - 1
+        words, left, row = self._block_words(level, block), nth - before[block], np.arange(len(nth))
+        words = words if bit else ~words
+        running = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
+        word = (running <= left[:, None]).sum(axis=1)
+        left = left - np.where(word > 0, running[row, word - 1], 0)
+        bits = np.unpackbits(np.ascontiguousarray(words[row, word]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        inside = (np.cumsum(bits, axis=1, dtype=np.int16) <= left[:, None]).sum(axis=1)
+        return block * _BLOCK + word * 64 + inside
+
+    def positions(self, symbol: int) -> Iterator[np.ndarray]:
+        """All occurrences of a symbol in ascending order, by select, some ten thousands at a time."""
+        number = self.number.get(symbol)
+        start, stop = (0, 0) if number is None else self._range(number, self.size)
+        for low in range(start, stop, _PART):
+            at = np.arange(low, min(low + _PART, stop))
+            for level in range(len(self.planes) - 1, -1, -1):
+                bit = number >> (len(self.planes) - 1 - level) & 1
+                at = self._places(level, bit, at - self.zeros[level] if bit else at)
+            yield at
+
     def decode(self) -> np.ndarray:
         """The whole sequence: from the last plane up, each parting is undone."""
         values = np.zeros(self.size, np.uint16)
@@ -209,12 +272,12 @@ class WaveletMatrix:
 
 
 def packed(matrix: WaveletMatrix, doc_ids: np.ndarray, known: np.ndarray, ends: np.ndarray) -> bytes:
-    """A file: head, then Zstandard blocks: document ids, whether known, ends, symbols, each plane; all with checksums."""
+    """A file: head, then Zstandard blocks: document ids, whether known, ends, symbols, planes, rank directories; all with checksums."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
     out = io.BytesIO()
     head = _MAGIC + struct.pack(f"<QII{len(matrix.zeros)}Q", matrix.size, len(doc_ids), len(matrix.planes), *matrix.zeros)
     out.write(head + struct.pack("<I", zlib.crc32(head)))
-    for part in (doc_ids.astype("<i8"), known.astype(np.uint8), ends.astype("<i8"), matrix.symbols.astype("<u4"), *matrix.planes):
+    for part in (doc_ids.astype("<i8"), known.astype(np.uint8), ends.astype("<i8"), matrix.symbols.astype("<u4"), *matrix.planes, *matrix.counts):
         block = squeeze(part.tobytes())
         out.write(struct.pack("<QI", len(block), zlib.crc32(block)) + block)
     return out.getvalue()
@@ -230,7 +293,7 @@ def unpacked(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.nda
         raise ValueError("damaged head")
     zeros = list(struct.unpack_from(f"<{levels}Q", data, 24))
     at += 4
-    for _ in range(4 + levels):
+    for _ in range(4 + 2 * levels):
         length, check = struct.unpack_from("<QI", data, at)
         block = data[at + 12 : at + 12 + length]
         if len(block) != length or zlib.crc32(block) != check:
@@ -238,12 +301,15 @@ def unpacked(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.nda
         parts.append(zstandard.ZstdDecompressor().decompress(block))
         at += 12 + length
     if at != len(data):
-        raise ValueError("bytes after the last plane")
+        raise ValueError("bytes after the last block")
     ids, known, ends = np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], np.uint8), np.frombuffer(parts[2], "<i8")
-    planes = [np.frombuffer(p, np.uint8) for p in parts[4:]]
+    planes = [np.frombuffer(p, np.uint8) for p in parts[4 : 4 + levels]]
+    counts = [np.frombuffer(p, "<u4") for p in parts[4 + levels :]]
+    if any(len(c) != -(-len(p) // (_BLOCK // 8)) + 1 for p, c in zip(planes, counts)):
+        raise ValueError("a rank directory does not fit its plane")
     if len(ids) != docs or len(ends) != docs or (docs and ends[-1] != size):
         raise ValueError("counts differ from the head")
-    return WaveletMatrix(np.frombuffer(parts[3], "<u4"), size, planes, zeros), ids, known, ends
+    return WaveletMatrix(np.frombuffer(parts[3], "<u4"), size, planes, zeros, counts), ids, known, ends
 
 
 _MANIFEST = "path string, first_part int, file int, n_docs long, n_tokens long"
@@ -299,34 +365,85 @@ def write(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id",
     return settled(ordered.mapInPandas(run, _MANIFEST), "wavelet-manifest")
 
 
-def read(manifest: DataFrame) -> DataFrame:
-    """`(doc_id, start, n_tokens, ids_crc32)` of every document in the files of a manifest.
+def _files(manifest: DataFrame) -> DataFrame:
+    """`(path, before)`, a task for each file: `before` counts the ids of all files before it."""
+    running = W.orderBy("first_part", "file").rowsBetween(W.unboundedPreceding, -1)
+    # One row for each file: a few for each task of the writer.
+    placed = manifest.select("path", F.coalesce(F.sum("n_tokens").over(running), F.lit(0)).alias("before"))
+    return placed.repartition(max(manifest.count(), 1))
+
+
+def _opened(path: str) -> tuple[WaveletMatrix, pd.Series, np.ndarray, np.ndarray]:
+    """Matrix of a file, and ids, starts and ends of its documents."""
+    store, at = file_store(path)
+    with store.open_input_stream(at) as source:
+        matrix, numbers, known, ends = unpacked(source.read())
+    return matrix, pd.Series(numbers).astype("Int64").where(known.astype(bool)), np.concatenate(([0], ends[:-1])).astype(np.int64), ends
+
+
+def read(manifest: DataFrame, mark: int = END) -> DataFrame:
+    """`(doc_id, start, n_tokens, ids_crc32, n_marks)` of every document in the files of a manifest.
 
     `start` counts the ids of all documents before it, `ids_crc32` is the unsigned checksum of its ids, end id included,
-    as little-endian 32-bit numbers. Each task reads one file. Damaged files raise an error.
+    as little-endian 32-bit numbers. `n_marks` counts the ids equal to `mark`, by rank at the document's ends. Each task reads one
+    file. Damaged files raise an error. No files give no rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, before in zip(batch["path"], batch["before"].tolist()):
-                store, at = file_store(path)
-                with store.open_input_stream(at) as source:
-                    matrix, numbers, known, ends = unpacked(source.read())
+                matrix, ids, starts, ends = _opened(path)
                 octets = memoryview(matrix.decode().astype("<u4")).cast("B")
-                starts = np.concatenate(([0], ends[:-1]))
                 crcs = [zlib.crc32(octets[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist())]
-                ids = pd.Series(numbers).astype("Int64").where(known.astype(bool))
                 for i in range(0, len(ids), 20_000):
+                    first, last = starts[i : i + 20_000], ends[i : i + 20_000]
                     yield pd.DataFrame({
-                        "doc_id": ids[i : i + 20_000], "start": before + starts[i : i + 20_000],
-                        "n_tokens": (ends - starts)[i : i + 20_000], "ids_crc32": crcs[i : i + 20_000],
+                        "doc_id": ids[i : i + 20_000], "start": before + first, "n_tokens": last - first, "ids_crc32": crcs[i : i + 20_000],
+                        "n_marks": np.diff(matrix.ranks(mark, np.append(first, last[-1]))),
                     })
 
-    running = W.orderBy("first_part", "file").rowsBetween(W.unboundedPreceding, -1)
-    # One row for each file: a few for each task of the writer.
-    placed = manifest.select("path", F.coalesce(F.sum("n_tokens").over(running), F.lit(0)).alias("before"))
-    files = manifest.count()
-    return placed.repartition(max(files, 1)).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _files(manifest).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long, n_marks long")
+
+
+def counts(manifest: DataFrame, tokens: Iterable[int]) -> DataFrame:
+    """`(token, n)`: how often each of the tokens stands in all documents, 0 included, one row a token.
+
+    One rank a file and token; the sequences are not decoded. Null and repeated tokens are left out. The tokens are a list
+    of the caller's, which goes to every task.
+    """
+    wanted = sorted({t for t in tokens if t is not None})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                matrix = _opened(path)[0]
+                yield pd.DataFrame({"token": wanted, "n": [matrix.rank(t) for t in wanted]})
+
+    found = _files(manifest).mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    asked = manifest.sparkSession.createDataFrame([(t,) for t in wanted], "token long")
+    return asked.join(found, "token", "left").select("token", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def occurrences(manifest: DataFrame, tokens: Iterable[int]) -> DataFrame:
+    """`(token, doc_id, start, position)`: each place of each of the tokens, `position` from 0 inside the document that begins at `start`.
+
+    Places come from select, part by part, so a frequent token is never held whole. Documents of one id, or without
+    one, are told apart by `start`. Null and repeated tokens are left out; a token that stands nowhere has no rows.
+    """
+    wanted = sorted({t for t in tokens if t is not None})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, before in zip(batch["path"], batch["before"].tolist()):
+                matrix, ids, starts, ends = _opened(path)
+                for token in wanted:
+                    for at in matrix.positions(token):
+                        nth = np.searchsorted(ends, at, side="right")
+                        yield pd.DataFrame({
+                            "token": token, "doc_id": ids.take(nth).reset_index(drop=True), "start": before + starts[nth], "position": at - starts[nth],
+                        })
+
+    return _files(manifest).mapInPandas(run, "token long, doc_id long, start long, position long")
 
 
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
