@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, shards, simhash, toxicity
-from tidemark.llm.common import settled, table
+from tidemark.llm.common import dropped, settled, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of all stages on the documents of `sf_dir`; each stage is written before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of all stages on the documents of `sf_dir`; each stage is written before the next reads it, and removed when the next is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
