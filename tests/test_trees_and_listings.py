@@ -108,3 +108,33 @@ def test_local_and_remote_variants_of_one_document(spark):
     store = spark.createDataFrame([], "chunk_id string, data binary")
     whole = pipelines.sync(local, remote.withColumn("version", F.lit(3)), local.select("doc_id", "content"), store, enforce=False)
     assert whole.documents.count() == 1 and whole.archives.count() <= 1 and whole.audit.count() == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 256])
+def test_events_do_not_depend_on_how_files_are_held(spark, buckets, monkeypatch):
+    monkeypatch.setattr(listings.change_events, "__defaults__", ("0 seconds", buckets))
+    steps = [
+        (0, [("a", "1"), ("b", None), ("c", "1"), ("d", "")]), (1, [("a", "1"), ("b", None), ("d", None), ("e", "1"), ("e", "2")]), (2, [("a", "2"), ("b", None), ("d", None), ("c", "1")]),
+        (3, [("b", "5"), ("c", "1")]), (4, [("z", "0")]), (5, [("z", "0")]),
+    ]
+    assert _events(spark, steps) == [
+        ("a", 0, "add", "1"), ("a", 2, "change", "2"), ("a", 2, "unlink", None), ("b", 0, "add", None), ("b", 3, "change", "5"), ("b", 3, "unlink", None),
+        ("c", 0, "add", "1"), ("c", 0, "unlink", None), ("c", 2, "add", "1"), ("c", 3, "unlink", None), ("d", 0, "add", ""), ("d", 1, "change", None),
+        ("d", 2, "unlink", None), ("e", 1, "add", "1"), ("e", 1, "unlink", None), ("z", 4, "add", "0"),
+    ]
+
+
+def test_a_listing_of_many_files_is_not_followed_file_by_file(spark, monkeypatch):
+    """Calls of the Python side follow the buckets, not the files."""
+    calls = spark.sparkContext.accumulator(0)
+    plain = listings._steps
+
+    def counted(*args):
+        calls.add(1)
+        return plain(*args)
+
+    monkeypatch.setattr(listings, "_steps", counted)
+    monkeypatch.setattr(listings.change_events, "__defaults__", ("0 seconds", 4))
+    files = [(f"f{i}", "1") for i in range(2_000)]
+    found = _events(spark, [(0, files), (1, files[:1_000]), (2, files[:1_000])])
+    assert len(found) == 3_000 and 0 < calls.value <= 4 * 4

@@ -112,6 +112,7 @@ def detect_changes_tree_whole(spark, d):
 
 
 _HOUR = 3_600_000
+_LISTING_FILES = 8
 
 
 view(
@@ -139,9 +140,9 @@ def change_stream_from_listings(spark, d):
     prev, curr = W.snapshots(spark, d)
     for k, listing in enumerate((prev, curr, prev, prev)):
         stamped = listing.select(F.timestamp_millis(F.lit(W.BASE_MS + k * _HOUR)).alias("listed_at"), "path", "hash", "mtime")
-        stamped.coalesce(1).write.mode("append").parquet(f"{out}/source")
+        stamped.repartition(_LISTING_FILES, "path").write.mode("append").parquet(f"{out}/source")
     schema = spark.read.parquet(f"{out}/source").schema
-    stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=1)
-    events = listings.change_events(stream, _HOUR)
+    stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=_LISTING_FILES)
+    events = listings.change_events(stream, _HOUR, "20 minutes")  # a batch may end inside a listing
     feeds.run_to_table(events, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return spark.read.schema(events.schema).parquet(f"{out}/table").select("path", "event", F.unix_millis("ts").alias("ts_ms"), "hash")
