@@ -232,3 +232,46 @@ def test_sync_with_merge_outcomes(spark):
         assert (got[name].hash, got[name].size, got[name].children) == (digest, len(text), [digest])
     plain = {r.doc_id: r.outcome for r in pipelines.sync_with_merge(local, remote, base, "keep-both", auto_merge=False).collect()}
     assert plain == {"new": "new", "same": "unchanged", "clean": "both", "mine": "both", "theirs": "both"}
+
+
+_PAIRS = [
+    (1, '{"a.b":1,"a":{"b":2,"c":null},"t":[1,{"x":1}],"":{"":1}}', '{"a":{"b":2.0,"c":1},"t":[{"x":1},3],"a.b":"1"}'),
+    (2, '{"a":{"b":{"c":1}},"x":{}}', '{"a":5,"x":{"y":true}}'),
+    (3, '{"a":[1]}', '{"a":{"b":{"c":{"d":"}{"}}}}'),
+    (4, "no json", '{"a":1}'), (5, '{"a":1}', None), (6, "[1]", '"text"'), (7, None, None), (8, "{}", "{}"),
+    (9, '{"a":{"b":1}}', '{"a":{"b":"1"}}'), (10, '{"q":"a\\\\","r":{"s":"\\"{{{"}}', '{"q":"a","r":{"s":1}}'),
+]
+
+
+def _plain_leaves(value, at=None):
+    for key, inner in value.items():
+        step = key.replace("\\", "\\\\").replace(".", "\\.")
+        path = step if at is None else f"{at}.{step}"
+        if isinstance(inner, dict):
+            yield from _plain_leaves(inner, path)
+        else:
+            yield path
+
+
+def test_leaves_are_those_of_a_plain_walk_and_kinds_are_read_once(spark):
+    df = spark.createDataFrame(_PAIRS, "id int, local string, remote string")
+    for side, at in (("local", 1), ("remote", 2)):
+        want = []
+        for row in _PAIRS:
+            try:
+                value = json.loads(row[at] or "")
+            except ValueError:
+                continue
+            want += [(row[0], path) for path in _plain_leaves(value)] if isinstance(value, dict) else []
+        found = J.json_leaves(df, "id", side)
+        assert sorted((r.id, r.json_path) for r in found.collect()) == sorted(want)
+        assert {r.kind for r in found.collect()} <= {"string", "number", "boolean", "null", "array"}
+        assert "schema_of_variant(value" not in found._jdf.queryExecution().analyzed().toString()
+    whole = J.json_leaves(df, "id", "remote", 1).filter("id = 2").collect()
+    assert sorted((r.json_path, r.kind) for r in whole) == [("a", "number"), ("x", "object")]
+
+
+def test_depth_of_long_strings(spark):
+    long = '{"a":"' + '\\\\\\"{' * 40_000 + '","b":{"c":{}}}'
+    df = spark.createDataFrame([(1, long, '{"a":1}')], "id int, local string, remote string")
+    assert J.json_depth(df, "local") == 3 and J.json_depth(df, "remote") == 1 and J.json_depth(df, "local", "remote") == 3

@@ -130,7 +130,8 @@ def merge_json_two_way(spark, d):
 )
 def merge_json_leaves(spark, d):
     sides = W.json_sides(spark, d)
-    local, remote = [J.json_leaves(sides, "o_orderkey", side) for side in ("local", "remote")]
+    depth = J.json_depth(sides, "local", "remote")
+    local, remote = [J.json_leaves(sides, "o_orderkey", side, depth) for side in ("local", "remote")]
     return J.merge_json_leaves(local, remote, "o_orderkey")
 
 
@@ -239,7 +240,8 @@ def merge_json_leaves_dotted(spark, d):
         return F.to_json(F.struct(own, F.struct(F.get_json_object(side, "$.customer.segment").alias("b")).alias("a"), F.struct(F.col("o_orderkey").alias("")).alias("c\\d")))
 
     texts = sides.select("o_orderkey", doc("local").alias("local"), doc("remote").alias("remote"))
-    local, remote = [J.json_leaves(texts, "o_orderkey", side) for side in ("local", "remote")]
+    depth = J.json_depth(texts, "local", "remote")
+    local, remote = [J.json_leaves(texts, "o_orderkey", side, depth) for side in ("local", "remote")]
     return J.merge_json_leaves(local, remote, "o_orderkey")
 
 
@@ -264,7 +266,8 @@ def _deep(spark, d):
 )
 def merge_json_leaves_deep(spark, d):
     sides = _deep(spark, d)
-    local, remote = [J.json_leaves(sides, "o_orderkey", side) for side in ("local", "remote")]
+    depth = J.json_depth(sides, "local", "remote")
+    local, remote = [J.json_leaves(sides, "o_orderkey", side, depth) for side in ("local", "remote")]
     return J.merge_json_leaves(local, remote, "o_orderkey")
 
 

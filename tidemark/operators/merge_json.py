@@ -28,13 +28,11 @@ def _number(text: str):
     return value
 
 
-def _load(text: str):
-    def no_constant(name):
-        raise ValueError(name)
-
-    return json.loads(text, parse_int=_number, parse_float=_number, parse_constant=no_constant)
+def _no_constant(name):
+    raise ValueError(name)
 
 
+_load = json.JSONDecoder(parse_int=_number, parse_float=_number, parse_constant=_no_constant).decode
 _quote = json.JSONEncoder(ensure_ascii=False).encode
 
 
@@ -182,16 +180,22 @@ def merge_json(df: DataFrame, prefer_remote: bool = False, with_base: bool = Tru
     )
 
 
-def json_depth(df: DataFrame, column: str) -> int:
-    """The deepest nesting of braces in a column of JSON texts, strings aside. One number comes to the driver."""
-    braces = F.regexp_replace(F.regexp_replace(column, r'"(\\.|[^"\\])*"', ""), "[^{}]", "")
+def _depth(column: str) -> Column:
+    """The deepest nesting of braces in a JSON text, strings aside; no step of it looks back, so long strings are no burden."""
+    plain = F.replace(F.replace(F.col(column), F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    braces = F.regexp_replace(F.regexp_replace(plain, '"[^"]*"', ""), "[^{}]+", "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(a: Column, brace: Column) -> Column:
         now = a.now + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(a.most, now).alias("most"))
 
-    return df.agg(F.max(F.aggregate(F.split(braces, ""), start, step).getField("most"))).first()[0] or 0
+    return F.aggregate(F.split(braces, ""), start, step).getField("most")
+
+
+def json_depth(df: DataFrame, *columns: str) -> int:
+    """The deepest nesting of braces in columns of JSON texts, strings aside. One number comes to the driver."""
+    return max(n or 0 for n in df.agg(*[F.max(_depth(c)) for c in columns]).first())
 
 
 # A key as one step of a path: dots and backslashes inside it are escaped, so `a.b` is not `b` in `a`.
@@ -203,27 +207,28 @@ def json_leaves(df: DataFrame, key: str, column: str, depth: int | None = None)
 
     `json_path` joins keys by dots; a dot or backslash of a key has a backslash before it.
     `kind` is string, number, boolean, null or array. Rows that do not parse as an object give nothing. Numbers
-    show their double value, so 1 and 1.0 agree. Each level unfolds the objects and passes everything else on, so
-    nothing is shuffled. The levels are as many as the deepest text needs, which one pass measures first; a
+    show their double value, so 1 and 1.0 agree. Each level unfolds what may be an object and passes everything else on, so
+    nothing is shuffled; what gave no keys is known as a leaf from then on, so kinds are read once, from leaves alone. The levels are as many as the deepest text needs, which one pass measures first; a
     caller who knows an upper bound passes it as `depth`. Objects below that stay whole, as kind object.
     """
     if depth is None:
         depth = json_depth(df, column)
     unfold = df.sparkSession.tvf.variant_explode_outer(F.col("_object").outer())
-    level = df.select(F.col(key), F.lit(None).cast("string").alias("_at"), F.try_parse_json(column).alias("_v"))
-    level = level.withColumn("schema", F.schema_of_variant("_v")).filter("startswith(schema, 'OBJECT')")
+    level = df.select(F.col(key), F.lit(None).cast("string").alias("_at"), F.try_parse_json(column).alias("_v"), F.lit(False).alias("_leaf"))
+    level = level.filter(F.col("_v").isNotNull() & F.col(column).rlike(r"\A\s*\{"))
     for _ in range(depth):
         level = (
-            level.withColumn("_object", F.expr("CASE WHEN startswith(schema, 'OBJECT') THEN _v END"))
+            level.withColumn("_object", F.expr("CASE WHEN NOT _leaf THEN _v END"))
             .lateralJoin(unfold)
-            .filter("key IS NOT NULL OR _object IS NULL")  # an empty object has no fields
+            .filter("key IS NOT NULL OR coalesce(pos, 0) = 0")  # an array is a leaf: the first of its items stands for it
             .selectExpr(
                 f"`{key}`",
                 f"CASE WHEN key IS NULL THEN _at WHEN _at IS NULL THEN {_STEP} ELSE concat(_at, '.', {_STEP}) END AS _at",
                 "CASE WHEN key IS NULL THEN _v ELSE value END AS _v",
-                "CASE WHEN key IS NULL THEN schema ELSE schema_of_variant(value) END AS schema",
+                "key IS NULL AS _leaf",
             )
         )
+    level = level.withColumn("schema", F.schema_of_variant("_v")).filter("NOT (_leaf AND startswith(schema, 'OBJECT'))")  # empty objects
     kind = """CASE WHEN schema = 'VOID' THEN 'null' WHEN schema = 'STRING' THEN 'string' WHEN schema = 'BOOLEAN' THEN 'boolean'
         WHEN schema LIKE 'ARRAY%' THEN 'array' WHEN schema LIKE 'OBJECT%' THEN 'object' ELSE 'number' END"""
     value = "CASE kind WHEN 'number' THEN CAST(try_variant_get(_v, '$', 'double') AS STRING) ELSE to_json(_v) END AS value"
