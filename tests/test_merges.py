@@ -275,3 +275,14 @@ def test_depth_of_long_strings(spark):
     long = '{"a":"' + '\\\\\\"{' * 40_000 + '","b":{"c":{}}}'
     df = spark.createDataFrame([(1, long, '{"a":1}')], "id int, local string, remote string")
     assert J.json_depth(df, "local") == 3 and J.json_depth(df, "remote") == 1 and J.json_depth(df, "local", "remote") == 3
+
+
+def test_a_row_needs_no_decoder_of_its_own(monkeypatch):
+    def refused(*args, **settings):
+        raise AssertionError("a decoder for one row")
+
+    monkeypatch.setattr(json, "JSONDecoder", refused)
+    local, remote = '{"b":"\\u2028\\"","10":1,"9":{"x":1e30},"n":1.0}', '{"n":1,"9":{"y":null,"x":1},"new":[true]}'
+    text, log = J._merge_pair(local, remote, None, True)
+    assert text.index('"9"') < text.index('"10"') < text.index('"b"') < text.index('"new"')
+    assert log == ["9.x: local=1e+30, remote=1"]

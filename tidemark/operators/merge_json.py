@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from decimal import Decimal
+from json.encoder import encode_basestring
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,12 @@ _quote = json.JSONEncoder(ensure_ascii=False).encode
 
 def _keys_in_order(fields: dict):
     """Whole-number keys come first, ascending, as in every JSON object that was parsed."""
-    if not any(k[:1].isdecimal() for k in fields):
+    if len(fields) < 2:
+        return fields
+    for k in fields:
+        if k[:1].isdecimal():
+            break
+    else:
         return fields
     numeric = sorted((k for k in fields if k.isdecimal() and str(int(k)) == k and int(k) <= K.MAX_INDEX_KEY), key=int)
     taken = set(numeric)
@@ -47,6 +53,8 @@ def _keys_in_order(fields: dict):
 
 def _scalar(value) -> str:
     """JSON text of a scalar; numbers are plain from 1e-6 to below 1e21, else with the shortest exponent."""
+    if isinstance(value, str):
+        return encode_basestring(value)
     if not isinstance(value, float):
         return _quote(value)
     digits, _, power = repr(value).partition("e")
@@ -60,7 +68,7 @@ def _text(value, indent: str | None = None) -> str:
     if isinstance(value, dict):
         colon = ":" if indent is None else ": "
         inner = None if indent is None else indent + "  "
-        items = [f"{_quote(k)}{colon}{_text(value[k], inner)}" for k in _keys_in_order(value)]
+        items = [f"{encode_basestring(k)}{colon}{_text(value[k], inner)}" for k in _keys_in_order(value)]
         ends = "{}"
     elif isinstance(value, list):
         inner = None if indent is None else indent + "  "
@@ -102,7 +110,6 @@ def _union(local: list, remote: list) -> list:
 
 def _merge_objects(local: dict, remote: dict, base, prefer_remote: bool, at: str, log: list[str]) -> dict:
     known = base if isinstance(base, dict) else None
-    both = local.keys() & remote.keys()
 
     def pick(key):
         mine, theirs = local[key], remote[key]
@@ -124,9 +131,8 @@ def _merge_objects(local: dict, remote: dict, base, prefer_remote: bool, at: str
         return theirs if prefer_remote else mine
 
     # Shared keys are visited in the remote order, which fixes the order of the messages.
-    picked = {k: pick(k) for k in _keys_in_order(remote) if k in both}
-    kept = {k: picked.get(k, local[k]) if k in both else local[k] for k in local}
-    return kept | {k: v for k, v in remote.items() if k not in both}
+    picked = {k: pick(k) for k in _keys_in_order(remote) if k in local}
+    return {**local, **picked, **{k: v for k, v in remote.items() if k not in picked}}
 
 
 def _as_object(value) -> dict:
