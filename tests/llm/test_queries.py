@@ -512,6 +512,30 @@ def test_op10_third_word_before_counts():
     assert last[0] != last[1]
 
 
+def test_op10_rows_grow_with_the_corpus():
+    sizes = [maxent.table_rows(n) for n in (0, 10**6, 10**8, 10**9, 10**12)]
+    assert sizes[:2] == [maxent.ROWS] * 2 and sizes[1] < sizes[2] < sizes[3] <= sizes[4] == maxent.MOST_ROWS
+    assert all(n & (n - 1) == 0 for n in sizes)
+    pairs = np.arange(maxent.CLASSES * maxent.MEMBERS)
+    held = [len(np.unique(maxent._class_rows(n, pairs, pairs[::-1], pairs)[1])) for n in sizes[1:4]]
+    assert held[0] < held[1] < held[2]
+
+
+def test_op10_updates_touch_the_rows_of_the_batch():
+    draw = np.random.default_rng(2)
+    rows, gradient = draw.integers(0, 1 << 14, (4, 300)), draw.normal(size=(300, 5)).astype(np.float32)
+    start = draw.normal(size=(1 << 14, 5)).astype(np.float32)
+    table, squares = start.copy(), np.zeros(1 << 14, np.float32)
+    maxent._updated(table, squares, rows, gradient)
+    summed = np.zeros(table.shape)
+    for r in rows:
+        np.add.at(summed, r, gradient)
+    past = (summed**2).mean(axis=1)
+    assert np.allclose(squares, past, rtol=1e-4)
+    assert np.allclose(table, start - maxent.RATE * summed / np.sqrt(past + 1)[:, None], rtol=1e-4, atol=1e-5)
+    assert (squares[np.setdiff1d(np.arange(1 << 14), rows)] == 0).all()
+
+
 def test_op10_chances_sum_to_one(spark, docs):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     counts = {bytes(r[0]): r[1] for r in maxent.word_counts(frame, "text").collect()}

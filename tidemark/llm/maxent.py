@@ -23,7 +23,8 @@ HEAD = 200_000  # most frequent words at most that every worker knows by heart;
 LONGEST = 64  # bytes of a head word, so that the head has a greatest size
 CLASSES, MEMBERS = 32, 32  # frequent words: classes of so many words each
 RARE = 32  # classes of all other words, by a hash of their last two bytes
-ROWS = 1 << 12  # hashed feature rows of either table, a power of two
+ROWS, MOST_ROWS = 1 << 12, 1 << 16  # hashed feature rows of either table, a power of two: the least, and the most that each worker holds
+TOKENS_A_ROW = 1 << 13  # training tokens for each row between these bounds
 ROUNDS = (1, 3, 12)  # sixteenths of the training documents in each round of gradient updates
 RATE, BATCH = 0.15, 8_192
 _BOUND = np.float32(60.0)  # of logits; those of trained weights lie far inside
@@ -83,8 +84,8 @@ class Vocabulary:
         """Symbol of each word, and its place in the head or -1."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         out = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int64)
-        for i in np.flatnonzero(at < 0).tolist():
-            out[i] = CLASSES * MEMBERS + rare_class(words[i])
+        away = np.flatnonzero(at < 0)
+        out[away] = CLASSES * MEMBERS + np.array([rare_class(words[i]) for i in away.tolist()], np.int64)
         return out, at
 
 
@@ -138,16 +139,21 @@ class Weights:
     members: np.ndarray
 
     @classmethod
-    def zero(cls) -> Weights:
-        return cls(np.zeros((ROWS, CLASSES + RARE), np.float32), np.zeros((ROWS, MEMBERS), np.float32))
+    def zero(cls, rows: int = ROWS) -> Weights:
+        return cls(np.zeros((rows, CLASSES + RARE), np.float32), np.zeros((rows, MEMBERS), np.float32))
 
 
-def _row(kind: int, *parts) -> np.ndarray:
+def table_rows(tokens: int) -> int:
+    """Rows of either table for so many training tokens: they grow with the corpus, so contexts share a row no more often."""
+    return min(max(1 << max(tokens // TOKENS_A_ROW, 1).bit_length() - 1, ROWS), MOST_ROWS)
+
+
+def _row(size: int, kind: int, *parts) -> np.ndarray:
     value = np.uint64(kind * 0x9E3779B97F4A7C15 & (2**64 - 1))
     for p in parts:
         value = (value ^ p.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
         value = value ^ (value >> np.uint64(32))
-    return (value & np.uint64(ROWS - 1)).astype(np.int64)
+    return (value & np.uint64(size - 1)).astype(np.int64)
 
 
 def contexts(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,14 +168,14 @@ def contexts(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return tuple(out)
 
 
-def _class_rows(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+def _class_rows(size: int, one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
     """Feature rows of each token: word before, both words before, the second before (skip), first and third (skip)."""
-    return np.stack([_row(1, one), _row(2, one, two), _row(3, two), _row(4, one, three)])
+    return np.stack([_row(size, 1, one), _row(size, 2, one, two), _row(size, 3, two), _row(size, 4, one, three)])
 
 
-def _member_rows(cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def _member_rows(size: int, cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """The same for a member inside its class: the class with the word before, and with the second before (skip)."""
-    return np.stack([_row(5, cls, one), _row(6, cls, two)])
+    return np.stack([_row(size, 5, cls, one), _row(size, 6, cls, two)])
 
 
 def _logits(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -200,14 +206,21 @@ def _log_chance(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _updated(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """Adds a batch's gradient to the feature rows it touches; steps shrink with a row's past gradients."""
-    flat = rows.reshape(-1)
-    summed = np.empty((gradient.shape[1], ROWS), np.float32)
-    for at, column in enumerate(np.ascontiguousarray(gradient.T, np.float64)):
-        summed[at] = np.bincount(flat, np.concatenate((column,) * len(rows)), ROWS)
-    squares += np.square(summed).mean(axis=0)
-    summed *= RATE / np.sqrt(squares + 1.0)
-    table -= summed.T
+    """Adds a batch's gradient to the feature rows it touches, and to these alone; steps shrink with a row's past gradients."""
+    there = np.zeros(len(table), bool)
+    there[rows] = True
+    touched = np.flatnonzero(there)
+    place = np.empty(len(table), np.int64)
+    place[touched] = np.arange(len(touched))
+    flat = place[rows].reshape(-1)
+    summed, repeated = np.empty((gradient.shape[1], len(touched)), np.float32), np.empty(rows.shape)
+    for at, column in enumerate(np.ascontiguousarray(gradient.T)):
+        repeated[:] = column
+        summed[at] = np.bincount(flat, repeated.reshape(-1), len(touched))
+    past = squares[touched] + np.square(summed).mean(axis=0)
+    squares[touched] = past
+    summed *= RATE / np.sqrt(past + 1.0)
+    table[touched] -= summed.T
 
 
 def _batches(texts: Iterator[str | None], known: Vocabulary, size: int):
@@ -234,7 +247,8 @@ def _symbols(group: list[list[bytes]], known: Vocabulary) -> tuple[np.ndarray, n
 def learn(texts: Iterator[str | None], known: Vocabulary, weights: Weights) -> int:
     """Gradient updates over the texts, in place; gives the number of tokens."""
     seen = 0
-    squares = np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)
+    size = len(weights.classes)
+    squares = np.zeros(size, np.float32), np.zeros(size, np.float32)
     for group in _batches(texts, known, 4 * BATCH):
         symbols, _, starts = _symbols(group, known)
         one, two, three = contexts(symbols, starts)
@@ -244,13 +258,13 @@ def learn(texts: Iterator[str | None], known: Vocabulary, weights: Weights) -> i
             s = symbols[part]
             often = s < CLASSES * MEMBERS
             cls = np.where(often, s // MEMBERS, s - CLASSES * MEMBERS + CLASSES)
-            rows = _class_rows(one[part], two[part], three[part])
+            rows = _class_rows(size, one[part], two[part], three[part])
             chance = _chances(_logits(weights.classes, rows, known.class_bias))
             chance[np.arange(len(s)), cls] -= 1.0
             _updated(weights.classes, squares[0], rows, chance)
             if often.any():
                 c, m = cls[often], s[often] % MEMBERS
-                rows = _member_rows(c, one[part][often], two[part][often])
+                rows = _member_rows(size, c, one[part][often], two[part][often])
                 chance = _chances(_logits(weights.members, rows, known.member_bias[c]))
                 chance[np.arange(len(c)), m] -= 1.0
                 _updated(weights.members, squares[1], rows, chance)
@@ -260,16 +274,16 @@ def learn(texts: Iterator[str | None], known: Vocabulary, weights: Weights) -> i
 def log_chances(symbols: np.ndarray, starts: np.ndarray, known: Vocabulary, weights: Weights) -> np.ndarray:
     """Decimal logarithm of each token's class, and of its member if frequent; without the word inside a rare class."""
     one, two, three = contexts(symbols, starts)
-    out = np.empty(len(symbols))
+    out, size = np.empty(len(symbols)), len(weights.classes)
     for at in range(0, len(symbols), BATCH):
         part = slice(at, at + BATCH)
         s = symbols[part]
         often = s < CLASSES * MEMBERS
         cls = np.where(often, s // MEMBERS, s - CLASSES * MEMBERS + CLASSES)
-        got = _log_chance(_logits(weights.classes, _class_rows(one[part], two[part], three[part]), known.class_bias), cls)
+        got = _log_chance(_logits(weights.classes, _class_rows(size, one[part], two[part], three[part]), known.class_bias), cls)
         if often.any():
             c = cls[often]
-            inner = _logits(weights.members, _member_rows(c, one[part][often], two[part][often]), known.member_bias[c])
+            inner = _logits(weights.members, _member_rows(size, c, one[part][often], two[part][often]), known.member_bias[c])
             got[often] += _log_chance(inner, s[often] % MEMBERS)
         out[part] = got
     return out / np.log(10.0)
@@ -283,7 +297,9 @@ def train(docs: DataFrame, known: Vocabulary, text: str) -> Weights:
     tasks are made in two levels, so that no task reads more than about `_FAN_IN` pieces.
     """
     spark = docs.sparkSession
-    shared, weights, begin = spark.sparkContext.broadcast(known), Weights.zero(), 0
+    rows = table_rows(known.tokens)
+    blocks = _BLOCKS * rows // ROWS  # larger tables have more blocks, not larger ones
+    shared, weights, begin = spark.sparkContext.broadcast(known), Weights.zero(rows), 0
     slices = F.pmod(F.xxhash64(text, F.lit("round")), F.lit(sum(ROUNDS)))
     for width in ROUNDS:
         start = spark.sparkContext.broadcast(weights)
@@ -294,8 +310,9 @@ def train(docs: DataFrame, known: Vocabulary, text: str) -> Weights:
             own = Weights(start.value.classes.copy(), start.value.members.copy())
             seen = learn((t for b in batches for t in b.iloc[:, 0]), shared.value, own)
             if seen:
-                flat = np.concatenate((own.classes.ravel(), own.members.ravel())).reshape(_BLOCKS, -1)
-                yield pd.DataFrame({"block": range(_BLOCKS), "team": TaskContext.get().partitionId(), "tokens": seen, "sums": [x.tobytes() for x in flat]})
+                flat = np.concatenate((own.classes.ravel(), own.members.ravel())).reshape(blocks, -1)
+                for block, values in enumerate(flat):
+                    yield pd.DataFrame({"block": [block], "team": TaskContext.get().partitionId(), "tokens": seen, "sums": [values.tobytes()]})
 
         def adder(kind: type, weighted: bool):
             def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -311,19 +328,19 @@ def train(docs: DataFrame, known: Vocabulary, text: str) -> Weights:
 
         parts = part.mapInPandas(run, _SUMS)
         teams = max(1, -(-part.rdd.getNumPartitions() // _FAN_IN))  # an empty table may have no partition
-        parts = parts.withColumn("team", F.col("team") % teams).repartition(_BLOCKS * teams, "block", "team").mapInPandas(adder(np.float32, True), _SUMS)
+        parts = parts.withColumn("team", F.col("team") % teams).repartition(blocks * teams, "block", "team").mapInPandas(adder(np.float32, True), _SUMS)
         if teams > 1:
-            parts = parts.withColumn("team", F.lit(0)).repartition(_BLOCKS, "block").mapInPandas(adder(np.float64, False), _SUMS)
+            parts = parts.withColumn("team", F.lit(0)).repartition(blocks, "block").mapInPandas(adder(np.float64, False), _SUMS)
         merged = parts.collect()
         if merged:
-            flat = np.concatenate([np.frombuffer(r["sums"], np.float64) / r["tokens"] for r in sorted(merged, key=lambda r: r["block"])])
-            cut = ROWS * (CLASSES + RARE)
-            weights = Weights(flat[:cut].reshape(ROWS, -1).astype(np.float32), flat[cut:].reshape(ROWS, -1).astype(np.float32))
+            flat = np.concatenate([(np.frombuffer(r["sums"], np.float64) / r["tokens"]).astype(np.float32) for r in sorted(merged, key=lambda r: r["block"])])
+            cut = rows * (CLASSES + RARE)
+            weights = Weights(flat[:cut].reshape(rows, -1), flat[cut:].reshape(rows, -1))
         start.unpersist()
     return weights
 
 
-_BLOCKS, _FAN_IN = 16, 512
+_BLOCKS, _FAN_IN = 16, 512  # blocks of tables of `ROWS` rows
 _SUMS = "block int, team int, tokens long, sums binary"
 
 
