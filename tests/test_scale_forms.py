@@ -114,6 +114,22 @@ def test_events_of_one_midnight_are_spread(spark):
             spark.conf.set(key, value)
 
 
+def test_tasks_of_a_calendar_follow_its_runs(spark, monkeypatch, rows):
+    schedules = spark.createDataFrame([(f"s{i}", "interval", 60_000 * (i + 1), None, True) for i in range(4)] + [("c", "cron", None, "*/10 * * * *", True)],
+                                      "name string, type string, interval_ms long, cron string, enabled boolean")
+    changes = spark.range(500).select(F.concat(F.lit("s"), F.col("id") % 4).alias("schedule"), F.timestamp_millis(F.col("id") * 40_000).alias("ts"))
+    load = lambda: H.changes_per_run(changes, schedules, 0, 86_400_000, n=1)
+    whole = load()
+    n = whole.count()
+    assert abs(H._run_estimate(H._usable(schedules), 0, 86_400_000) - n) < n // 20
+    assert "REPARTITION_BY_NUM" not in whole._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(H, "RUNS_A_TASK", 500)
+    cut = load()
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert f"{-(-n // 500)}), REPARTITION_BY_NUM" in plan
+    assert rows(cut) == rows(whole)
+
+
 def test_queue_carried_from_hour_to_hour(spark):
     draw = random.Random(5)
     runs, want = [], []

@@ -14,6 +14,7 @@ from tidemark import constants as K
 from tidemark.functions.cron import FIELD_BOUNDS, cron_fields, field_values
 
 _HOUR_MS = 3_600_000
+RUNS_A_TASK = 1 << 20  # runs that a task sorts and carries at once, on average
 
 
 def with_cron_values(schedules: DataFrame, full: bool = False) -> DataFrame:
@@ -174,6 +175,14 @@ def _next_days(rules: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     return days.selectExpr("schedule", "_day", first).select("schedule", "_day", F.min("_first").over(after).alias("_next"))
 
 
+def _run_estimate(rules: DataFrame, start_ms: int, end_ms: int) -> int:
+    """About how many runs the rules have from start to end: a day's runs by the share of days on which a cron schedule fires (this acts)."""
+    days = (end_ms - start_ms) / 86_400_000
+    cron = f"size(hours) * size(minutes) * {days} * size(days) / 31 * size(months) / 12 * size(weekdays) / 7"
+    runs = F.expr(f"CASE type WHEN 'interval' THEN {end_ms - start_ms} / interval_ms ELSE {cron} END")
+    return int(rules.agg(F.sum(runs)).first()[0] or 0)
+
+
 def changes_per_run(
     changes: DataFrame,
     schedules: DataFrame,
@@ -189,7 +198,8 @@ def changes_per_run(
     day by arithmetic on the row, else on the next day of the horizon on which the schedule fires. A change
     without a run before the end is in no row. Changes are counted per run or day inside each task before they
     are gathered, so a schedule with a third of all changes sends few rows. What a run leaves over is summed hour by hour, the hours of one
-    schedule at the same time, and carried from hour to hour, so a dense schedule is many tasks' work.
+    schedule at the same time, and carried from hour to hour, so a dense schedule is many tasks' work. Runs are estimated first (this acts)
+    and dealt out to as many tasks: their rows compress so well that tasks of equal shuffled bytes would hold too many.
     """
     grid = f"""timestamp_millis({start_ms}L +
         ((unix_millis(_when) - {start_ms}L) DIV interval_ms + 1) * interval_ms)"""
@@ -213,16 +223,18 @@ def changes_per_run(
         .join(arrivals, ["schedule", "run_ts"], "left")
         .withColumn("arrived", F.coalesce("arrived", F.lit(0)))
     )
-    return carry_over(runs, n)
+    return carry_over(runs, n, -(-_run_estimate(rules, start_ms, end_ms) // RUNS_A_TASK))
 
 
-def carry_over(runs: DataFrame, n: int) -> DataFrame:
+def carry_over(runs: DataFrame, n: int, tasks: int = 1) -> DataFrame:
     """Runs `(schedule, run_ts, arrived)` with `taken`, at most `n`, and `left_over` for the next run of the schedule.
 
     A queue's length is the sum of what came and went, less its lowest point so far. Both add up over pieces of time: each hour of a schedule is
-    summed by itself, a row for each hour is carried along the schedule, and what is left at an hour's start enters its runs.
+    summed by itself, a row for each hour is carried along the schedule, and what is left at an hour's start enters its runs. Hours are dealt
+    out to so many `tasks`, if to more than one.
     """
     cut = runs.withColumn("_hour", F.date_trunc("HOUR", "run_ts"))
+    cut = cut.repartition(tasks, "schedule", "_hour") if tasks > 1 else cut
     by_time = Window.partitionBy("schedule", "_hour").orderBy("run_ts")
     upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
     cut = cut.withColumn("_s", F.sum(F.col("arrived") - n).over(upto)).withColumn("_low", F.least(F.lit(0), F.min("_s").over(upto)))
