@@ -173,6 +173,18 @@ def test_fetch_of_many_moves_no_bytes_before_it_knows(spark, big_store, monkeypa
         assert not any("data#" in lines[i + 1] for i, line in enumerate(lines) if "Exchange" in line)
 
 
+def test_fetch_sends_few_ids_through_the_driver(spark, big_store, monkeypatch):
+    assert C.MAX_BROADCAST_IDS * C.MAX_GROUPS * 80 <= 16 << 20  # bytes of ids that one fetch may broadcast
+    scale = C.MAX_BROADCAST_IDS // 200
+    monkeypatch.setattr(C, "MAX_LISTED_IDS", 50)
+    monkeypatch.setattr(C, "MAX_BROADCAST_IDS", C.MAX_BROADCAST_IDS // scale)
+    wanted = big_store.select("chunk_id")
+    assert wanted.count() > C.MAX_BROADCAST_IDS * C.MAX_GROUPS
+    found = C.fetch(big_store, wanted, digits=1)
+    assert "rightHint=(strategy=broadcast)" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == wanted.count()
+
+
 def test_new_chunks_against_a_fetched_store(spark, big_store):
     known = [r[0] for r in big_store.select("chunk_id").limit(20).collect()]
     mine = spark.createDataFrame([(i, b"a") for i in (*known, "new", "new")], "chunk_id string, data binary")

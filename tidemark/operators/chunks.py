@@ -21,8 +21,8 @@ BUCKET_DIGITS = 2
 
 
 # Wanted ids up to the first number are written into the scan's own filter; up to the second they are broadcast, for up to
-# so many groups of folders one after the other.
-MAX_LISTED_IDS, MAX_BROADCAST_IDS, MAX_GROUPS = 1_000, 500_000, 32
+# so many groups of folders one after the other. So a fetch sends at most some twelve megabytes through the driver, whatever is wanted.
+MAX_LISTED_IDS, MAX_BROADCAST_IDS, MAX_GROUPS = 1_000, 50_000, 2
 
 
 def bucketed(df: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
@@ -92,7 +92,7 @@ def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> D
     The wanted ids are gathered first (this acts), up to `MAX_BROADCAST_IDS` in the driver. A few of them become a filter of the scan, which sorted ids
     and bloom filters answer without reading other row groups (see `sinks.write_chunks`). More are broadcast, those of a group of folders
     to the scan of these folders, so stored bytes are never shuffled before they are known to be wanted. Beyond
-    `MAX_GROUPS` such groups most of the store is wanted, and the join decides. Folders without a wanted id are not read.
+    `MAX_GROUPS` such groups the ids are joined, by folder and id, and the stored bytes of the wanted folders are shuffled for it. Folders without a wanted id are not read.
     A store without `bucket` is one folder.
 
     Meant for stored tables: a store or files that are still to be computed are computed for the ids as well.
@@ -102,7 +102,7 @@ def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> D
     has_folders = "bucket" in store.columns
     on = ["bucket", "chunk_id"] if has_folders else ["chunk_id"]
     ids = wanted.select("chunk_id").filter(F.col("chunk_id").isNotNull()).distinct()
-    some = ids.limit(MAX_BROADCAST_IDS + 1).toArrow()  # at most some forty megabytes
+    some = ids.limit(MAX_BROADCAST_IDS + 1).toArrow()  # at most some four megabytes
     if some.num_rows <= MAX_BROADCAST_IDS:
         known = some.column(0).to_pylist()
         named = store.filter(F.col("bucket").isin(sorted({i[-digits:] for i in known}))) if has_folders else store
