@@ -138,6 +138,14 @@ def test_op4_words_alone_are_coded_as_in_whole_texts(docs):
         assert np.frombuffer(mine.encode(text), np.uint16).tolist() == coder.encode(text or "", add_special_tokens=False).ids
 
 
+def test_op4_known_words_are_not_cut_again(monkeypatch):
+    mine = wavelet.Encoder(public_tokenizers.path(wavelet.TOKENIZER))
+    first = mine.encode("Don't stop\tit's 12 o'clock\n" + "x" * 100)
+    monkeypatch.setattr(wavelet, "_PIECES", None)
+    assert mine.encode("don't STOP it's 12 o'clock") == first[: len(mine.encode("Don't stop it's 12 o'clock"))]
+    assert max(map(len, mine.simple)) <= wavelet._LONGEST
+
+
 @pytest.mark.parametrize("size,symbols", [(0, 1), (1, 1), (513, 1), (2_000, 2), (5_000, 300)])
 def test_op4_rank_select_access(size, symbols):
     ids = np.random.default_rng(size).integers(0, symbols, size).astype(np.uint16) * 7

@@ -8,6 +8,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -47,14 +48,28 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SPELLED)
-        ids = np.array([t.id for t in self.tokenize(spelled)], np.uint16).tobytes()
+        ids = array("H", [t.id for t in self.tokenize(spelled)]).tobytes()
         if len(piece) <= _LONGEST:
             self[piece] = ids
         return ids
 
 
+class _Words(dict):
+    """Ids of lower-cased words of simple characters, joined from their pieces when they are first met."""
+
+    def __init__(self, pieces: _Pieces):
+        super().__init__()
+        self.piece = pieces.__getitem__
+
+    def __missing__(self, word: str) -> bytes:
+        ids = b"".join(map(self.piece, _PIECES(word)))
+        if len(word) <= _LONGEST:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
-    """Ids of whole texts by the public tokenizer, each piece encoded once and remembered.
+    """Ids of whole texts by the public tokenizer, each piece and each word encoded once and remembered.
 
     The tokenizer never merges across white space, and it splits words into letters, single digits and signs
     before it merges; so the ids of a text are those of its pieces in order. A test holds this against whole texts.
@@ -67,6 +82,7 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
         self.pieces = _Pieces(self.whole.model)
+        self.simple = _Words(self.pieces)
         self.words: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bool:
@@ -75,7 +91,7 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         """A word that may have any characters."""
         if self._plain(word):
-            return b"".join(map(self.pieces.__getitem__, _PIECES(word.lower())))
+            return self.simple[word.lower()]
         known = self.words.get(word)
         if known is None:
             known = np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint16).tobytes()
@@ -87,11 +103,11 @@ class Encoder:
         """The ids of a text as little-endian 16-bit numbers; none for null and empty texts."""
         if not text:
             return b""
-        for known in (self.pieces, self.words):
+        for known in (self.pieces, self.simple, self.words):
             if len(known) > _CACHED:
                 known.clear()
-        if self._plain(text):
-            return b"".join(map(self.pieces.__getitem__, _PIECES(text.lower())))
+        if self._plain(text):  # of white space, simple characters are those alone that end a word
+            return b"".join(map(self.simple.__getitem__, text.lower().split()))
         return b"".join([self._word(w) for w in _WORDS(text)])
 
 
