@@ -4,6 +4,7 @@ import datetime
 import functools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,62 @@ def test_texts_without_candidates_are_not_read(spark):
     assert "PartitionFilters: []" not in scan
 
 
+def _plain_lists(texts, blocks):
+    found = {}
+    for doc, text in texts:
+        for line in text.split("\n"):
+            for i in range(len(line)):
+                found.setdefault((line[i : i + N.N], doc % blocks), set()).add(doc)
+    return found
+
+
+@pytest.mark.parametrize("letters,blocks", [("ab\n", 1), ("aé\U0001F600\0\n", 3), ("".join(map(chr, range(32, 50_000))) + "\n" * 9_000, 2), ("\n", 1)])
+def test_lists_of_a_few_texts_hold_each_gram_of_their_lines(letters, blocks):
+    draw = random.Random(5)
+    held = [(draw.randrange(-40, 40) * 7919, "".join(draw.choices(letters, k=draw.randrange(90)))) for _ in range(120)] + [(-(1 << 63), "ab"), (1, "")]
+    rows = N._lists(held, blocks).to_pylist()
+    assert len({(r["gram"], r["block"]) for r in rows}) == len(rows)
+    assert all(len(set(r["docs"])) == len(r["docs"]) for r in rows)
+    assert {(r["gram"], r["block"]): set(r["docs"]) for r in rows} == _plain_lists(held, blocks)
+
+
+def test_more_letters_than_pairs_can_number():
+    # 300,000 letters and 700 texts: gram and doc do not fit one number side by side.
+    wide = "".join(chr(c) for c in range(0x10000, 0x10000 + 300_000))
+    held = [(i, wide[i * 420 : i * 420 + 450] + "tail") for i in range(700)]
+    rows = N._lists(held, 2).to_pylist()
+    assert {(r["gram"], r["block"]): set(r["docs"]) for r in rows} == _plain_lists(held, 2)
+
+
+def test_lists_are_made_in_batches_and_texts_move_once_to_their_queries(spark):
+    texts = spark.createDataFrame([("a.md", "x\U0001F600yz"), ("b.md", None)], "path string, content string")
+    lists = N.posting_lists(texts)
+    assert sorted(r.gram for r in lists.collect()) == sorted(["x\U0001F600y", "\U0001F600yz", "yz", "z"])
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all" not in plan
+    stored, lists = _index(spark, [(f"100/{i}.md", f"common words {i}") for i in range(50)])
+    asked = spark.createDataFrame([(i, f"words {i}") for i in range(9)], "query_id int, query string")
+    plan = N.search_many(stored, lists, asked, enforce=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("lower(content") == 1
+
+
+def test_hits_given_on_at_once_are_bounded(monkeypatch):
+    lines = [["Ab", "b", "ab\u03b1"], [""], ["zab", "AB"]]
+    asked = [["ab", "q", "b"], ["a"], ["ab"]]
+    low = pa.array(["\n".join(text).lower() for text in lines])
+    batch = pa.record_batch([pa.array(["p", "q", "r"]), low, pa.array(lines), pa.array([[1, 2, 3], [4], [None]], pa.list_(pa.int32())), pa.array(asked)],
+                            ["path", "low", "lines", "ids", "needles"])
+    want = [(1, "p", [(1, "Ab"), (3, "ab\u03b1")]), (3, "p", [(1, "Ab"), (2, "b"), (3, "ab\u03b1")]), (None, "r", [(1, "zab"), (2, "AB")])]
+    for most, batches, cut in ((1 << 24, 1, None), (1, 3, None), (1, 3, 1)):
+        monkeypatch.setattr(N, "FOUND_AT_ONCE", most)
+        out = list(N._tested(cut)(iter([batch, batch.slice(0, 0)])))
+        assert len(out) == batches
+        got = [(r["query_id"], r["path"], [(h["line"], h["text"]) for h in r["matches"]]) for b in out for r in b.to_pylist()]
+        assert got == [(q, path, hits[:cut]) for q, path, hits in want]
+        sliced = [r["path"] for b in N._tested(cut)(iter([batch.slice(2)])) for r in b.to_pylist()]
+        assert sliced == ["r"]
+
+
 def _allowed(path, prefixes):
     return any(path.lower().replace("\\", "/").split("/")[0].startswith(p.lower()) for p in prefixes)
 
