@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.catalog import merges
 from tidemark.operators import audit as G
 from tidemark.operators import postings as N
 from tidemark.operators import schedules as H
 from tidemark.operators import scopes as S
 from tidemark.operators import search as Q
+from tidemark.plans import views as W
 from tidemark.session import work_dir
 from tidemark.streaming import newest
 
@@ -233,3 +235,12 @@ def test_newest_rows_of_a_repeated_and_merged_log(spark, rows):
         assert spark.read.parquet(f"{out}/batches").select("batch").distinct().count() <= 4
     with pytest.raises(ValueError):
         newest.keep_newest(None, out, out, merge_every=0)
+
+
+def test_sides_of_a_sync_are_made_without_bringing_texts_together(spark, rows):
+    d = "/root/testdata/sf0.001"
+    plan = merges._sync(spark, d)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # with the labels
+    kept = ["doc_id", "local_mtime", "remote_mtime"]
+    joined = merges._routed(spark, d).join(W.merge_sides(spark, d).select("n", *kept), "n")
+    assert rows(merges._routed(spark, d, *kept).select(joined.columns)) == rows(joined)

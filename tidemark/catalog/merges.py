@@ -142,10 +142,10 @@ def json_leaves(spark, d):
     return J.json_leaves(W.read(spark, d, "events").select("event_id", "props"), "event_id", "props")
 
 
-def _routed(spark, d):
-    """Markdown with front matter, JSON for half the `.json` files, prose for the others."""
+def _routed(spark, d, *kept):
+    """Markdown with front matter, JSON for half the `.json` files, prose for the others; `kept` names further columns of the sides."""
     sides = W.merge_sides(spark, d)
-    heads = W.front_matter_sides(spark, d)
+    heads = W.front_matter_sides(spark, d, *kept)
     n = F.col("n")
     is_md, is_json = n % 4 == 0, n % 8 == 2
 
@@ -153,7 +153,7 @@ def _routed(spark, d):
         return F.to_json(F.struct(n.alias("n"), shared.alias("who"), F.array(F.lit(side)).alias("tags")))
 
     plain = sides.filter(~is_md).select(
-        "n", "path",
+        "n", "path", *kept,
         *[
             F.when(is_json, json_doc(c, F.when(n % 3 == 0, F.lit(c)).otherwise(F.lit("same")))).otherwise(F.col(c)).alias(c)
             for c in ("base", "local", "remote")
@@ -337,7 +337,7 @@ view(
 
 def _sync(spark, d):
     """Remote documents (of all labelled files) with their chunks, and what a sync of all files over them writes."""
-    sides = _routed(spark, d).join(W.merge_sides(spark, d).select("n", "doc_id", "local_mtime", "remote_mtime"), "n")
+    sides = _routed(spark, d, "doc_id", "local_mtime", "remote_mtime")
     local = sides.select("doc_id", "path", F.col("local").alias("content"), F.col("local_mtime").alias("mtime"))
     labels = W.read(spark, d, "labels").select(F.col("doc_id").alias("n"), (F.col("quality") + 1).cast("int").alias("version"))
     texts = sides.join(labels, "n").select("doc_id", "path", F.col("remote").alias("content"), F.col("remote_mtime").alias("mtime"), "version")

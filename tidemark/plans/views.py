@@ -129,8 +129,8 @@ def replicas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return local, remote
 
 
-def front_matter_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge sides whose texts begin with front matter that differs from side to side."""
+def front_matter_sides(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+    """Merge sides whose texts begin with front matter that differs from side to side; `kept` names further columns of theirs."""
     sides = merge_sides(spark, sf_dir)
     n = F.col("n")
 
@@ -147,7 +147,7 @@ def front_matter_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("added: "), n.cast("string"), F.lit("\ntitle2: a: b\n")),
     )
     return sides.select(
-        "n", "path",
+        "n", "path", *kept,
         F.concat(base, "base").alias("base"),
         F.concat(mine, "local").alias("local"),
         F.concat(theirs, "remote").alias("remote"),
