@@ -190,3 +190,56 @@ def test_new_chunks_against_a_fetched_store(spark, big_store):
     mine = spark.createDataFrame([(i, b"a") for i in (*known, "new", "new")], "chunk_id string, data binary")
     ids = C.fetch(big_store.select("bucket", "chunk_id"), mine, digits=1)
     assert [r.chunk_id for r in C.new_chunks(mine, ids, digits=1).collect()] == ["new"]
+
+
+def _moved(df):
+    """What each exchange of a plan moves, as schemas; joins of small sides are taken for joins of large ones."""
+    spark = df.sparkSession
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        todo, found = [df.select("*")._jdf.queryExecution().executedPlan()], []
+        while todo:
+            node = todo.pop()
+            below = node.children()
+            todo += [below.apply(i) for i in range(below.size())]
+            if node.nodeName() == "Exchange":
+                found.append(node.schema().simpleString())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    return found
+
+
+def test_bytes_of_new_chunks_move_once(spark, big_store, tmp_path):
+    big_store.filter("chunk_id < '8'").select("chunk_id", "data").write.parquet(str(tmp_path / "own"))
+    own = spark.read.parquet(str(tmp_path / "own"))
+    fresh = C.new_chunks(own, big_store.filter("chunk_id < '4'"), digits=1)
+    assert sum("binary" in moved for moved in _moved(fresh)) == 1
+    assert fresh.count() == own.filter("chunk_id >= '4'").count() > 0
+
+
+def test_bytes_of_files_move_twice_and_rest_between(spark, tmp_path):
+    _files(spark).write.parquet(str(tmp_path / "files"))
+    _store(spark).write.parquet(str(tmp_path / "store"))
+    files, store = spark.read.parquet(str(tmp_path / "files")).drop("data"), spark.read.parquet(str(tmp_path / "store"))
+    assert sum("binary" in moved for moved in _moved(C.reassemble(files, store))) == 2
+    held = []
+
+    def hold(found):
+        held.append(found.columns)
+        found.write.parquet(str(tmp_path / "held"))
+        return spark.read.schema(found.schema).parquet(str(tmp_path / "held"))
+
+    again = C.reassemble(files, store, hold=hold)
+    assert sum("binary" in moved for moved in _moved(again)) == 1 and held == [["doc_id", "path", "pos", "data"]]
+    assert _by_id(again) == _by_id(C.reassemble(files, store))
+
+
+def test_files_without_a_path_or_a_key_get_their_bytes(spark):
+    files = spark.createDataFrame(
+        [("x", None, ["1"], 1, None), (None, "x", ["2"], 1, None), (None, None, ["1", "2"], 2, None), ("x", "x", ["2", "1"], 2, None)], FILES)
+    store = spark.createDataFrame([("1", b"A"), ("2", b"B")], "chunk_id string, data binary")
+    out = {(r.doc_id, r.path): bytes(r.content) for r in C.reassemble(files, store).collect()}
+    assert out == {("x", None): b"A", (None, "x"): b"B", (None, None): b"AB", ("x", "x"): b"BA"}

@@ -1,8 +1,10 @@
 """Cases that the given tables are too tame to show."""
 
 import datetime
+import hashlib
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tidemark.operators.filters import valid_paths
 from tidemark.operators.reports import batch_outcome
 from tidemark.operators.scopes import scope_filter, scope_verdict
 from tidemark.plans.pipelines import pull, push
+from tidemark.session import shuffles_removed
 from tidemark.sources import sinks
 from tidemark.streaming import feeds, remote
 
@@ -193,3 +196,59 @@ def test_a_lost_chunk_is_not_waited_for_for_ever(spark, tmp_path):
     first = [file_row("a", ["c1", "c2"], 0), chunk_row("c1", b"one")]
     out = follow(spark, str(tmp_path), first, [chunk_row("c3", b"x")], [chunk_row("c2", b"two")], patience=1)
     assert out == {"a": (b"one", 1)}
+
+
+def _shuffles(spark):
+    """Numbers of the shuffles that have files on this machine."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).name() for i in range(blocks.size()))
+    return {int(n.split("_")[1]) for n in names if n.startswith("shuffle_")}
+
+
+def _soon(test, seconds=10):
+    end = time.time() + seconds
+    while not test() and time.time() < end:
+        time.sleep(0.1)
+    return test()
+
+
+def test_a_command_can_take_its_shuffles_along(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = _shuffles(spark), spark.conf.get(name, None)
+    with shuffles_removed(spark):
+        spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "out"))
+    assert _soon(lambda: _shuffles(spark) <= before)
+    assert spark.conf.get(name, None) == setting and spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
+def test_a_feed_keeps_no_shuffles_copies_or_old_state(spark, tmp_path):
+    before = _shuffles(spark)
+    out = follow(
+        spark, str(tmp_path),
+        [file_row("a", ["c1", "c2"], 0), chunk_row("c1", b"one")], [chunk_row("c3", b"x")], [file_row("b", ["c3", "c4"], 0)], [chunk_row("c2", b"two")],
+    )
+    assert out == {"a": (b"onetwo", 0), "b": (b"x", 1)}
+    assert sorted(p.name for p in (tmp_path / "replica").iterdir()) == ["checkpoint", "chunks", "files", "removed", "waiting"]
+    assert sorted(p.name for p in (tmp_path / "replica" / "waiting").iterdir()) == ["batch=2", "batch=3"]
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    assert setting != "true"
+    assert _soon(lambda: len(_shuffles(spark) - before) <= 4)  # those of this test's own reads may stay
+
+
+def test_a_feed_can_consume_its_folder(spark, tmp_path):
+    source = tmp_path / "in"
+    for i in range(4):
+        spark.createDataFrame([file_row(f"f{i}", [f"c{i}"], i), chunk_row(f"c{i}", b"x")], FEED).coalesce(1).write.mode("append").parquet(str(source))
+    schema = spark.read.parquet(str(source)).schema
+    stream = feeds.read_doc_stream(spark, str(source), schema, files_per_batch=1, consume=True)
+    remote.follow_remote(stream, str(tmp_path / "replica"), enforce=False, digits=1).awaitTermination()
+    assert _soon(lambda: len(list(source.glob("part-*"))) <= 1)
+    assert remote.applied_files(spark, str(tmp_path / "replica")).count() == 4
+
+
+def test_given_files_move_without_their_content(spark, tmp_path):
+    follow(spark, str(tmp_path), [file_row("a", ["c1"], 0), file_row("b", ["c1", "c2"], 0), chunk_row("c1", b"one")], [chunk_row("c2", b"two")])
+    hashed = remote.applied_files(spark, f"{tmp_path}/replica", F.col("path"), F.sha2("content", 256).alias("hash"))
+    assert {r.path: r.hash for r in hashed.collect()} == {p: hashlib.sha256(t).hexdigest() for p, t in (("a", b"one"), ("b", b"onetwo"))}
+    lines = hashed._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("content#" in lines[i + 1] and "sha2" not in lines[i + 1] for i, line in enumerate(lines) if "Exchange" in line)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
 from tidemark.catalog import shared_sql  # noqa: F401
 from tidemark.catalog.registry import register, view
 from tidemark.operators import chunks as C
 from tidemark.plans import views as W
-from tidemark.session import work_dir
+from tidemark.session import shuffles_removed, work_dir
 from tidemark.streaming import events as E
 from tidemark.streaming import feeds, local, remote, waiting
 
@@ -130,10 +131,8 @@ _LIVE = """SELECT f.doc_id, sha256(f.content) AS hash, 0::BIGINT AS missing_chun
   LEFT JOIN labels l ON l.doc_id = f.n WHERE coalesce(toxic, 0) = 0"""
 
 
-def _restored(df):
-    return df.select(
-        "doc_id", F.sha2("content", 256).alias("hash"), F.col("missing_chunks").cast("long").alias("missing_chunks")
-    )
+def _restored():
+    return F.col("doc_id"), F.sha2("content", 256).alias("hash"), F.col("missing_chunks").cast("long").alias("missing_chunks")
 
 
 @register(_LIVE, uses=("v_files",))
@@ -144,7 +143,7 @@ def apply_remote(spark, d):
     store = _store(spark, d)
     docs = W.mixed_docs(spark, d)
     arriving = docs.join(store.select(F.col("chunk_id").alias("doc_id")), "doc_id", "left_anti")
-    return _restored(remote.apply_remote(arriving, store, enforce=False))
+    return remote.apply_remote(arriving, store, enforce=False).select(*_restored())
 
 
 @register(
@@ -173,11 +172,12 @@ def apply_remote_deleted(spark, d):
 def follow_remote(spark, d):
     """The mixed dump as a live feed of four files, chunks and documents in no particular order."""
     out = work_dir(spark, "remote")
-    W.mixed_docs(spark, d).repartition(4, "doc_id").write.parquet(f"{out}/source")
+    with shuffles_removed(spark):
+        W.mixed_docs(spark, d).repartition(4, "doc_id").write.option("compression", K.STORE_CODEC).parquet(f"{out}/source")
     schema = spark.read.parquet(f"{out}/source").schema
-    stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=1)
+    stream = feeds.read_doc_stream(spark, f"{out}/source", schema, files_per_batch=1, consume=True)
     remote.follow_remote(stream, f"{out}/replica", enforce=False, digits=1).awaitTermination()
-    return _restored(remote.applied_files(spark, f"{out}/replica"))
+    return remote.applied_files(spark, f"{out}/replica", *_restored())
 
 
 @register(

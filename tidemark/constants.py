@@ -32,6 +32,7 @@ WATCHED_FOLDERS = ("100", "101", "102", "103", "104")
 STATIC_SALT_PREFIX = "%="
 EPHEMERAL_SALT_PREFIX = "%$"
 CHUNK_ID_PREFIX = "h:+"
+STORE_CODEC = "zstd"  # of tables that hold bytes of files
 CONFLICT_OPEN = "<<<<<<< LOCAL"
 CONFLICT_MIDDLE = "======="
 CONFLICT_CLOSE = ">>>>>>> REMOTE"

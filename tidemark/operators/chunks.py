@@ -7,6 +7,8 @@ to meet the references and once to their file.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,13 +79,13 @@ def new_chunks(chunks: DataFrame, store: DataFrame, digits: int = BUCKET_DIGITS)
 
     Copies are dropped inside each map task before the shuffle, so a chunk that makes up a third of
     the input ships once per task. The anti join then needs the ids of the store only, and where the
-    store has a `bucket` (of `digits` digits), the folders of those buckets.
+    store has a `bucket` (of `digits` digits), the folders of those buckets. Copies meet by the keys of
+    that join, which so finds the bytes where they are.
     """
-    unique = chunks.select("chunk_id", "data").dropDuplicates(["chunk_id"])
-    if "bucket" not in store.columns:
-        return unique.join(store.select("chunk_id"), "chunk_id", "left_anti")
-    held = store.select("bucket", "chunk_id")
-    return bucketed(unique, digits).join(held, ["bucket", "chunk_id"], "left_anti").select("chunk_id", "data")
+    on = ["bucket", "chunk_id"] if "bucket" in store.columns else ["chunk_id"]
+    own = chunks.select("chunk_id", "data")
+    unique = (bucketed(own, digits) if "bucket" in on else own).dropDuplicates(on)
+    return unique.join(store.select(*on), on, "left_anti").select("chunk_id", "data")
 
 
 def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
@@ -109,7 +111,7 @@ def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> D
         if len(known) <= MAX_LISTED_IDS:
             return named.filter(F.col("chunk_id").isin(known))
         return named.join(F.broadcast(store.sparkSession.createDataFrame(some)), "chunk_id", "left_semi").select(store.columns)
-    ids = cut_lineage(bucketed(ids, digits) if has_folders else ids)
+    ids = bucketed(ids, digits) if has_folders else ids
     by_folder = ids.groupBy("bucket" if has_folders else F.lit("").alias("bucket")).count().orderBy("bucket").collect()
     groups, room = [], 0
     for r in by_folder:
@@ -121,7 +123,7 @@ def fetch(store: DataFrame, wanted: DataFrame, digits: int = BUCKET_DIGITS) -> D
     if len(groups) > MAX_GROUPS or max(r["count"] for r in by_folder) > MAX_BROADCAST_IDS:
         there = store.filter(F.col("bucket").isin([r["bucket"] for r in by_folder])) if has_folders else store
         return there.join(ids, on, "left_semi").select(store.columns)
-    found = None
+    ids, found = cut_lineage(ids), None
     for group in groups:
         own = F.col("bucket").isin(group) if has_folders else F.lit(True)
         part = store.filter(own).join(F.broadcast(ids.filter(own)), on, "left_semi").select(store.columns)
@@ -178,6 +180,7 @@ def reassemble(
     empty_ok: bool = True,
     inline: str = "no_children",
     digits: int = BUCKET_DIGITS,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """`(doc_id, path, content, n_chunks, missing_chunks)` for every file that has content.
 
@@ -188,7 +191,8 @@ def reassemble(
 
     A chunk shared by many files is a hot key on the reference side. The references are computed once, and adaptive
     execution splits the tasks of such a key: the grouping by file shuffles anyway. Where the store has a `bucket` column (see `bucketed`) it
-    joins the condition, so that only the folders of the wanted chunks are read.
+    joins the condition, so that only the folders of the wanted chunks are read. `hold` may store the references with their
+    bytes and read them again, so that what the join has shuffled can go before the grouping shuffles in its turn.
     """
     if inline not in ("no_children", "unresolved"):
         raise ValueError("inline must be 'no_children' or 'unresolved'")
@@ -198,14 +202,17 @@ def reassemble(
     refs = refs.filter(F.col("chunk_id").isNotNull())
     if "bucket" in on:
         refs = bucketed(refs, digits)
-    found = refs.join(chunks.select(*on, "data"), on, "left")
-    bodies = found.groupBy(F.col("doc_id").alias("_id"), F.col("path").alias("_path")).agg(
+    found = refs.join(chunks.select(*on, "data"), on, "left").select("doc_id", "path", "pos", "data")
+    found = hold(found) if hold else found
+    # One struct, in which nulls are equal: a null-safe comparison would join by other keys than those of the grouping and move the bytes again.
+    bodies = found.groupBy(F.struct("doc_id", "path").alias("_file")).agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY pos)").alias("_joined"),
         F.count("*").alias("n_chunks"),
         F.count_if(F.col("data").isNull()).alias("missing_chunks"),
     )
     has = set(files.columns)
     head = files.select(
+        F.struct("doc_id", "path").alias("_file"),
         "doc_id",
         "path",
         F.coalesce(F.size("children"), F.lit(0)).alias("_n"),
@@ -219,8 +226,7 @@ def reassemble(
         content = F.coalesce(
             content, F.when(no_children & (F.col("_size") == 0) & F.col("_inline").isNull(), F.lit(b""))
         )
-    own = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("path").eqNullSafe(F.col("_path"))
-    out = head.join(bodies, own, "left").select(
+    out = head.join(bodies, "_file", "left").select(
         "doc_id",
         "path",
         content.alias("content"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from tidemark import constants as K
 from tidemark import schemas
 from tidemark.operators.chunks import BUCKET_DIGITS, bucketed
 from tidemark.sources.scan import with_scope_folder
@@ -40,7 +41,7 @@ def write_chunks(df: DataFrame, path: str, mode: str = "overwrite", digits: int
     folders by name, row groups and pages by the range of their ids and by the filter, and reads the bytes of what is left.
     """
     out = bucketed(df.select("chunk_id", "data"), digits).hint("rebalance", "bucket").sortWithinPartitions("bucket", "chunk_id")
-    writer = out.write.mode(mode).partitionBy("bucket").option("parquet.block.size", ROW_GROUP_BYTES)
+    writer = out.write.mode(mode).partitionBy("bucket").option("compression", K.STORE_CODEC).option("parquet.block.size", ROW_GROUP_BYTES)
     writer.option("parquet.bloom.filter.enabled#chunk_id", "true").option(
         "parquet.bloom.filter.expected.ndv#chunk_id", ROW_GROUP_IDS
     ).parquet(path)

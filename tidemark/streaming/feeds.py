@@ -12,8 +12,10 @@ from pyspark.sql.types import StructType
 from tidemark.functions.core import from_millis
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, fmt: str, files_per_batch: int | None) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: StructType, fmt: str, files_per_batch: int | None, consume: bool = False) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
+    if consume:
+        reader = reader.option("cleanSource", "delete")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
@@ -47,9 +49,13 @@ def read_doc_stream(
     fmt: str = "parquet",
     ts: str = "ts",
     files_per_batch: int | None = None,
+    consume: bool = False,
 ) -> DataFrame:
-    """Remote documents, whole, as they are written; `since_ms` is the moment of subscription."""
-    return _since(_read(spark, path, schema, fmt, files_per_batch), since_ms, ts)
+    """Remote documents, whole, as they are written; `since_ms` is the moment of subscription.
+
+    `consume` is for a folder that this feed alone reads: its files are deleted once the checkpoint has their batch as done, but for the last one's.
+    """
+    return _since(_read(spark, path, schema, fmt, files_per_batch, consume), since_ms, ts)
 
 
 def run_feed(
